@@ -11,6 +11,7 @@ from navloom.sources.schemas import CALENDAR, FAILURE_LOG, text_schema
 
 LINE_ORDER = "line_order"
 CODE_FROM_PATH = r"([^/]+)\.csv$"
+CODE_FROM_FOLDER = r"/fund_code=([^/]+)/"
 
 
 def read_table(
@@ -41,17 +42,24 @@ def read_table(
 
 
 def read_per_fund_files(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    """A directory of {code}.csv files as one long table; the code is the file name's stem."""
+    """A directory of per-fund files as one long table.
+
+    The code is the stem of {code}.csv, or the folder name where our own per-fund sink
+    wrote fund_code={code}/. It is taken from the path, never inferred as a number.
+    """
     raw = (
         spark.read.schema(text_schema(columns))
         .option("header", True)
         .option("enforceSchema", False)
         .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", True)
         .csv(path)
     )
-    stem = F.regexp_extract(F.col("_metadata.file_path"), CODE_FROM_PATH, 1)
+    file = F.col("_metadata.file_path")
+    folder = F.regexp_extract(file, CODE_FROM_FOLDER, 1)
+    stem = F.regexp_extract(file, CODE_FROM_PATH, 1)
     return raw.select(
-        text.fund_code(stem).alias("fund_code"),
+        text.fund_code(F.when(folder != "", folder).otherwise(stem)).alias("fund_code"),
         *[
             F.col(f"`{header}`").alias(name)
             for header, name in columns.items()
