@@ -196,6 +196,30 @@ def _inside(suffix: str, day: Column | None = None) -> Column:
     return day >= F.add_months(F.col("end_date"), -12 * years)
 
 
+def trailing_window(adjusted: DataFrame, years: int) -> DataFrame:
+    """The fund's rows of the last N calendar years before its last day (inclusive)."""
+    last = F.max("nav_date").over(_whole())
+    inside = _day() >= F.add_months("end_date", -12 * years)
+    return adjusted.withColumn("end_date", last).where(inside)
+
+
+def _in_last_full_month() -> Column:
+    month_before = F.add_months("end_date", -1)
+    return _day().between(F.trunc(month_before, "month"), F.last_day(month_before))
+
+
+def last_full_month(adjusted: DataFrame) -> DataFrame:
+    """The fund's rows of the last complete calendar month before its last day's month."""
+    return adjusted.withColumn("end_date", F.max("nav_date").over(_whole())).where(_in_last_full_month())
+
+
+def with_daily_return(adjusted: DataFrame) -> DataFrame:
+    """Add the change against the fund's previous day."""
+    return adjusted.withColumn(
+        "daily_return", pct_change(_nav(), F.lag("adjusted_nav").over(_by_day()))
+    )
+
+
 def with_drawdown_state(series: DataFrame, suffixes=tuple(SPANS)) -> DataFrame:
     """Running peak, and on each day that reaches it the days since the trough before it.
 
@@ -274,9 +298,7 @@ def annual_return(inside: Column) -> Column:
 
 def recent_month_return() -> Column:
     """Last over first value in the last complete calendar month before the end date."""
-    month_before = F.add_months("end_date", -1)
-    inside = _day().between(F.trunc(month_before, "month"), F.last_day(month_before))
-    day = F.when(inside, _day())
+    day = F.when(_in_last_full_month(), _day())
     return F.when(
         F.count(day) >= 2, pct_change(F.max_by("adjusted_nav", day), F.min_by("adjusted_nav", day))
     )
