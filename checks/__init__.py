@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scans", "expressions", "projections")
+MODULES = ("scans", "expressions", "projections", "joins")
 
 
 def load_all() -> None:
