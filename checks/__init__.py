@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scans", "expressions", "projections", "joins")
+MODULES = ("scans", "expressions", "projections", "joins", "aggregates")
 
 
 def load_all() -> None:

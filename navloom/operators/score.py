@@ -115,10 +115,10 @@ def global_rank(table: DataFrame, column: str, name: str = "rank", buckets: int
     counts = table.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("ties"))
     steps = [i / buckets for i in range(1, buckets)]
     cuts = counts.agg(F.percentile_approx(column, steps, 10000).alias("cuts")).scalar()
-    bucketed = counts.select(
+    bucketed = counts.withColumn("cuts", cuts).select(
         column,
         "ties",
-        F.size(F.filter(cuts, lambda cut: cut < F.col(column))).alias("bucket"),
+        F.size(F.filter("cuts", lambda cut: cut < F.col(column))).alias("bucket"),
     )
     totals = bucketed.groupBy("bucket").agg(F.sum("ties").alias("total"))
     higher = W.orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
