@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scans", "expressions", "projections", "joins", "aggregates")
+MODULES = ("scans", "expressions", "projections", "joins", "aggregates", "composites")
 
 
 def load_all() -> None:
