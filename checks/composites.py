@@ -21,6 +21,9 @@ from navloom.operators import (
     score,
     scoreboard,
 )
+from navloom.session import new_folder
+from navloom.sinks import tables as sinks
+from navloom.sources import files
 
 CUTOFF = "1996-12-31"
 
@@ -275,11 +278,20 @@ TABLES["recheck_sql"] = " UNION ALL ".join(
 )
 
 
-def rechecked(spark, sf):
+def exported_board(spark, sf):
+    """The scoreboard as a user has it: exported to CSV and read back as text."""
     kept = scoreboard.build(unit_metrics(spark, sf), dim(spark, sf), "v1", AS_OF).kept
-    exported = scoreboard.from_export(scoreboard.export(kept))
+    folder = new_folder(spark, "scoreboard")
+    sinks.write_csv(scoreboard.export(kept), folder)
+    headers = {header: name for name, header, _ in scoreboard.EXPORT}
+    return files.read_table(spark, folder, headers)
+
+
+def rechecked(spark, sf):
+    exported = exported_board(spark, sf)
     wrong = F.when(F.col("fund_code").like("%3"), F.lit(1.0)).otherwise(F.lit(0.0))
-    exported = exported.withColumn("annual_return", F.col("annual_return") + wrong)
+    changed = F.col("annual_return").cast("double") + wrong
+    exported = exported.withColumn("annual_return", changed.cast("string"))
     return scoreboard.recheck(exported, unit_series(spark, sf), max_rows=None)
 
 
@@ -330,8 +342,7 @@ _SCORES = [f"score_{group}" for group in score.GROUPS] + ["score"]
     + ", CAST(rank() OVER (ORDER BY score DESC) AS INTEGER) AS rank FROM scores_sql",
 )
 def a11(spark, sf):
-    kept = scoreboard.build(unit_metrics(spark, sf), dim(spark, sf), "v1", AS_OF).kept
-    scored = score.composite_score(scoreboard.from_export(scoreboard.export(kept)))
+    scored = score.composite_score(exported_board(spark, sf))
     return rounded(scored.select("fund_code", *_SCORES, "rank"), *_SCORES)
 
 

@@ -11,17 +11,15 @@ _SPLITTER = float(2**27 + 1)
 _INTEGRAL = float(2**52)
 
 
-def _product_error(a: Column, b: float, product: Column) -> Column:
-    """Exact value of a*b minus its rounded double (Veltkamp split, Dekker product)."""
-    shifted = a * F.lit(_SPLITTER)
-    a_high = shifted - (shifted - a)
-    a_low = a - a_high
-    b_shifted = b * _SPLITTER
-    b_high = b_shifted - (b_shifted - b)
-    b_low = b - b_high
-    return (
-        ((a_high * F.lit(b_high) - product) + a_high * F.lit(b_low)) + a_low * F.lit(b_high)
-    ) + a_low * F.lit(b_low)
+def _scaling_error(value: Column, scale: float, scaled: Column) -> Column:
+    """Exact value*scale minus its rounded double.
+
+    The value is split in two halves of at most 26 bits (Veltkamp); a power of ten up
+    to 10^11 has at most 26 significant bits, so both partial products are exact.
+    """
+    shifted = value * F.lit(_SPLITTER)
+    high = shifted - (shifted - value)
+    return (high * F.lit(scale) - scaled) + (value - high) * F.lit(scale)
 
 
 def round_exact(col: Column, digits: int) -> Column:
@@ -34,17 +32,16 @@ def round_exact(col: Column, digits: int) -> Column:
     value = col.cast("double")
     if digits == 0:
         return F.rint(value)
+    if not 0 < digits <= 11:
+        raise ValueError("round_exact supports 0 to 11 digits")
     scale = 10.0**digits
     scaled = value * F.lit(scale)
     tie = F.abs(scaled - F.rint(scaled)) == F.lit(0.5)
-    error = _product_error(value, scale, scaled)
-    nearest = (
-        F.when(tie & (error > 0), F.rint(scaled + F.lit(0.25)))
-        .when(tie & (error < 0), F.rint(scaled - F.lit(0.25)))
-        .otherwise(F.rint(scaled))
-    )
+    side = F.when(tie, F.signum(_scaling_error(value, scale, scaled)) * F.lit(0.25)).otherwise(F.lit(0.0))
     # At 2^52 and beyond (also inf and NaN) there is no fraction left to round.
-    return F.when(F.abs(scaled) >= F.lit(_INTEGRAL), value).otherwise(nearest / F.lit(scale))
+    return F.when(F.abs(scaled) >= F.lit(_INTEGRAL), value).otherwise(
+        F.rint(scaled + side) / F.lit(scale)
+    )
 
 
 def styled(col: Column, style: str) -> Column:

@@ -188,29 +188,38 @@ def period_facts(
     return series.select("fund_code", F.inline(F.array(*rows))).where("period_return is not null")
 
 
+def with_span_starts(series: DataFrame) -> DataFrame:
+    """Add the first day of each trailing span and of the last full month (needs end_date).
+
+    As columns they are computed once per row, below the windows, and not once per use.
+    """
+    month_before = F.add_months("end_date", -1)
+    starts = {
+        f"start{suffix}": F.add_months("end_date", -12 * years)
+        for suffix, years in SPANS.items()
+        if years is not None
+    }
+    in_month = _day().between(F.trunc(month_before, "month"), F.last_day(month_before))
+    return series.withColumns({**starts, "in_last_month": in_month})
+
+
 def _inside(suffix: str, day: Column | None = None) -> Column:
     day = _day() if day is None else day
-    years = SPANS[suffix]
-    if years is None:
-        return F.lit(True)
-    return day >= F.add_months(F.col("end_date"), -12 * years)
+    return day >= F.col(f"start{suffix}") if SPANS[suffix] else F.lit(True)
 
 
-def trailing_window(adjusted: DataFrame, years: int) -> DataFrame:
-    """The fund's rows of the last N calendar years before its last day (inclusive)."""
-    last = F.max("nav_date").over(_whole())
-    inside = _day() >= F.add_months("end_date", -12 * years)
-    return adjusted.withColumn("end_date", last).where(inside)
+def _with_spans(adjusted: DataFrame) -> DataFrame:
+    return with_span_starts(adjusted.withColumn("end_date", F.max("nav_date").over(_whole())))
 
 
-def _in_last_full_month() -> Column:
-    month_before = F.add_months("end_date", -1)
-    return _day().between(F.trunc(month_before, "month"), F.last_day(month_before))
+def trailing_window(adjusted: DataFrame, years: int) -> DataFrame:
+    """The fund's rows of the last N calendar years before its last day (inclusive)."""
+    return _with_spans(adjusted).where(_day() >= F.add_months("end_date", -12 * years))
 
 
 def last_full_month(adjusted: DataFrame) -> DataFrame:
     """The fund's rows of the last complete calendar month before its last day's month."""
-    return adjusted.withColumn("end_date", F.max("nav_date").over(_whole())).where(_in_last_full_month())
+    return _with_spans(adjusted).where("in_last_month")
 
 
 def with_daily_return(adjusted: DataFrame) -> DataFrame:
@@ -298,7 +307,7 @@ def annual_return(inside: Column) -> Column:
 
 def recent_month_return() -> Column:
     """Last over first value in the last complete calendar month before the end date."""
-    day = F.when(_in_last_full_month(), _day())
+    day = F.when(F.col("in_last_month"), _day())
     return F.when(
         F.count(day) >= 2, pct_change(F.max_by("adjusted_nav", day), F.min_by("adjusted_nav", day))
     )
@@ -336,11 +345,12 @@ def metric_snapshot(
 ) -> DataFrame:
     """One row per fund: NAV range, stale flag and the 33 metrics (null for stale funds)."""
     series = _live_series(adjusted, as_of, stale_max_days, latest).drop("unit_nav")
+    series = with_span_starts(series)
     series = series.withColumns(
         {"prev_nav": F.lag("adjusted_nav").over(_by_day()), "prev_date": F.lag("nav_date").over(_by_day())}
     )
     series = with_drawdown_state(with_period_ends(series))
-    computed: dict[str, Column] = {"recent_month_return": recent_month_return()}
+    computed = {"recent_month_return": recent_month_return()}
     for suffix in SPANS:
         computed.update(_aggregates(suffix))
     grouped = series.groupBy("fund_code").agg(

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from navloom.session import written
+
 # Group -> (weight, ((input, weight in group, larger is better), ...)).
 GROUPS = {
     "risk_control": (
@@ -83,25 +85,28 @@ def composite_score(table: DataFrame, ranked: bool = True) -> DataFrame:
     present = [name for name in INPUTS if name in table.columns]
     scored = table
     total = F.lit(0.0)
-    ranges = {}
     if present:
-        packed = input_ranges(table)
-        subquery = packed.select(F.struct("*").alias("ranges")).scalar()
-        ranges = {name: subquery.getField(name) for name in packed.columns}
+        # One column, so that the plan holds the subquery once and not per use.
+        packed = input_ranges(table).select(F.struct("*").alias("ranges"))
+        scored = table.withColumn("ranges", packed.scalar())
     for group, (weight, inputs) in GROUPS.items():
         value, weights = F.lit(0.0), 0.0
         for name, share, larger_is_better in inputs:
             if name not in table.columns:
                 continue
             position = min_max(
-                _number(name), ranges[f"{name}_min"], ranges[f"{name}_max"], larger_is_better
+                _number(name),
+                F.col(f"ranges.{name}_min"),
+                F.col(f"ranges.{name}_max"),
+                larger_is_better,
             )
             value = value + F.lit(share) * F.coalesce(position, F.lit(NEUTRAL))
             weights += share
         scored = scored.withColumn(f"score_{group}", value / F.lit(weights) if weights else value)
         total = total + F.lit(weight) * F.col(f"score_{group}")
-    scored = scored.withColumn("score", total)
-    return global_rank(scored, "score") if ranked else scored
+    scored = scored.withColumn("score", total).drop("ranges")
+    # Ranking reads the scores several times; stored, they are computed once.
+    return global_rank(written(scored, "scores"), "score") if ranked else scored
 
 
 def global_rank(table: DataFrame, column: str, name: str = "rank", buckets: int = 256) -> DataFrame:

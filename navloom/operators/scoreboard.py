@@ -211,26 +211,37 @@ def recheck(
     old = board.select("fund_code", *[F.col(n).alias(f"old_{n}") for n in METRICS])
     both = old.join(measured.select("fund_code", *METRICS), "fund_code", "left")
 
-    fields = []
-    for name, header, style in RECHECK_FIELDS:
-        before = display.displayed_number(F.col(f"old_{name}"), style)
-        after = display.styled(F.col(name), style).cast("double")
-        fields.append(
-            F.struct(
-                F.lit(header).alias("field"),
-                before.alias("old"),
-                after.alias("new"),
-                display.same_displayed(before, after).alias("passed"),
-            )
+    # Long form first: the rounding below is then one expression instead of one per field.
+    fields = [
+        F.struct(
+            F.lit(position).alias("position"),
+            F.lit(header).alias("field"),
+            F.lit(style).alias("style"),
+            F.col(f"old_{name}").cast("string").alias("old"),
+            F.col(name).alias("new"),
         )
-    compared = both.select("fund_code", F.array(*fields).alias("fields"))
-    failed = F.transform(F.filter("fields", lambda f: ~f["passed"]), lambda f: f["field"])
+        for position, (name, header, style) in enumerate(RECHECK_FIELDS)
+    ]
+    long = both.select("fund_code", F.inline(F.array(*fields)))
+    whole = F.col("style").isin("int", "percent0")
+    percent = F.when(F.col("style").startswith("percent"), F.lit(100.0)).otherwise(F.lit(1.0))
+
+    def shown(value: Column) -> Column:
+        return F.when(whole, F.rint(value)).otherwise(display.round_exact(value, 2))
+
+    compared = (
+        long.withColumns({"old": F.trim("old").try_cast("double"), "new": F.col("new") * percent})
+        .withColumns({"old": shown(F.col("old")), "new": shown(F.col("new"))})
+        .withColumn("passed", display.same_displayed(F.col("old"), F.col("new")))
+    )
+    failed = F.array_sort(
+        F.collect_list(F.when(~F.col("passed"), F.struct("position", "field")))
+    )
     return Recheck(
-        compared.select("fund_code", F.inline("fields")),
-        compared.select(
-            "fund_code",
-            (F.size(failed) == 0).alias("passed"),
-            F.array_join(failed, ",").alias("failed_fields"),
+        compared.select("fund_code", "field", "old", "new", "passed"),
+        compared.groupBy("fund_code").agg(
+            F.bool_and("passed").alias("passed"),
+            F.array_join(F.transform(failed, lambda f: f["field"]), ",").alias("failed_fields"),
         ),
         recalculated,
     )

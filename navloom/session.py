@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def local_session(cores: str | int = "*", app_name: str = "navloom") -> SparkSession:
@@ -21,6 +22,7 @@ def local_session(cores: str | int = "*", app_name: str = "navloom") -> SparkSes
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config(CHECKPOINT_SETTING, tempfile.mkdtemp(prefix="navloom-"))
@@ -38,9 +40,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by the cluster")
-    fallback = tempfile.mkdtemp(prefix="navloom-")
-    spark.conf.set(CHECKPOINT_SETTING, fallback)
-    return fallback
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="navloom-")
+    return _local_folders[application]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
