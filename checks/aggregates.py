@@ -142,14 +142,14 @@ TABLES["ratio_sql"] = """
 SELECT o.fund_code AS fund_code, avg(CASE WHEN n.nav_date IS NULL THEN 0e0 ELSE 1e0 END) AS ratio
 FROM (SELECT fund_code FROM overview WHERE (inception_date IS NULL OR inception_date <= DATE '1996-01-01')
         AND fund_code IN (SELECT fund_code FROM nav)) o
-JOIN raw_calendar c ON c.trade_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
+JOIN calendar c ON c.trade_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
 LEFT JOIN nav n ON n.fund_code = o.fund_code AND n.nav_date = c.trade_date GROUP BY 1"""
 
 
 @query("g17_integrity_ratio", f"SELECT fund_code, {sql_r6('ratio')} AS ratio FROM ratio_sql")
 def g17(spark, sf):
     shares = integrity.summary(
-        b.nav(spark, sf), b.overview(spark, sf), b.raw_calendar(spark, sf), "1996-01-01", "1999-12-31"
+        b.nav(spark, sf), b.overview(spark, sf), b.calendar(spark, sf), "1996-01-01", "1999-12-31"
     )
     return rounded(shares, "ratio")
 

@@ -125,11 +125,11 @@ def a3_summary(spark, sf):
     "a4_trade_day_integrity",
     """SELECT r.fund_code AS fund_code, printf('%.6f', ratio) AS ratio, CASE WHEN n.nav_date IS NULL THEN '否' ELSE '是' END AS "exists",
               strftime(c.trade_date, '%Y-%m-%d') AS trade_date
-       FROM ratio_sql r JOIN raw_calendar c ON c.trade_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
+       FROM ratio_sql r JOIN calendar c ON c.trade_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
        LEFT JOIN nav n ON n.fund_code = r.fund_code AND n.nav_date = c.trade_date""",
 )
 def a4(spark, sf):
-    args = (b.nav(spark, sf), b.overview(spark, sf), b.raw_calendar(spark, sf), "1996-01-01", "1999-12-31")
+    args = (b.nav(spark, sf), b.overview(spark, sf), b.calendar(spark, sf), "1996-01-01", "1999-12-31")
     shares = integrity.summary_text(integrity.summary(*args))
     days = integrity.detail_text(integrity.detail(*args))
     headers = integrity.SUMMARY_HEADERS, integrity.DETAIL_HEADERS

@@ -132,12 +132,12 @@ def d10(spark, sf):
     """SELECT o.fund_code AS fund_code, c.trade_date AS trade_date, n.nav_date IS NOT NULL AS "exists"
        FROM (SELECT fund_code FROM overview WHERE (inception_date IS NULL OR inception_date <= DATE '1996-01-01')
                AND fund_code IN (SELECT fund_code FROM nav)) o
-       JOIN raw_calendar c ON c.trade_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'
+       JOIN calendar c ON c.trade_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'
        LEFT JOIN nav n ON n.fund_code = o.fund_code AND n.nav_date = c.trade_date""",
 )
 def d11(spark, sf):
     return integrity.detail(
-        b.nav(spark, sf), b.overview(spark, sf), b.raw_calendar(spark, sf), "1996-01-01", "1996-12-31"
+        b.nav(spark, sf), b.overview(spark, sf), b.calendar(spark, sf), "1996-01-01", "1996-12-31"
     )
 
 

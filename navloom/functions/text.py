@@ -29,17 +29,23 @@ def fund_code(col: Column) -> Column:
 
 
 def to_number(col: Column) -> Column:
-    """Text to double. Java number suffixes ("1.5d") and NaN are not numbers here."""
-    text = stripped(col)
-    number = F.when(~F.lower(F.right(text, F.lit(1))).isin("d", "f"), text.try_cast("double"))
-    return F.nanvl(number, F.lit(None).cast("double"))
+    """Text to double. Java number suffixes ("1.5d") and NaN are not numbers here.
+
+    The cast itself ignores surrounding white space.
+    """
+    content = col.cast("string")
+    suffixed = F.lower(F.right(F.rtrim(content), F.lit(1))).isin("d", "f")
+    return F.nanvl(F.when(~suffixed, content.try_cast("double")), F.lit(None).cast("double"))
 
 
 def to_date(col: Column) -> Column:
     """Text to date: ISO first (the fast built-in cast), then slashed and compact forms."""
-    text = stripped(col)
-    compact = F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd"))
-    return F.coalesce(compact, text.try_cast("date"), F.try_to_date(text, "yyyy/M/d"))
+    content = col.cast("string")
+    return F.coalesce(
+        content.try_cast("date"),
+        F.try_to_date(stripped(content), "yyyy/M/d"),
+        F.try_to_date(stripped(content), "yyyyMMdd"),
+    )
 
 
 def first_number(col: Column) -> Column:

@@ -14,7 +14,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from navloom.functions import text
-from navloom.operators.dedupe import keep_last
 
 DIVIDEND, SPLIT = "dividend", "split"
 
@@ -26,8 +25,8 @@ class AdjustedNav(NamedTuple):
 
 
 def one_row_per_day(nav: DataFrame) -> DataFrame:
-    """One NAV per fund and day; of repeated days the row with the highest values stays."""
-    return keep_last(nav.select("fund_code", "nav_date", "unit_nav"), ["fund_code", "nav_date"])
+    """One NAV per fund and day; of repeated days the highest value stays."""
+    return nav.groupBy("fund_code", "nav_date").agg(F.max("unit_nav").alias("unit_nav"))
 
 
 def events(bonus: DataFrame, split: DataFrame) -> DataFrame:
@@ -129,8 +128,12 @@ def rejection_reasons(days: DataFrame, allow_missing_until: str | None) -> DataF
             F.array_sort(F.collect_set(F.date_format(day, "yyyy-MM-dd"))), ","
         ).alias(f"{flag}_days")
 
-    flagged = days.where(F.col("no_nav_dividend") | F.col("no_nav_split"))
-    per_fund = flagged.groupBy("fund_code").agg(*verdict("no_nav_dividend"), *verdict("no_nav_split"))
+    # Events of funds without any NAV in this run do not count.
+    per_fund = (
+        days.groupBy("fund_code")
+        .agg(F.count_if("has_nav").alias("nav_days"), *verdict("no_nav_dividend"), *verdict("no_nav_split"))
+        .where("nav_days > 0")
+    )
 
     def failed(flag: str) -> Column:
         last = F.col(f"{flag}_last")
@@ -153,9 +156,14 @@ def tolerated_events(
     """Per fund with missing event days: whether all of them are tolerated."""
     days = days_with_events(one_row_per_day(nav), bonus, split)
     rejected = rejection_reasons(days, allow_missing_until).withColumn("rejected", F.lit(True))
-    flagged = days.where(F.col("no_nav_dividend") | F.col("no_nav_split")).groupBy("fund_code").agg(
-        F.count_if("no_nav_dividend").alias("missing_dividend_days"),
-        F.count_if("no_nav_split").alias("missing_split_days"),
+    flagged = (
+        days.groupBy("fund_code")
+        .agg(
+            F.count_if("has_nav").alias("nav_days"),
+            F.count_if("no_nav_dividend").alias("missing_dividend_days"),
+            F.count_if("no_nav_split").alias("missing_split_days"),
+        )
+        .where("nav_days > 0 and missing_dividend_days + missing_split_days > 0")
     )
     return flagged.join(rejected, "fund_code", "left").select(
         "fund_code",
@@ -185,42 +193,31 @@ def adjust_all(
         nav = nav.join(codes.select("fund_code").distinct(), "fund_code", "left_semi")
     if done is not None:
         nav = nav.join(done.select("fund_code").distinct(), "fund_code", "left_anti")
-    funds = nav.select("fund_code").distinct()
-
-    without_data = funds.limit(0).select("fund_code", F.lit("").alias("error"))
-    with_data = funds
-    for landed, error in (
-        (bonus_codes, "missing bonus files"),
-        (split_codes, "missing split files"),
-    ):
+    def absent(wanted: DataFrame, present: DataFrame, error: str) -> DataFrame:
+        return wanted.join(present, "fund_code", "left_anti").select(
+            "fund_code", F.lit(error).alias("error")
+        )
+
+    rejected = []
+    usable = nav
+    for landed, error in ((bonus_codes, "missing bonus files"), (split_codes, "missing split files")):
         if landed is not None:
             landed = landed.select("fund_code").distinct()
-            absent = with_data.join(landed, "fund_code", "left_anti").select(
-                "fund_code", F.lit(error).alias("error")
-            )
-            without_data = without_data.unionByName(absent)
-            with_data = with_data.join(landed, "fund_code", "left_semi")
+            rejected.append(absent(usable.select("fund_code").distinct(), landed, error))
+            usable = usable.join(landed, "fund_code", "left_semi")
     if codes is not None:
         wanted = codes.select("fund_code").distinct()
         if done is not None:
             wanted = wanted.join(done.select("fund_code").distinct(), "fund_code", "left_anti")
-        empty = wanted.join(funds, "fund_code", "left_anti")
-        without_data = without_data.unionByName(
-            empty.select("fund_code", F.lit("empty nav data").alias("error"))
-        )
+        rejected.append(absent(wanted, nav.select("fund_code").distinct(), "empty nav data"))
 
-    usable_nav = nav
-    if bonus_codes is not None or split_codes is not None:
-        usable_nav = nav.join(with_data, "fund_code", "left_semi")
-    # Events of funds outside this run must not count as missing.
-    of_run = lambda table: table.join(with_data, "fund_code", "left_semi")
-    days = days_with_events(one_row_per_day(usable_nav), of_run(bonus), of_run(split))
+    days = days_with_events(one_row_per_day(usable), bonus, split)
     event_rejects = rejection_reasons(days, allow_missing_until)
     good = days.where("has_nav").join(event_rejects, "fund_code", "left_anti")
     adjusted = _projected(_accumulated(good))
-    rejects = without_data.unionByName(event_rejects).select(
-        "fund_code", F.lit("adjusted_nav").alias("stage"), "error"
-    )
+    for part in rejected:
+        event_rejects = event_rejects.unionByName(part)
+    rejects = event_rejects.select("fund_code", F.lit("adjusted_nav").alias("stage"), "error")
     return AdjustedNav(adjusted, rejects, load_summary(adjusted))
 
 

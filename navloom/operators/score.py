@@ -112,12 +112,15 @@ def composite_score(table: DataFrame, ranked: bool = True) -> DataFrame:
 def global_rank(table: DataFrame, column: str, name: str = "rank", buckets: int = 256) -> DataFrame:
     """Competition rank (1, 2, 2, 4) by a numeric column, largest first, without one global sort.
 
-    Equal values are counted first, so ties never pile up in a task. The distinct values
+    Equal values are counted first, so ties never pile up in a task; that table is
+    stored, since three steps read it. The distinct values
     are cut into ranges of about equal size; a value's rank is one plus the rows in the
     ranges above plus the rows above it in its own range. Only the per-range totals (at
     most `buckets` + 1 rows) meet in one window.
     """
-    counts = table.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("ties"))
+    counts = written(
+        table.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("ties")), "ties"
+    )
     steps = [i / buckets for i in range(1, buckets)]
     cuts = counts.agg(F.percentile_approx(column, steps, 10000).alias("cuts")).scalar()
     bucketed = counts.withColumn("cuts", cuts).select(
