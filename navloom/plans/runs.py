@@ -150,14 +150,19 @@ def full_run(spark: SparkSession, landing: Landing, root: str, settings: Setting
     cum_return = normalise.cum_return(per_fund(spark, landing.cum_return, schemas.CUM_RETURN))
     calendar = files.read_calendar(spark, landing.calendar)
 
-    contracts.require_stage(spark, "adjusted_nav_input", {"nav": nav, "bonus": bonus, "split": split})
+    # A fund counts as landed when its file exists, also one without rows.
+    landed = {
+        name: files.codes_with_file(spark, path)
+        for name, path in (("nav", landing.nav), ("bonus", landing.bonus), ("split", landing.split))
+    }
+    contracts.require_stage(spark, "adjusted_nav_input", landed)
     result = adjusted_nav.adjust_all(
         nav,
         bonus,
         split,
-        codes=files.codes_with_file(spark, landing.nav),
-        bonus_codes=files.codes_with_file(spark, landing.bonus),
-        split_codes=files.codes_with_file(spark, landing.split),
+        codes=landed["nav"],
+        bonus_codes=landed["bonus"],
+        split_codes=landed["split"],
         allow_missing_until=settings.allow_missing_event_until,
     )
     adjusted = stored(result.adjusted, "adjusted_nav")
@@ -182,7 +187,7 @@ def full_run(spark: SparkSession, landing: Landing, root: str, settings: Setting
         candidates.filter_candidates(
             purchase,
             overview,
-            files.codes_with_file(spark, landing.nav),
+            landed["nav"],
             adjusted,
             details,
             whole,
