@@ -42,7 +42,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     wanted = os.environ.get("BENCH_QUERIES")
     names = wanted.split(",") if wanted else HEADLINE
     spark = local_session(cores, "navloom-bench")

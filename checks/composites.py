@@ -381,7 +381,7 @@ def a13_positions(spark, sf):
 @query(
     "a14_table_contract",
     f"""SELECT 'overview' AS artifact, 'unique_key' AS rule, 'fund_code' AS columns, CAST(sum(n) AS BIGINT) AS bad_rows, '' AS detail
-        FROM (SELECT c_custkey % 970 AS k, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) > 1)
+        FROM (SELECT c_custkey % 970 AS k, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) > 1) HAVING count(*) > 0
         UNION ALL SELECT 'purchase', 'numeric', 'purchase_min_amount', count(*), '' FROM purchase WHERE purchase_min_amount = '1,000元' HAVING count(*) > 0
         UNION ALL SELECT 'purchase', 'numeric', 'purchase_fee', count(*), '' FROM purchase
         UNION ALL SELECT 'calendar', 'date', 'trade_date', count(*), '' FROM raw_calendar WHERE trade_date IS NULL HAVING count(*) > 0
