@@ -39,12 +39,15 @@ def to_number(col: Column) -> Column:
 
 
 def to_date(col: Column) -> Column:
-    """Text to date: ISO first (the fast built-in cast), then slashed and compact forms."""
+    """Text to date: ISO by the fast built-in cast, then slashed and compact forms.
+
+    The patterns are tried only on text of their shape: a failing parse is costly.
+    """
     content = col.cast("string")
     return F.coalesce(
         content.try_cast("date"),
-        F.try_to_date(stripped(content), "yyyy/M/d"),
-        F.try_to_date(stripped(content), "yyyyMMdd"),
+        F.when(content.contains("/"), F.try_to_date(stripped(content), "yyyy/M/d")),
+        F.when(stripped(content).rlike(r"^\d{8}$"), F.try_to_date(stripped(content), "yyyyMMdd")),
     )
 
 

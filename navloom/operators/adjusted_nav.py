@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from navloom.functions import text
 
 DIVIDEND, SPLIT = "dividend", "split"
+MISSING_FLAGS = ("no_nav_dividend", "no_nav_split")
 
 
 class AdjustedNav(NamedTuple):
@@ -116,6 +117,34 @@ def adjust(nav: DataFrame, bonus: DataFrame, split: DataFrame) -> DataFrame:
     return _projected(_accumulated(days.where("has_nav")))
 
 
+def _not_tolerated(last_missing_day: Column, allow_missing_until: str | None) -> Column:
+    """Whether a fund fails by its last event day without NAV: all-or-nothing per kind."""
+    if allow_missing_until is None:
+        return last_missing_day.isNotNull()
+    return F.coalesce(last_missing_day > F.lit(allow_missing_until).cast("date"), F.lit(False))
+
+
+def _of_good_funds(days: DataFrame, allow_missing_until: str | None) -> DataFrame:
+    """NAV days of the funds that are not rejected.
+
+    Judged in the window that accumulates the factors anyway: no join back, one sort.
+    """
+    whole = (
+        W.partitionBy("fund_code")
+        .orderBy("nav_date")
+        .rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    )
+    judged = days.withColumns(
+        {
+            f"{flag}_last": F.max(F.when(F.col(flag), F.col("nav_date"))).over(whole)
+            for flag in MISSING_FLAGS
+        }
+    )
+    for flag in MISSING_FLAGS:
+        judged = judged.where(~_not_tolerated(F.col(f"{flag}_last"), allow_missing_until))
+    return judged.where("has_nav")
+
+
 def rejection_reasons(days: DataFrame, allow_missing_until: str | None) -> DataFrame:
     """Funds with an event day without NAV that is not tolerated, and the error text.
 
@@ -136,10 +165,7 @@ def rejection_reasons(days: DataFrame, allow_missing_until: str | None) -> DataF
     )
 
     def failed(flag: str) -> Column:
-        last = F.col(f"{flag}_last")
-        if allow_missing_until is None:
-            return last.isNotNull()
-        return F.coalesce(last > F.lit(allow_missing_until).cast("date"), F.lit(False))
+        return _not_tolerated(F.col(f"{flag}_last"), allow_missing_until)
 
     def message(kind: str, flag: str) -> Column:
         return F.concat(F.lit(f"missing nav data on {kind} dates: "), F.col(f"{flag}_days"))
@@ -213,8 +239,7 @@ def adjust_all(
 
     days = days_with_events(one_row_per_day(usable), bonus, split)
     event_rejects = rejection_reasons(days, allow_missing_until)
-    good = days.where("has_nav").join(event_rejects, "fund_code", "left_anti")
-    adjusted = _projected(_accumulated(good))
+    adjusted = _projected(_accumulated(_of_good_funds(days, allow_missing_until)))
     for part in rejected:
         event_rejects = event_rejects.unionByName(part)
     rejects = event_rejects.select("fund_code", F.lit("adjusted_nav").alias("stage"), "error")

@@ -77,3 +77,11 @@ def test_missing_landed_data_and_done_funds(spark, tables):
     assert errors["000002"]["error"] == "empty nav data"
     skipped = adjusted_nav.adjust_all(nav, bonus, split, codes=codes, done=codes)
     assert skipped.adjusted.count() == 0 and skipped.rejects.count() == 0
+
+
+def test_all_funds_take_one_shuffle_by_fund(tables):
+    nav, bonus, split = tables
+    result = adjusted_nav.adjust_all(nav, bonus, split, allow_missing_until="2020-01-01")
+    plan = result.adjusted._jdf.queryExecution().executedPlan().toString()
+    by_fund = [line for line in plan.splitlines() if "Exchange hashpartitioning(fund_code#" in line and "nav_date" not in line and "event_date" not in line]
+    assert len(by_fund) == 1
