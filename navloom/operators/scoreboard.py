@@ -161,15 +161,31 @@ def build(metrics: DataFrame, dim: DataFrame, data_version: str, as_of: str) ->
 
 
 def export(scoreboard: DataFrame, headers: str = "exported") -> DataFrame:
-    """The 54 exported columns in display form; an absent source column is null."""
-    def source(name: str) -> Column:
-        return F.col(name) if name in scoreboard.columns else F.lit(None)
-
-    return scoreboard.select(
-        *[
-            display.styled(source(name), style).alias(header if headers == "exported" else name)
-            for name, header, style in EXPORT
-        ]
+    """The 54 exported columns in display form; an absent source column is null.
+
+    The values shown with two decimals are rounded as one array: the rounding is then
+    in the plan once and not once per column, which would outgrow generated code.
+    """
+    scale = {"round2": 1.0, "percent2": 100.0}
+    decimals = [
+        (name, style) for name, _, style in EXPORT if style in scale and name in scoreboard.columns
+    ]
+    values = [
+        F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double")) * F.lit(scale[style])
+        for name, style in decimals
+    ]
+    places = {name: i for i, (name, _) in enumerate(decimals)}
+    table = scoreboard.withColumn(
+        "rounded", F.transform(F.array(*values), lambda v: display.round_exact(v, 2))
+    )
+
+    def shown(name: str, style: str) -> Column:
+        if name in places:
+            return F.col("rounded")[places[name]]
+        return display.styled(F.col(name) if name in scoreboard.columns else F.lit(None), style)
+
+    return table.select(
+        *[shown(name, style).alias(header if headers == "exported" else name) for name, header, style in EXPORT]
     )
 
 
