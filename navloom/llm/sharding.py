@@ -93,7 +93,7 @@ def write_shards(
 
 def read_shards(spark: SparkSession, path: str, records: T.StructType) -> DataFrame:
     """Per record: record, shard, bucket, place (in the bucket) and slot (in the shard, gapless from 0)."""
-    schema = T.StructType().add("record", records).add("bucket", "int").add("place", "long").add("shard", "int")
+    schema = T.StructType().add("record", records).add("bucket", "integer").add("place", "long").add("shard", "integer")
     stored = spark.read.schema(schema).parquet(path)
     sizes = stored.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("rows"))
     above = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
