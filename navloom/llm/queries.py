@@ -9,7 +9,8 @@ from functools import wraps
 from pathlib import Path
 
 import navloom
-from navloom.llm import sharding
+import public_tokenizers
+from navloom.llm import packing, sharding
 from navloom.llm.shared import new_folder, read
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,3 +67,25 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         sharding.shard_of(key, 9, 17).alias("grown_shard"),
     )
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return pieces_digest(packing.pieces(packing.tokenized(docs, tokenizer_path())))
+
+
+def tokenizer_path() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def pieces_digest(pieces: DataFrame) -> DataFrame:
+    return pieces.select(
+        F.col("key").alias("doc_id"),
+        "start",
+        F.col("size").alias("length"),
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
