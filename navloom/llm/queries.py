@@ -10,7 +10,7 @@ from pathlib import Path
 
 import navloom
 import public_tokenizers
-from navloom.llm import packing, sharding
+from navloom.llm import packing, quality, sharding
 from navloom.llm.shared import new_folder, read
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,3 +89,10 @@ def pieces_digest(pieces: DataFrame) -> DataFrame:
         "sequence_id",
         "offset",
     )
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.fit(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.judge(docs, model)

@@ -7,12 +7,13 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from navloom.session import new_folder, written
 
-__all__ = ["count_by", "keep", "mix64", "new_folder", "no_text", "read", "shuffles_dropped", "sliced", "utf8"]
+__all__ = ["count_by", "keep", "mix64", "new_folder", "no_text", "read", "shuffles_dropped", "sliced", "text_of", "utf8"]
 
 #: Text handled at a time inside a task; bounds the numpy work arrays, never the result.
 SLICE_BYTES = 1 << 21
@@ -82,6 +83,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def text_of(batch: pa.RecordBatch, column: str) -> pa.Array:
+    """A text column of the batch, or the field of that name of its `record`."""
+    if column in batch.schema.names:
+        return batch.column(column)
+    return pc.struct_field(batch.column("record"), column)
+
+
 def sliced(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
@@ -89,7 +97,7 @@ def sliced(
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        _, offsets = utf8(batch.column(batch.schema.get_field_index(column)))
+        _, offsets = utf8(text_of(batch, column))
         start = 0
         while start < batch.num_rows:
             end = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1

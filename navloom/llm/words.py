@@ -70,3 +70,56 @@ def split(data: np.ndarray, offsets: np.ndarray) -> Words:
     value = (total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)
     doc = np.searchsorted(offsets, start, side="right") - 1
     return Words(start, end, doc, mix64(value))
+
+
+@dataclass
+class Kinds:
+    """The distinct words of some texts, with which of them each word is."""
+
+    raw: list[str]
+    hash: np.ndarray
+    which: np.ndarray
+
+
+#: What is added to a word's hash when it begins with a capital, or holds other capitals.
+CAPITALS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+
+
+def kinds(data: np.ndarray, words: Words) -> Kinds:
+    """Distinct words, told apart by letters and by none, one initial or other capitals A-Z."""
+    if not len(words.hash):
+        return Kinds([], words.hash, np.zeros(0, np.int64))
+    upper = LOWER[data] != data
+    seen = np.concatenate([[0], np.cumsum(upper)])
+    capitals = seen[words.end] - seen[words.start]
+    shape = np.where(capitals == 0, 0, np.where((capitals == 1) & upper[words.start], 1, 2))
+    found, first, which = np.unique(words.hash + CAPITALS[shape], return_index=True, return_inverse=True)
+    raw = data.tobytes()
+    spans = zip(words.start[first].tolist(), words.end[first].tolist(), strict=True)
+    return Kinds([raw[a:b].decode(errors="replace") for a, b in spans], mix64(found), which)
+
+
+def character_ngrams(words: list[str], shortest: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all n-grams of the words, each between a begin and an end mark, and whose each is."""
+    length = np.array([len(w) for w in words], np.int64) + 2
+    end = np.cumsum(length)
+    code = np.zeros(int(end[-1]) if len(end) else 0, np.uint64)
+    inner = np.ones(len(code), bool)
+    code[end - length], code[end - 1] = 2, 3
+    inner[end - length] = inner[end - 1] = False
+    code[inner] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(words)), length)
+    hashes, owners = [], []
+    for n in range(shortest, longest + 1):
+        if len(code) < n:
+            continue
+        last = len(code) - n + 1
+        value = np.full(last, n, np.uint64)
+        for j in range(n):
+            value = value * np.uint64(0x100000001B3) + code[j : j + last]
+        inside = owner[:last] == owner[n - 1 :]
+        hashes.append(mix64(value[inside]))
+        owners.append(owner[:last][inside])
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(owners)
