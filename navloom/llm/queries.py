@@ -10,7 +10,7 @@ from pathlib import Path
 
 import navloom
 import public_tokenizers
-from navloom.llm import packing, quality, sharding, toxicity
+from navloom.llm import jaccard_join, packing, quality, sharding, toxicity
 from navloom.llm.shared import new_folder, read
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,3 +103,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     model = toxicity.fit(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
     return toxicity.judge(docs, model)
+
+
+@query("op2_jaccard_join")
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(read(spark, sf_dir, "documents", "doc_id", "text"))

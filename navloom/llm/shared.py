@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from navloom.session import new_folder, written
 
-__all__ = ["count_by", "keep", "mix64", "new_folder", "no_text", "read", "shuffles_dropped", "sliced", "text_of", "utf8"]
+__all__ = ["count_by", "keep", "mix64", "new_folder", "no_text", "read", "shuffles_dropped", "sliced", "text_of", "utf8", "whole_groups"]
 
 #: Text handled at a time inside a task; bounds the numpy work arrays, never the result.
 SLICE_BYTES = 1 << 21
@@ -104,3 +104,26 @@ def sliced(
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The same rows, sorted by `keys` as they come, in batches that never split a group."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        last = [batch.column(k)[batch.num_rows - 1].as_py() for k in keys]
+        same = np.ones(batch.num_rows, bool)
+        for k, value in zip(keys, last, strict=True):
+            same &= pc.fill_null(pc.equal(batch.column(k), value), value is None).to_numpy(zero_copy_only=False)
+        start = batch.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0
+        if start:
+            yield _joined([*held, batch.slice(0, start)])
+            held = []
+        held.append(batch.slice(start))
+    if held:
+        yield _joined(held)
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
