@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from navloom.llm.labelled import fold, scored, training_sample, verdicts
 from navloom.llm.shared import mix64, utf8
-from navloom.llm.words import character_ngrams, kinds, split
+from navloom.llm.words import character_ngrams, kinds, kinds_of_texts, split
 
 Arrays = dict[str, np.ndarray]
 
@@ -236,11 +236,9 @@ def train(texts: list[str], labels: np.ndarray, plan: Plan = Plan()) -> Model:
     if len(set(labels.tolist())) < 2:
         return Model(p, plan, 0.5 if not len(labels) else float(0.01 + 0.98 * labels[0]))
     random = np.random.default_rng(plan.seed)
-    data, offsets = utf8(pa.array(texts, pa.large_string()))
-    words = split(data, offsets)
-    found = kinds(data, words)
+    found, bounds = kinds_of_texts(texts)
     lexicon = Lexicon.of(found.raw, found.hash, plan)
-    first, size, doc = windows(words.per_doc(len(texts)), plan)
+    first, size, doc = windows(bounds, plan)
     starts = np.searchsorted(doc, np.arange(len(texts) + 1))
     squares = {name: np.full_like(value, 1e-6) for name, value in p.items()}
     for round_number in range(plan.rounds):

@@ -5,8 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
-from navloom.llm.shared import mix64
+from navloom.llm.shared import mix64, sliced, utf8
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -123,3 +124,21 @@ def character_ngrams(words: list[str], shortest: int, longest: int) -> tuple[np.
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(hashes), np.concatenate(owners)
+
+
+def kinds_of_texts(texts: list[str]) -> tuple[Kinds, np.ndarray]:
+    """The distinct words of many texts and the n + 1 offsets of each text's words, read in slices."""
+    given = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], names=["text"])
+    raw: list[str] = []
+    hashes, which, counts = [], [], []
+    for part in sliced(iter([given])):
+        data, offsets = utf8(part.column("text"))
+        words = split(data, offsets)
+        found = kinds(data, words)
+        which.append(found.which + len(raw))
+        raw += found.raw
+        hashes.append(found.hash)
+        counts.append(np.diff(words.per_doc(part.num_rows)))
+    distinct, first, place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    bounds = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+    return Kinds([raw[i] for i in first.tolist()], distinct, place[np.concatenate(which)]), bounds
