@@ -10,7 +10,7 @@ from pathlib import Path
 
 import navloom
 import public_tokenizers
-from navloom.llm import jaccard_join, packing, quality, sharding, toxicity
+from navloom.llm import jaccard_join, mixing, packing, quality, sharding, toxicity
 from navloom.llm.shared import new_folder, read
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,3 +108,50 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_jaccard_join")
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+#: The mixture of query and pipeline: no source more than 1.25 times, as many tokens as there are.
+TARGET = mixing.Target(repetition=1.25)
+
+MIXING_SQL = r"""
+WITH RECURSIVE named AS (
+  SELECT doc_id, coalesce('=' || source, 'null') AS grp,
+         greatest(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0), 1) AS tokens,
+         md5(coalesce(doc_id::VARCHAR, 'null') || '/' || coalesce(md5(text), 'null')) AS name
+  FROM documents),
+sources AS (SELECT grp, count(*) AS docs, sum(tokens)::BIGINT AS supply FROM named GROUP BY grp),
+shares AS (SELECT *, supply / (SELECT sum(supply) FROM sources)::DOUBLE AS share FROM sources),
+bisected(step, low, high) AS (
+  SELECT 0, 0e0, 1e0
+  UNION ALL
+  SELECT step + 1, CASE WHEN larger THEN (low + high) / 2 ELSE low END, CASE WHEN larger THEN high ELSE (low + high) / 2 END
+  FROM (SELECT step, low, high,
+               (SELECT max(pow(share, (b.low + b.high) / 2) / share) / sum(pow(share, (b.low + b.high) / 2)) FROM shares) > 1.25 AS larger
+        FROM bisected b WHERE step < 40)),
+ends AS (SELECT (SELECT max(1 / share) / count(*) FROM shares) > 1.25 AS above),
+chosen AS (SELECT CASE WHEN NOT (SELECT above FROM ends) THEN 0e0 ELSE high END AS exponent FROM bisected WHERE step = 40),
+raised AS (SELECT *, round(pow(share, (SELECT exponent FROM chosen)), 12) AS power FROM shares),
+weighted AS (SELECT grp, supply, round(power / (SELECT sum(power) FROM raised), 9) AS weight FROM raised),
+plan AS (SELECT *, floor(weight * (SELECT sum(supply) FROM sources)::DOUBLE)::BIGINT AS quota FROM weighted),
+copies AS (SELECT n.*, p.supply, p.weight, p.quota, unnest(range(0, p.quota // p.supply + 1)) AS pass FROM named n JOIN plan p USING (grp)),
+drawn AS (SELECT *, ('0x' || md5('11/' || pass || '/' || name)[1:15])::BIGINT AS draw FROM copies),
+placed AS (
+  SELECT *, pass * supply + coalesce(sum(tokens) OVER (PARTITION BY grp, pass ORDER BY draw, name
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spot FROM drawn),
+taken AS (
+  SELECT *, floor(spot * (SELECT greatest(1, round(sum(supply) / 1048576.0)) FROM sources)::DOUBLE / quota)::BIGINT AS block,
+         ('0x' || md5('12/' || pass || '/' || name)[1:15])::BIGINT AS again
+  FROM placed WHERE spot + tokens <= quota)
+SELECT doc_id, CASE WHEN grp = 'null' THEN NULL ELSE grp[2:] END AS source, weight, pass, tokens, block,
+       (row_number() OVER (PARTITION BY block ORDER BY again, name, pass) - 1)::INTEGER AS slot
+FROM taken
+"""
+
+
+@query("op5_mixing", MIXING_SQL)
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "source")
+    mixed = mixing.mixture(docs, TARGET)
+    return mixing.ordered(mixed.withColumn("doc_id", F.col("record.doc_id")).drop("record")).select(
+        "doc_id", "source", "weight", "pass", "tokens", "block", "slot"
+    )
