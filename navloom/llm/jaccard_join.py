@@ -31,9 +31,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from navloom.llm.components import components
-from navloom.llm.shared import keep, mix64, sliced, utf8, whole_groups
+from navloom.llm.shared import keep, mix64, sliced, text_of, utf8, whole_groups
 from navloom.llm.words import split
 
 WORDS = 5
@@ -297,7 +298,7 @@ def candidates(docs: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document (doc_id long, text)."""
+    """doc_id, n_shingles, component_id and set_id (equal for equal sets) of every document (doc_id long, text)."""
     docs = docs.select("doc_id", "text")
     described = keep(docs.mapInArrow(_described, "doc_id long, n long, node long, check long, minima array<long>, point binary"), "sets")
     some = described.where("n > 0")
@@ -321,5 +322,34 @@ def join(docs: DataFrame) -> DataFrame:
     return (
         described.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
         .join(names, "node", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        .select(
+            "doc_id",
+            F.col("n").alias("n_shingles"),
+            F.coalesce("component_id", "doc_id").alias("component_id"),
+            F.col("node").alias("set_id"),
+        )
     )
+
+
+def _set_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches):
+        values, bounds = shingle_sets(text_of(batch, "text"))
+        names = pa.array(signatures(values, bounds)[0], mask=bounds[1:] == bounds[:-1])
+        yield pa.RecordBatch.from_arrays([batch.column("record"), names], names=["record", "set_id"])
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """One document of each component, that with the smallest id, and all without words; all columns."""
+    joined = keep(join(docs), "joined")
+    chosen = joined.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    if joined.groupBy("doc_id").count().where("count > 1").isEmpty():
+        ids = chosen.select(F.col("doc_id").alias("chosen"))
+        return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("chosen")), "left_semi")
+    # Ids that repeat do not name a row: tell rows apart by id and set, and keep one of each.
+    schema = T.StructType().add("record", docs.schema).add("set_id", "long")
+    named = docs.select(F.struct("*").alias("record")).mapInArrow(_set_ids, schema)
+    pairs = chosen.where("set_id IS NOT NULL").select(F.col("doc_id").alias("chosen"), F.col("set_id").alias("chosen_set")).distinct()
+    same = F.col("record.doc_id").eqNullSafe(F.col("chosen")) & (F.col("set_id") == F.col("chosen_set"))
+    first = Window.partitionBy("record.doc_id", "set_id").orderBy(F.xxhash64("record"))
+    with_words = named.join(pairs, same, "left_semi").withColumn("row", F.row_number().over(first)).where("row = 1")
+    return with_words.select("record.*").union(named.where("set_id IS NULL").select("record.*"))
