@@ -10,7 +10,7 @@ from pathlib import Path
 
 import navloom
 import public_tokenizers
-from navloom.llm import jaccard_join, mixing, packing, quality, sharding, toxicity
+from navloom.llm import html_templates, jaccard_join, mixing, packing, quality, sharding, toxicity
 from navloom.llm.shared import new_folder, read
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,3 +155,9 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.ordered(mixed.withColumn("doc_id", F.col("record.doc_id")).drop("record")).select(
         "doc_id", "source", "weight", "pass", "tokens", "block", "slot"
     )
+
+
+@query("op7_html_templates")
+def op7_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_templates.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
