@@ -12,7 +12,7 @@ n - ceil(3n/4) + 1 shingles of both. The order puts frequent shingles last, whic
 the frequent ones are found on a fixed share of the texts and only steer the order, never the result.
 
 Copies and most near copies never reach the trees: equal sets are one node, and every node is first
-verified against one pivot, the smallest node it shares most of its minima with. Only pairs across
+verified against one pivot, a central node it shares most of its keys (pairs of minima) with. Only pairs across
 the components known so far are searched, so a group of copies costs its size, not its square, and
 the components in the end are exact.
 
@@ -39,11 +39,12 @@ from navloom.llm.words import split
 
 WORDS = 5
 GROUPS = 64
-MINIMA = 6
+#: Minima of each set under as many hashes; two neighbours together are a key of the first pass.
+MINIMA = 8
 #: A shingle is frequent if this share of the sampled texts has it, and at least FREQUENT_LEAST do.
-FREQUENT_SHARE = 1 / 1000
-FREQUENT_LEAST = 8
-SAMPLE_OF = 32
+FREQUENT_SHARE = 1 / 4000
+FREQUENT_LEAST = 4
+SAMPLE_OF = 16
 #: At most so many frequent shingles are told to all tasks (8 bytes each); more only cost speed.
 FREQUENT_MOST = 1 << 20
 #: Members of a tree; larger groups are joined part by part.
@@ -105,10 +106,11 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, docs = np.diff(bounds), len(bounds) - 1
         node, check = signatures(values, bounds)
         minima = np.stack([_sums(mix64(values ^ seed), bounds, np.minimum) for seed in _SEEDS[2:]], axis=1)
+        keys = mix64(minima + np.roll(minima, 1, axis=1) * _PLACES[0])
         cell = np.repeat(np.arange(docs), n) * GROUPS + (values % np.uint64(GROUPS)).astype(np.int64)
         points = np.bincount(cell, minlength=docs * GROUPS).astype("<u4").reshape(docs, GROUPS)
         lists = pa.ListArray.from_arrays(
-            pa.array(np.arange(docs + 1, dtype=np.int32) * MINIMA), pa.array(minima.view(np.int64).ravel())
+            pa.array(np.arange(docs + 1, dtype=np.int32) * MINIMA), pa.array(keys.view(np.int64).ravel())
         )
         yield pa.RecordBatch.from_arrays(
             [
@@ -119,7 +121,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 lists,
                 pa.array([p.tobytes() for p in points], pa.binary()),
             ],
-            names=["doc_id", "n", "node", "check", "minima", "point"],
+            names=["doc_id", "n", "node", "check", "keys", "point"],
         )
 
 
@@ -153,12 +155,18 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def pivots(nodes: DataFrame) -> DataFrame:
-    """For each node, the pair with the smallest node among those it shares most of its minima with."""
-    keys = nodes.select("node", "n", F.posexplode("minima").alias("place", "least"))
-    lowest = keys.groupBy("place", "least").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("members"))
-    shared = lowest.where("members > 1").drop("members")
-    votes = keys.join(shared, ["place", "least"]).where("node <> pivot").groupBy("node", "pivot").count()
-    best = votes.groupBy("node").agg(F.max_by("pivot", F.struct("count", -F.col("pivot"))).alias("b"))
+    """For each node, the pair with the pivot it shares most of its keys with.
+
+    The pivot of a key is the member met most often over all its keys: of edited copies that is the
+    original, which is nearer to each copy than the copies are to each other.
+    """
+    keys = nodes.select("node", F.posexplode("keys").alias("place", "value"))
+    shared = keys.groupBy("place", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    met = keep(keys.join(shared, ["place", "value"]), "keys")
+    central = met.groupBy("node").agg(F.sum("members").alias("degree"))
+    ranked = met.join(central, "node").groupBy("place", "value").agg(F.max_by("node", F.struct("degree", "node")).alias("pivot"))
+    votes = met.join(ranked, ["place", "value"]).where("node <> pivot").groupBy("node", "pivot").count()
+    best = votes.groupBy("node").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("b"))
     return best.withColumnRenamed("node", "a")
 
 
@@ -261,16 +269,22 @@ def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
         points = np.frombuffer(b"".join(batch.column("point").to_pylist()), "<u4").reshape(-1, GROUPS)
         border = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        found: list[tuple[np.ndarray, ...]] = []
         for a, b in zip(border.tolist(), [*border[1:].tolist(), len(h)], strict=True):
             x, y = RTree(points[a:b], n[a:b].astype(np.int64)).partners()
             x, y = x + a, y + a
             good = (known[x] != known[y]) & ((part[x] != part[y]) | (i[x] == j[x]))
             good &= 4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y])
-            found.append((node[x[good]], node[y[good]]))
-        x, y = (np.concatenate(side) for side in zip(*found, strict=True))
-        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            x, y = x[good], y[good]
+            smaller, larger = np.minimum(n[x], n[y]).astype(np.int64), np.maximum(n[x], n[y]).astype(np.int64)
+            # Beyond the prefix that ends first, its set has at most 3/4 of the larger size to share.
+            least = -(-3 * (smaller + larger) // 7) - (3 * larger + 3) // 4 + 1
+            found.append((np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), np.maximum(least, 1)))
+        x, y, least = (np.concatenate(side) for side in zip(*found, strict=True))
+        pairs, first, times = np.unique(np.stack([x, y], axis=1), axis=0, return_index=True, return_counts=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(least[first]), pa.array(times)], names=["a", "b", "least", "met"]
+        )
 
 
 def candidates(docs: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
@@ -294,17 +308,19 @@ def candidates(docs: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame
     )
     pointed = spread.select("h", "i", "j", "part", "node", "n", "component").join(nodes.select("node", "point"), "node")
     grouped = pointed.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "node")
-    return keep(grouped.mapInArrow(_tree_pairs, "a long, b long").distinct(), "candidates")
+    met = grouped.mapInArrow(_tree_pairs, "a long, b long, least long, met long")
+    enough = met.groupBy("a", "b", "least").agg(F.sum("met").alias("met")).where("met >= least")
+    return keep(enough.select("a", "b"), "candidates")
 
 
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and set_id (equal for equal sets) of every document (doc_id long, text)."""
     docs = docs.select("doc_id", "text")
-    described = keep(docs.mapInArrow(_described, "doc_id long, n long, node long, check long, minima array<long>, point binary"), "sets")
+    described = keep(docs.mapInArrow(_described, "doc_id long, n long, node long, check long, keys array<long>, point binary"), "sets")
     some = described.where("n > 0")
     nodes = keep(
         some.groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("minima").alias("minima"), F.first("point").alias("point"),
+            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("point").alias("point"),
             (F.min("check") != F.max("check")).alias("clash"),
         ),
         "nodes",
