@@ -29,6 +29,8 @@ from navloom.llm.shared import mix64, utf8
 from navloom.llm.words import character_ngrams, kinds, kinds_of_texts, split
 
 Arrays = dict[str, np.ndarray]
+#: Words whose n-grams are cut together; bounds the work arrays.
+WORDS_AT_ONCE = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -48,7 +50,7 @@ class Plan:
     batch: int = 64
     rate: float = 0.08
     sample: int = 3600
-    sample_chars: int = 14_000_000
+    sample_chars: int = 12_000_000
     seed: int = 5
 
 
@@ -97,11 +99,16 @@ class Lexicon:
 
     @classmethod
     def of(cls, raw: list[str], hashes: np.ndarray, plan: Plan) -> Lexicon:
-        grams, owner = character_ngrams(raw, plan.shortest, plan.longest)
-        order = np.argsort(owner, kind="stable")
-        bounds = np.searchsorted(owner[order], np.arange(len(raw) + 1))
-        buckets = (grams[order] % np.uint64(plan.gram_buckets)).astype(np.int64)
-        return cls((mix64(hashes + np.uint64(3)) % np.uint64(plan.word_buckets)).astype(np.int64), buckets, bounds)
+        buckets, lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(raw), WORDS_AT_ONCE):
+            part = raw[at : at + WORDS_AT_ONCE]
+            grams, owner = character_ngrams(part, plan.shortest, plan.longest)
+            order = np.argsort(owner, kind="stable")
+            buckets.append((grams[order] % np.uint64(plan.gram_buckets)).astype(np.int32))
+            lengths.append(np.bincount(owner, minlength=len(part)))
+        bounds = np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
+        word = (mix64(hashes + np.uint64(3)) % np.uint64(plan.word_buckets)).astype(np.int64)
+        return cls(word, np.concatenate(buckets), bounds)
 
     def pick(self, kinds_wanted: np.ndarray) -> Lexicon:
         length = (self.bounds[1:] - self.bounds[:-1])[kinds_wanted]
@@ -113,8 +120,12 @@ class Lexicon:
         """A word vector beside the mean of the n-gram vectors, for each word; every word has n-grams."""
         if not len(self.word):
             return np.zeros((0, p["word"].shape[1] + p["gram"].shape[1]), np.float32)
-        sums = np.add.reduceat(p["gram"][self.grams], self.bounds[:-1], axis=0)
-        return np.hstack([p["word"][self.word], sums / (self.bounds[1:] - self.bounds[:-1])[:, None]])
+        sums = np.empty((len(self.word), p["gram"].shape[1]), np.float32)
+        for at in range(0, len(self.word), WORDS_AT_ONCE):
+            bounds = self.bounds[at : at + WORDS_AT_ONCE + 1]
+            vectors = p["gram"][self.grams[bounds[0] : bounds[-1]]]
+            sums[at : at + WORDS_AT_ONCE] = np.add.reduceat(vectors, bounds[:-1] - bounds[0], axis=0)
+        return np.hstack([p["word"][self.word], sums / np.diff(self.bounds)[:, None].astype(np.float32)])
 
 
 def windows(bounds: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
