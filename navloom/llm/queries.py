@@ -10,7 +10,17 @@ from pathlib import Path
 
 import navloom
 import public_tokenizers
-from navloom.llm import html_templates, jaccard_join, mixing, packing, quality, sharding, toxicity
+from navloom.llm import (
+    collision_search,
+    embedding_dedup,
+    html_templates,
+    jaccard_join,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    toxicity,
+)
 from navloom.llm.shared import new_folder, read
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,3 +171,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_templates.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query("op8_embedding_dedup")
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+@query("op9_collision_search")
+def op9_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return collision_search.search(vectors.where("vec_id % 100 = 0"), vectors)
