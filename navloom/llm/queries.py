@@ -20,6 +20,7 @@ from navloom.llm import (
     quality,
     sharding,
     toxicity,
+    warc,
 )
 from navloom.llm.shared import new_folder, read
 from pyspark.sql import DataFrame, SparkSession
@@ -182,3 +183,10 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return collision_search.search(vectors.where("vec_id % 100 = 0"), vectors)
+
+
+@query("op4_warc")
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "archives")
+    index = warc.write_archives(read(spark, sf_dir, "pages", "page_id", "url", "html"), path)
+    return warc.read_archives(index, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
