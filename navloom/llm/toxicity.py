@@ -47,6 +47,7 @@ class Plan:
     longest: int = 5
     state: int = 8
     rounds: int = 6
+    least_steps: int = 240
     batch: int = 64
     rate: float = 0.08
     sample: int = 3600
@@ -252,7 +253,8 @@ def train(texts: list[str], labels: np.ndarray, plan: Plan = Plan()) -> Model:
     first, size, doc = windows(bounds, plan)
     starts = np.searchsorted(doc, np.arange(len(texts) + 1))
     squares = {name: np.full_like(value, 1e-6) for name, value in p.items()}
-    for round_number in range(plan.rounds):
+    rounds = max(plan.rounds, -(-plan.least_steps * plan.batch // len(texts)))
+    for round_number in range(rounds):
         if round_number:
             logits = _all_logits(p, lexicon, found.which, first, size, plan)
             top = np.array([a + int(np.argmax(logits[a:b])) for a, b in zip(starts[:-1], starts[1:], strict=True)])
@@ -262,7 +264,7 @@ def train(texts: list[str], labels: np.ndarray, plan: Plan = Plan()) -> Model:
         more = labels == 0 if round_number else np.ones(len(texts), bool)
         chosen = np.concatenate([top, other[more]])
         random.shuffle(chosen)
-        rate = plan.rate * (1 - round_number / plan.rounds)
+        rate = plan.rate * (1 - round_number / rounds)
         for at in range(0, len(chosen), plan.batch):
             part = chosen[at : at + plan.batch]
             steps = steps_of(found.which, first[part], size[part], plan, len(found.raw))
