@@ -330,9 +330,12 @@ def join(docs: DataFrame) -> DataFrame:
     stars = verified(pivots(nodes), nodes, docs)
     known = keep(components(stars), "components")
     links = verified(candidates(docs, nodes, known), nodes, docs)
-    if not links.isEmpty():
-        known = keep(components(links.union(known.toDF("a", "b"))), "components")
     placed = nodes.select("node", "doc_id").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    if not links.isEmpty():
+        of = placed.select("node", "component")
+        ends = links.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        merged = keep(components(ends.distinct()), "components").toDF("component", "into")
+        placed = placed.join(merged, "component", "left").withColumn("component", F.coalesce("into", "component")).drop("into")
     least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     names = placed.join(least, "component").select("node", "component_id")
     return (
