@@ -38,7 +38,9 @@ from navloom.llm.shared import keep, mix64, sliced, text_of, utf8, whole_groups
 from navloom.llm.words import split
 
 WORDS = 5
+#: Groups of the trees' points; larger sets have a multiple, at most CROWD shingles to a group.
 GROUPS = 64
+CROWD = 6
 #: Minima of each set under as many hashes; two neighbours together are a key of the first pass.
 MINIMA = 8
 #: A shingle is frequent if this share of the sampled texts has it, and at least FREQUENT_LEAST do.
@@ -100,6 +102,17 @@ def signatures(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     return tuple(_sums(mix64(values ^ seed), bounds, np.add).view(np.int64) for seed in _SEEDS[:2])
 
 
+def cells_of(n: np.ndarray) -> np.ndarray:
+    """Groups of a set's point: GROUPS, doubled until a group has few shingles, as crowded groups bound nothing."""
+    doubled = np.ceil(np.log2(np.maximum(n, 1) / (GROUPS * CROWD))).clip(0).astype(np.int64)
+    return GROUPS << doubled
+
+
+def folded(points: np.ndarray, cells: int) -> np.ndarray:
+    """Points of more groups as points of fewer: a shingle's group is its hash modulo the number of groups."""
+    return points.reshape(len(points), -1, cells).sum(axis=1, dtype=np.int64)
+
+
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
         values, bounds = shingle_sets(batch.column("text"))
@@ -107,8 +120,10 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, check = signatures(values, bounds)
         minima = np.stack([_sums(mix64(values ^ seed), bounds, np.minimum) for seed in _SEEDS[2:]], axis=1)
         keys = mix64(minima + np.roll(minima, 1, axis=1) * _PLACES[0])
-        cell = np.repeat(np.arange(docs), n) * GROUPS + (values % np.uint64(GROUPS)).astype(np.int64)
-        points = np.bincount(cell, minlength=docs * GROUPS).astype("<u4").reshape(docs, GROUPS)
+        cells = cells_of(n)
+        at = np.concatenate([[0], np.cumsum(cells)])
+        cell = np.repeat(at[:-1], n) + (values % np.repeat(cells, n).astype(np.uint64)).astype(np.int64)
+        points = np.bincount(cell, minlength=at[-1]).astype("<u2")
         lists = pa.ListArray.from_arrays(
             pa.array(np.arange(docs + 1, dtype=np.int32) * MINIMA), pa.array(keys.view(np.int64).ravel())
         )
@@ -119,7 +134,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(node),
                 pa.array(check),
                 lists,
-                pa.array([p.tobytes() for p in points], pa.binary()),
+                pa.array([points[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary()),
             ],
             names=["doc_id", "n", "node", "check", "keys", "point"],
         )
@@ -261,29 +276,75 @@ class RTree:
         return (7 * bound >= 3 * (size + least[node])) & (4 * bound >= 3 * size)
 
 
+def _pairs_in(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows within each range a:b."""
+    row = np.concatenate([np.arange(x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True)] or [np.zeros(0, np.int64)])
+    after = np.repeat(b, b - a) - 1 - row
+    x = np.repeat(row, after)
+    return x, x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(after) - after, after)
+
+
+class Points:
+    """Points of a batch in as many groups as each has; bounds are taken in as many as both sides have."""
+
+    def __init__(self, blobs: list[bytes]):
+        self.cells = np.array([len(b) // 2 for b in blobs], np.int64)
+        self.parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for cells in np.unique(self.cells).tolist():
+            rows = np.flatnonzero(self.cells == cells)
+            self.parts[cells] = rows, np.frombuffer(b"".join([blobs[i] for i in rows.tolist()]), "<u2").reshape(-1, cells)
+
+    def all_in(self, cells: int) -> np.ndarray:
+        """A row for every point of at least so many groups; zeros for the others."""
+        out = np.zeros((len(self.cells), cells), np.int64)
+        for own, (rows, points) in self.parts.items():
+            if own >= cells:
+                out[rows] = folded(points, cells)
+        return out
+
+    def may(self, x: np.ndarray, y: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the summed minima of each pair's points allow a similarity of 3/4."""
+        good = np.zeros(len(x), bool)
+        level = np.minimum(self.cells[x], self.cells[y])
+        for cells in np.unique(level).tolist():
+            of_level = np.flatnonzero(level == cells)
+            points = self.all_in(cells)
+            for s in range(0, len(of_level), 8192):
+                k = of_level[s : s + 8192]
+                bound = np.minimum(points[x[k]], points[y[k]]).sum(axis=1)
+                good[k] = 7 * bound >= 3 * (size[x[k]] + size[y[k]])
+        return good
+
+
 def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For rows grouped by (h, i, j): candidate pairs across components, and across the parts if i <> j."""
     for batch in whole_groups(batches, ["h", "i", "j"]):
         h, i, j, part, node, n, known = (
             batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "i", "j", "part", "node", "n", "component")
         )
-        points = np.frombuffer(b"".join(batch.column("point").to_pylist()), "<u4").reshape(-1, GROUPS)
+        points, n = Points(batch.column("point").to_pylist()), n.astype(np.int64)
         border = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
-        found: list[tuple[np.ndarray, ...]] = []
-        for a, b in zip(border.tolist(), [*border[1:].tolist(), len(h)], strict=True):
-            x, y = RTree(points[a:b], n[a:b].astype(np.int64)).partners()
-            x, y = x + a, y + a
-            good = (known[x] != known[y]) & ((part[x] != part[y]) | (i[x] == j[x]))
-            good &= 4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y])
-            x, y = x[good], y[good]
-            smaller, larger = np.minimum(n[x], n[y]).astype(np.int64), np.maximum(n[x], n[y]).astype(np.int64)
-            # Beyond the prefix that ends first, its set has at most 3/4 of the larger size to share.
-            least = -(-3 * (smaller + larger) // 7) - (3 * larger + 3) // 4 + 1
-            found.append((np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), np.maximum(least, 1)))
-        x, y, least = (np.concatenate(side) for side in zip(*found, strict=True))
-        pairs, first, times = np.unique(np.stack([x, y], axis=1), axis=0, return_index=True, return_counts=True)
+        ends = np.append(border[1:], len(h))
+        small = ends - border <= LEAF  # a tree of one leaf
+        pairs = [_pairs_in(border[small], ends[small])]
+        if not small.all():
+            flat = points.all_in(GROUPS)
+            for a, b in zip(border[~small].tolist(), ends[~small].tolist(), strict=True):
+                x, y = RTree(flat[a:b], n[a:b]).partners()
+                pairs.append((x + a, y + a))
+        x, y = (np.concatenate(side) for side in zip(*pairs, strict=True))
+        good = (known[x] != known[y]) & ((part[x] != part[y]) | (i[x] == j[x]))
+        good &= 4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y])
+        x, y = x[good], y[good]
+        good = points.may(x, y, n)
+        x, y = x[good], y[good]
+        smaller, larger = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+        # Beyond the prefix that ends first, its set has at most 3/4 of the larger size to share.
+        least = np.maximum(-(-3 * (smaller + larger) // 7) - (3 * larger + 3) // 4 + 1, 1)
+        named = np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], axis=1)
+        found, first, times = np.unique(named, axis=0, return_index=True, return_counts=True)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(least[first]), pa.array(times)], names=["a", "b", "least", "met"]
+            [pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(least[first]), pa.array(times)], names=["a", "b", "least", "met"]
         )
 
 
