@@ -226,15 +226,19 @@ def adjust_all(
 
     rejected = []
     usable = nav
+    wanted = nav.select("fund_code").distinct()
+    if codes is not None:
+        wanted = codes.select("fund_code").distinct()
+        if done is not None:
+            wanted = wanted.join(done.select("fund_code").distinct(), "fund_code", "left_anti")
+    # Files are missed before rows: a fund without either is rejected for its file.
     for landed, error in ((bonus_codes, "missing bonus files"), (split_codes, "missing split files")):
         if landed is not None:
             landed = landed.select("fund_code").distinct()
-            rejected.append(absent(usable.select("fund_code").distinct(), landed, error))
+            rejected.append(absent(wanted, landed, error))
+            wanted = wanted.join(landed, "fund_code", "left_semi")
             usable = usable.join(landed, "fund_code", "left_semi")
     if codes is not None:
-        wanted = codes.select("fund_code").distinct()
-        if done is not None:
-            wanted = wanted.join(done.select("fund_code").distinct(), "fund_code", "left_anti")
         rejected.append(absent(wanted, nav.select("fund_code").distinct(), "empty nav data"))
 
     days = days_with_events(one_row_per_day(usable), bonus, split)

@@ -172,7 +172,7 @@ def order_terms(order_by: str | Sequence[str]) -> str:
     """ORDER BY text with nulls last in either direction unless the user says otherwise."""
     terms = re.split(r",(?![^()]*\))", order_by) if isinstance(order_by, str) else list(order_by)
     terms = [term.strip() for term in terms]
-    return ", ".join(t if "nulls" in t.lower() else f"{t} NULLS LAST" for t in terms)
+    return ", ".join(t if re.search(r"\bnulls\s+(first|last)\b", t, re.IGNORECASE) else f"{t} NULLS LAST" for t in terms)
 
 
 def selection(scoreboard: DataFrame, rules: Rules, salts: int = 64) -> DataFrame:
@@ -202,7 +202,13 @@ def selection(scoreboard: DataFrame, rules: Rules, salts: int = 64) -> DataFrame
 def position_paths(
     selected_windows: DataFrame, selections: DataFrame, calendar: DataFrame, nav: DataFrame
 ) -> DataFrame:
-    """Selected funds with their NAV on every trade day of their window (null where missing)."""
+    """Selected funds with their NAV on every trade day of their window (null where missing).
+
+    Of the NAV history only the selected funds between the first buy and the last sale are read on.
+    """
+    first, last = (selected_windows.agg(f.alias("day")).scalar() for f in (F.min("d3"), F.max("d4")))
+    codes = selections.select("fund_code").distinct()
+    nav = nav.where(F.col("nav_date").between(first, last)).join(codes, "fund_code", "left_semi")
     days = calendar.distinct().withColumnRenamed("trade_date", "nav_date")
     grid = (
         selected_windows.select(
@@ -313,8 +319,13 @@ def run_backtest(
     `scoreboard` and `nav_daily` are the stored snapshots of all versions.
     """
     planned = windows(spark, calendar, rules)
+    if planned.isEmpty():
+        raise ValueError("the calendar holds no backtest window")
+    if not rules.nav_version and nav_daily.select("data_version").isEmpty():
+        raise ValueError("no NAV version is stored")
     versioned = with_versions(planned, version_dates(scoreboard), rules.scoreboard_version)
-    selections = selection(scoreboard, rules)
+    in_use = versioned.where("skip_reason is null").select("data_version").distinct()
+    selections = selection(scoreboard.join(in_use, "data_version", "left_semi"), rules)
     nav_version = (
         F.lit(rules.nav_version) if rules.nav_version else latest_version(nav_daily).scalar()
     )

@@ -60,7 +60,7 @@ CONTRACTS: dict[str, TableContract | FundSetContract] = {
         required=("fund_code", "is_filtered", "reasons"),
         non_null=("fund_code", "is_filtered"),
         unique_key=_CODE,
-        allowed={"is_filtered": ("是", "否")},
+        allowed={"is_filtered": ("true", "false")},
     ),
     "purchase_filtered": TableContract(required=_CODE, non_null=_CODE, unique_key=_CODE),
     "scoreboard": TableContract(
@@ -276,8 +276,15 @@ def check_stage(spark: SparkSession, stage: str, tables: Mapping[str, DataFrame]
 
 
 def require_stage(spark: SparkSession, stage: str, tables: Mapping[str, DataFrame]) -> None:
-    """Fail with the violations of a stage; at most a few per rule ever reach the driver."""
-    found = check_stage(spark, stage, tables).limit(100).collect()
+    """Fail with the violations of a stage, a line for each rule and column with one example.
+
+    The full table of violations is `check_stage`.
+    """
+    every = check_stage(spark, stage, tables)
+    per_rule = every.groupBy("artifact", "rule", "columns").agg(
+        F.sum("bad_rows").alias("bad_rows"), F.min("detail").alias("detail")
+    )
+    found = per_rule.orderBy("artifact", "rule", "columns").collect()
     if found:
         raise ValueError(
             "; ".join(f"{v.rule} violated: {v.artifact} [{v.columns}] rows={v.bad_rows} {v.detail}" for v in found)

@@ -158,10 +158,11 @@ def daily_facts(
 ) -> DataFrame:
     """Unit and adjusted NAV with the daily return, for funds that are not stale."""
     series = _live_series(adjusted, as_of, stale_max_days, latest).where(~F.col("stale"))
+    unit_nav = F.col("unit_nav") if "unit_nav" in series.columns else F.lit(None).cast("double")
     return series.select(
         "fund_code",
         "nav_date",
-        "unit_nav",
+        unit_nav.alias("unit_nav"),
         "adjusted_nav",
         pct_change(_nav(), F.lag("adjusted_nav").over(_by_day())).alias("daily_return"),
         F.col("end_date").alias("latest_nav_date"),

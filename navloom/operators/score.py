@@ -71,7 +71,7 @@ def input_ranges(table: DataFrame) -> DataFrame:
 
 def min_max(value: Column, low: Column, high: Column, larger_is_better: bool) -> Column:
     """Position in [low, high]; null when the value is missing or all values are equal."""
-    position = F.when(low != high, (value - low) / (high - low))
+    position = F.when(low != high, F.nanvl((value - low) / (high - low), F.lit(None).cast("double")))
     return position if larger_is_better else F.lit(1.0) - position
 
 
@@ -109,35 +109,28 @@ def composite_score(table: DataFrame, ranked: bool = True) -> DataFrame:
     return global_rank(written(scored, "scores"), "score") if ranked else scored
 
 
-def global_rank(table: DataFrame, column: str, name: str = "rank", buckets: int = 256) -> DataFrame:
+def global_rank(table: DataFrame, column: str, name: str = "rank", range_rows: int = 1 << 16) -> DataFrame:
     """Competition rank (1, 2, 2, 4) by a numeric column, largest first, without one global sort.
 
-    Equal values are counted first, so ties never pile up in a task; that table is
-    stored, since three steps read it. The distinct values
-    are cut into ranges of about equal size; a value's rank is one plus the rows in the
-    ranges above plus the rows above it in its own range. Only the per-range totals (at
-    most `buckets` + 1 rows) meet in one window.
+    Equal values are counted first, so ties never pile up in a task. The distinct values are dealt
+    into ranges of about `range_rows`, however many there are, and stored with the number of their
+    range; a value's rank is one plus the rows in the ranges above plus the rows above it in its own
+    range. Rows without a number (null or NaN) have no rank and pass by the join.
     """
-    counts = written(
-        table.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("ties")), "ties"
-    )
-    steps = [i / buckets for i in range(1, buckets)]
-    cuts = counts.agg(F.percentile_approx(column, steps, 10000).alias("cuts")).scalar()
-    bucketed = counts.withColumn("cuts", cuts).select(
-        column,
-        "ties",
-        F.size(F.filter("cuts", lambda cut: cut < F.col(column))).alias("bucket"),
-    )
-    totals = bucketed.groupBy("bucket").agg(F.sum("ties").alias("total"))
-    higher = W.orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select("bucket", F.coalesce(F.sum("total").over(higher), F.lit(0)).alias("above"))
-    within = (
-        W.partitionBy("bucket").orderBy(F.desc(column)).rowsBetween(W.unboundedPreceding, -1)
-    )
-    ranks = bucketed.join(offsets, "bucket").select(
+    numbered = F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))
+    counts = written(table.where(numbered).groupBy(column).agg(F.count("*").alias("ties")), "ties")
+    ranges = max(1, -(-counts.count() // range_rows))
+    dealt = counts.repartitionByRange(ranges, F.desc(column)).withColumn("range", F.spark_partition_id())
+    ranged = written(dealt, "ranges")
+    totals = ranged.groupBy("range").agg(F.sum("ties").alias("total"))
+    higher = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select("range", F.coalesce(F.sum("total").over(higher), F.lit(0)).alias("above"))
+    within = W.partitionBy("range").orderBy(F.desc(column)).rowsBetween(W.unboundedPreceding, -1)
+    ranks = ranged.join(offsets, "range").select(
         column,
         (F.lit(1) + F.col("above") + F.coalesce(F.sum("ties").over(within), F.lit(0)))
         .cast("int")
         .alias(name),
     )
-    return table.join(ranks, column, "left").select(*table.columns, name)
+    ranked = table.where(numbered).join(ranks, column, "left").select(*table.columns, name)
+    return ranked.union(table.where(~numbered | F.col(column).isNull()).select(*table.columns, F.lit(None).cast("int").alias(name)))

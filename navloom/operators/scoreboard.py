@@ -182,7 +182,7 @@ def export(scoreboard: DataFrame, headers: str = "exported") -> DataFrame:
     def shown(name: str, style: str) -> Column:
         if name in places:
             return F.col("rounded")[places[name]]
-        return display.styled(F.col(name) if name in scoreboard.columns else F.lit(None), style)
+        return display.styled(F.col(name) if name in scoreboard.columns else F.lit(None).cast("string"), style)
 
     return table.select(
         *[shown(name, style).alias(header if headers == "exported" else name) for name, header, style in EXPORT]
@@ -207,7 +207,7 @@ def _guard_rows(exported: DataFrame, max_rows: int | None) -> None:
 def recheck(
     exported: DataFrame,
     adjusted: DataFrame,
-    max_rows: int | None = 200,
+    max_rows: int | None = None,
     latest: str | None = None,
 ) -> Recheck:
     """Recompute the metrics and compare them, as displayed, with an exported scoreboard.

@@ -25,11 +25,11 @@ from navloom.sources import files, schemas
 class Settings:
     data_version: str
     start: str = "2023-01-01"
-    end: str = "2026-12-31"
+    end: str | None = None  # the last NAV day
     as_of: str | None = None
     stale_max_days: int = 2
     max_abs_deviation: float = 0.02
-    allow_missing_event_until: str | None = "2020-12-31"
+    allow_missing_event_until: str | None = None
     latest_nav_date: str | None = None
     metrics_only: bool = True
     write_scope: str = "full"
@@ -113,10 +113,11 @@ def store_version(result: dict[str, DataFrame], root: str, settings: Settings) -
         sinks.write_version(result[name], f"{root}/{name}", version)
     if settings.metrics_only:
         return
+    last = result["dim_base"].agg(F.max("as_of_date")).first()[0]
     snapshot = normalise.tagged(
         result["metrics"].where(~F.col("stale")).drop("stale"),
         version,
-        str(result["dim_base"].select("as_of_date").first().as_of_date),
+        str(last) if last else settings.as_of,
     )
     facts = {
         "nav_daily": result["nav_daily"],
@@ -141,9 +142,9 @@ def full_run(spark: SparkSession, landing: Landing, root: str, settings: Setting
     purchase = stored(candidates.effective_purchase(raw_purchase, blacklist).purchase, "purchase")
     contracts.require_stage(spark, "effective_purchase_output", {"purchase": purchase})
 
-    overview = files.read_table(spark, landing.overview, schemas.OVERVIEW, line_order=True)
+    overview = files.read_table(spark, landing.overview, schemas.OVERVIEW_LANDED, line_order=True)
     per_fund = files.read_per_fund_files
-    nav = normalise.nav(per_fund(spark, landing.nav, schemas.NAV))
+    nav = normalise.nav(per_fund(spark, landing.nav, schemas.NAV, required=("nav_date", "unit_nav")))
     bonus = normalise.bonus(per_fund(spark, landing.bonus, schemas.BONUS))
     split = normalise.split(per_fund(spark, landing.split, schemas.SPLIT))
     personnel = normalise.personnel(per_fund(spark, landing.personnel, schemas.PERSONNEL))
@@ -173,7 +174,8 @@ def full_run(spark: SparkSession, landing: Landing, root: str, settings: Setting
         "integrity_input",
         {"adjusted_nav": adjusted, "overview": overview, "calendar": calendar},
     )
-    window = (adjusted, overview, calendar, settings.start, settings.end)
+    end = settings.end or str(metrics.latest_day(adjusted).first().as_of_date)
+    window = (adjusted, overview, calendar, settings.start, end)
     whole = stored(integrity.detail(*window), "integrity_details")
     shares = stored(integrity.summary(*window), "integrity_summary")
 
@@ -183,6 +185,15 @@ def full_run(spark: SparkSession, landing: Landing, root: str, settings: Setting
     summary = stored(compared.summary, "compare_summary")
     errors = stored(compared.errors, "compare_errors")
 
+    filter_tables = {
+        "purchase": purchase,
+        "overview": overview,
+        "nav": landed["nav"],
+        "adjusted_nav": adjusted,
+        "compare_details": details,
+        "integrity_details": whole,
+    }
+    contracts.require_stage(spark, "filter_input", filter_tables)
     filtered = stored(
         candidates.filter_candidates(
             purchase,
@@ -198,9 +209,15 @@ def full_run(spark: SparkSession, landing: Landing, root: str, settings: Setting
         ),
         "candidates",
     )
+    contracts.require_stage(spark, "candidates_output", {"candidates": filtered})
     remaining = stored(candidates.filtered_purchase(purchase, filtered), "purchase_filtered")
     contracts.require_stage(spark, "purchase_filtered_output", {"purchase": remaining})
 
+    contracts.require_stage(
+        spark,
+        "scoreboard_input",
+        {"purchase": remaining, "overview": overview, "personnel": personnel, "adjusted_nav": adjusted},
+    )
     board = scoreboard_run(remaining, overview, personnel, adjusted, root, settings, order)
     store_version(board, root, settings)
     sinks.write_csv(

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOG_COLUMNS = ("ts", "stage", "code", "error")
-MAX_LOG_COLUMNS = 2000
 
 # Fact tables of a version, and the ones the reduced scope writes.
 FACTS = ("nav_daily", "return_period", "metrics_snapshot", "scoreboard_snapshot")
@@ -17,7 +16,7 @@ SCOPES = {"full": FACTS, "verify_minimal": ("nav_daily", "scoreboard_snapshot")}
 
 def write_csv(table: DataFrame, path: str) -> None:
     """One result table as a CSV directory with header."""
-    table.write.mode("overwrite").option("header", True).csv(path)
+    table.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_per_fund(table: DataFrame, path: str) -> None:
@@ -26,7 +25,7 @@ def write_per_fund(table: DataFrame, path: str) -> None:
     Rebalancing by fund gives each fund few files and lets AQE split a fund with many rows.
     """
     spread = table.hint("rebalance", "fund_code")
-    spread.write.mode("overwrite").partitionBy("fund_code").option("header", True).csv(path)
+    spread.write.mode("overwrite").partitionBy("fund_code").option("header", True).option("escape", '"').csv(path)
 
 
 def append_failures(rejects: DataFrame, path: str) -> None:
@@ -40,22 +39,24 @@ def append_failures(rejects: DataFrame, path: str) -> None:
 
 
 def log_columns(records: DataFrame) -> list[str]:
-    """Keys of a log: the usual ones that occur, then the others sorted."""
-    keys = records.select(F.explode(F.map_keys("record")).alias("key")).distinct()
-    present = {row.key for row in keys.limit(MAX_LOG_COLUMNS + 1).collect()}
-    if len(present) > MAX_LOG_COLUMNS:
-        raise ValueError(f"log has more than {MAX_LOG_COLUMNS} distinct keys")
+    """Keys of a log: the usual ones that occur, then the others sorted.
+
+    Column names have to be known to build a table; `long_log` needs no list of keys.
+    """
+    present = {row.key for row in records.select(F.explode(F.map_keys("record")).alias("key")).distinct().collect()}
     return [c for c in LOG_COLUMNS if c in present] + sorted(present.difference(LOG_COLUMNS))
 
 
-def flat_log(records: DataFrame) -> DataFrame:
-    """Log records (a map per row) as a table; an absent key is blank."""
-    return records.select(
-        *[
-            F.coalesce(F.col("record").getItem(key), F.lit("")).alias(key)
-            for key in log_columns(records)
-        ]
-    )
+def flat_log(records: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """Log records (a map per row) as a table of the wanted keys, else of all; an absent key is blank."""
+    wanted = log_columns(records) if keys is None else keys
+    return records.select(*[F.coalesce(F.col("record").getItem(key), F.lit("")).alias(key) for key in wanted])
+
+
+def long_log(records: DataFrame) -> DataFrame:
+    """Log records as (record, key, value) rows, whatever keys there are."""
+    numbered = records.select(F.monotonically_increasing_id().alias("id"), "record")
+    return numbered.select("id", F.explode("record").alias("key", "value"))
 
 
 def with_columns_of(table: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -2,35 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from navloom.functions import text
-from navloom.sources.schemas import CALENDAR, FAILURE_LOG, text_schema
+from navloom.sources.schemas import CALENDAR, FAILURE_LOG
 
 LINE_ORDER = "line_order"
 CODE_FROM_PATH = r"([^/]+)\.csv$"
 CODE_FROM_FOLDER = r"/fund_code=([^/]+)/"
+# A CSV record (line breaks only inside quotes) and a field behind its comma.
+RECORD = r'(?:[^"\r\n]++|"(?:[^"]++|"")*+")++'
+FIELD = r',("(?:[^"]++|"")*+"|[^,"]*+)'
 
 
 def read_table(
-    spark: SparkSession, path: str, columns: dict[str, str], line_order: bool = False
+    spark: SparkSession,
+    path: str,
+    columns: dict[str, str],
+    line_order: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """One landed CSV table as text columns under our names.
+    """One landed CSV table as text columns under our names, taken by header.
 
-    `enforceSchema=false` makes a file with other headers fail instead of being
-    read by position. With `line_order`, a sortable position (file, block, row in
-    block) is added, so that keep-first means first in the file on any cluster.
+    Order and further columns of the file do not matter, absent ones are left to the normalisers.
+    Quotes inside quoted text are doubled. A row with another number of fields than the header is an
+    error, never shifted or filled; so is a part whose header differs from the others'. Text with
+    line breaks needs `multi_line`, which reads a file in one task. With `line_order`, a sortable
+    position (file, block, row in block) is added, so that keep-first means first in the file.
     """
     raw = (
-        spark.read.schema(text_schema(columns))
-        .option("header", True)
+        spark.read.option("header", True)
         .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
+        .option("multiLine", multi_line)
         .option("encoding", "UTF-8")
         .csv(path)
     )
-    renamed = [F.col(f"`{header}`").alias(name) for header, name in columns.items()]
+    renamed = [F.col(f"`{header}`").alias(name) for header, name in columns.items() if header in raw.columns]
+    if not renamed:
+        raise ValueError(f"none of the headers {list(columns)} in {path}")
     if not line_order:
         return raw.select(*renamed)
     position = F.struct(
@@ -41,45 +57,83 @@ def read_table(
     return raw.select(*renamed, position.alias(LINE_ORDER))
 
 
-def read_per_fund_files(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    """A directory of per-fund files as one long table.
+def _code_in(file: Column) -> Column:
+    """The stem of {code}.csv, or the folder name where our own per-fund sink wrote fund_code={code}/."""
+    folder = F.regexp_extract(file, CODE_FROM_FOLDER, 1)
+    stem = F.regexp_extract(file, CODE_FROM_PATH, 1)
+    return text.fund_code(F.when(folder != "", folder).otherwise(stem))
+
+
+def _fields(record: Column) -> Column:
+    """Fields of a CSV record: an empty one is null, a quoted one loses its quotes and doubled quotes."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(FIELD), F.lit(1))
+    return F.transform(
+        found,
+        lambda f: F.when(f == "", F.lit(None).cast("string"))
+        .when(f.startswith('"'), F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"')))
+        .otherwise(f),
+    )
+
+
+def read_per_fund_files(
+    spark: SparkSession,
+    path: str,
+    columns: dict[str, str],
+    required: Sequence[str] = (),
+    line_order: bool = False,
+) -> DataFrame:
+    """A directory of per-fund files as one long table, columns taken by each file's own header.
 
-    The code is the stem of {code}.csv, or the folder name where our own per-fund sink
-    wrote fund_code={code}/. It is taken from the path, never inferred as a number.
+    The code comes from the path, never inferred as a number. Such a file holds at most a row per
+    day of one fund, so it is read whole: quoted line breaks are safe and files may differ in order
+    and columns. An absent column is null, except for `required` names, which are an error.
     """
-    raw = (
-        spark.read.schema(text_schema(columns))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", "*.csv")
+    whole = (
+        spark.read.option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
-        .csv(path)
+        .text(path, wholetext=True)
     )
     file = F.col("_metadata.file_path")
-    folder = F.regexp_extract(file, CODE_FROM_FOLDER, 1)
-    stem = F.regexp_extract(file, CODE_FROM_PATH, 1)
-    return raw.select(
-        text.fund_code(F.when(folder != "", folder).otherwise(stem)).alias("fund_code"),
-        *[
-            F.col(f"`{header}`").alias(name)
-            for header, name in columns.items()
-            if name != "fund_code"
-        ],
+    content = F.regexp_replace("value", "^\ufeff", "")
+    records = whole.select(
+        file.alias("file"), F.regexp_extract_all(content, F.lit(RECORD), F.lit(0)).alias("records")
+    ).where(F.size("records") > 0)
+    header = F.transform(_fields(F.col("records")[0]), F.trim)
+    rows = records.select(
+        "file", header.alias("header"), F.posexplode(F.slice("records", F.lit(2), F.size("records") - 1)).alias("row", "record")
+    ).withColumn("fields", _fields(F.col("record")))
+    wrong = F.concat(F.lit("row "), F.col("row") + 1, F.lit(" has not the header's fields: "), F.col("file"))
+    checked = F.when(F.size("fields") == F.size("header"), F.col("fields")).otherwise(F.raise_error(wrong))
+
+    def named(source: str, name: str) -> Column:
+        place = F.array_position("header", source)
+        absent = F.raise_error(F.concat(F.lit(f"no column {source} in "), F.col("file"))) if name in required else F.lit(None)
+        return F.when(place > 0, F.get("fields", (place - 1).cast("int"))).otherwise(absent).cast("string").alias(name)
+
+    order = [F.struct("file", "row").alias(LINE_ORDER)] if line_order else []
+    return rows.withColumn("fields", checked).select(
+        _code_in(F.col("file")).alias("fund_code"),
+        *[named(source, name) for source, name in columns.items() if name != "fund_code"],
+        *order,
     )
 
 
 def codes_with_file(spark: SparkSession, path: str) -> DataFrame:
-    """Codes that have a {code}.csv file, also an empty one (names only, no content is read)."""
-    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
-    return names.select(
-        text.fund_code(F.regexp_extract("path", CODE_FROM_PATH, 1)).alias("fund_code")
-    ).distinct()
+    """Codes that have a file, also an empty one (names only, no content is read)."""
+    names = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select("path")
+    )
+    return names.select(_code_in(F.col("path")).alias("fund_code")).distinct()
 
 
 def only_codes(table: DataFrame, codes: DataFrame, code_limit: int | None = None) -> DataFrame:
     """Rows of the target codes; a target without rows is not an error."""
     wanted = codes.select("fund_code").distinct()
-    if code_limit:
+    if code_limit is not None:
         wanted = wanted.orderBy("fund_code").limit(code_limit)
     return table.join(wanted, "fund_code", "left_semi")
 
@@ -115,10 +169,10 @@ def read_log_strict(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     A map keeps keys that no schema foresees and tells an absent key from a null one.
     """
-    lines = spark.read.text(paths).where(F.trim("value") != "")
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file")).where(F.trim("value") != "")
     record = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
-    line = lines.select(F.col("value"), record.alias("record"))
-    bad = F.concat(F.lit("invalid JSON object: "), F.col("value"))
+    line = lines.select("value", "file", record.alias("record"))
+    bad = F.concat(F.lit("invalid JSON object in "), F.col("file"), F.lit(": "), F.col("value"))
     return line.select(
         F.when(F.col("record").isNotNull(), F.col("record")).otherwise(F.raise_error(bad)).alias("record")
     )
@@ -128,7 +182,7 @@ def read_blacklist(spark: SparkSession, path: str | None) -> DataFrame:
     """Codes of a blacklist file: its code column, else its first column; blanks are ignored."""
     if path is None:
         return spark.createDataFrame([], "fund_code string")
-    return blacklist_codes(spark.read.option("header", True).csv(path))
+    return blacklist_codes(spark.read.option("header", True).option("escape", '"').csv(path))
 
 
 def blacklist_codes(raw: DataFrame) -> DataFrame:

@@ -41,6 +41,7 @@ OVERVIEW = {
 
 # The source calls the asset scale by this header; it lands under the name above.
 OVERVIEW_SOURCE_ASSET_SCALE = "净资产规模"
+OVERVIEW_LANDED = {**OVERVIEW, OVERVIEW_SOURCE_ASSET_SCALE: "net_asset_scale"}
 
 NAV = {"基金代码": "fund_code", "净值日期": "nav_date", "单位净值": "unit_nav", "日增长率": "daily_growth"}
 
@@ -85,7 +86,3 @@ FAILURE_LOG = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("ts", "stage", "code", "error")]
 )
 
-
-def text_schema(columns: dict[str, str]) -> T.StructType:
-    """Every landed column is read as text: codes keep their zeros, bad values stay visible."""
-    return T.StructType([T.StructField(header, T.StringType()) for header in columns])

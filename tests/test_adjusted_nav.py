@@ -74,7 +74,7 @@ def test_missing_landed_data_and_done_funds(spark, tables):
     none = codes.where("false")
     errors = by_key(adjusted_nav.adjust_all(nav, bonus, split, codes=codes, bonus_codes=none).rejects, "fund_code")
     assert errors["000001"]["error"] == "missing bonus files"
-    assert errors["000002"]["error"] == "empty nav data"
+    assert errors["000002"]["error"] == "missing bonus files"
     skipped = adjusted_nav.adjust_all(nav, bonus, split, codes=codes, done=codes)
     assert skipped.adjusted.count() == 0 and skipped.rejects.count() == 0
 

@@ -33,6 +33,57 @@ def test_table_scan_keeps_zeros_tolerates_bom_and_rejects_other_headers(spark, t
         files.read_table(spark, swapped, schemas.CALENDAR).collect()
 
 
+def test_quotes_order_and_absent_columns(spark, tmp_path):
+    path = write(
+        tmp_path / "o.csv",
+        '净资产规模,extra,基金简称,基金代码\n1亿,"x, ""y""\nz","said ""a"", b",7\n',
+    )
+    row = normalise.overview(files.read_table(spark, path, schemas.OVERVIEW_LANDED, multi_line=True)).collect()[0]
+    assert (row.fund_code, row.short_name, row.asset_scale, row.full_name) == ("000007", 'said "a", b', "1亿", "")
+    ragged = write(tmp_path / "r.csv", "trade_date,note\n2024-01-01,a,b\n")
+    with pytest.raises(Exception):
+        files.read_table(spark, ragged, schemas.CALENDAR).collect()
+    short = write(tmp_path / "s.csv", "note,trade_date\n2024-01-01\n")
+    with pytest.raises(Exception):
+        files.read_table(spark, short, schemas.CALENDAR).collect()
+
+
+def test_per_fund_files_differ_in_columns(spark, tmp_path):
+    folder = tmp_path / "personnel"
+    write(folder / "1.csv", '公告日期,公告标题,报告ID\n2024-01-02,"t ""q"", x\nsecond line",R1\n,"",\n', bom=True)
+    write(folder / "2.csv", "报告ID,more,基金名称\r\nR2,z,n\r\n")
+    write(folder / "3.csv", "")
+    rows = files.read_per_fund_files(spark, str(folder), schemas.PERSONNEL, line_order=True)
+    got = [tuple(r)[:5] for r in rows.orderBy("fund_code", files.LINE_ORDER).collect()]
+    assert got == [
+        ("000001", 't "q", x\nsecond line', None, "2024-01-02", "R1"),
+        ("000001", "", None, None, None),
+        ("000002", None, "n", None, "R2"),
+    ]
+    with pytest.raises(Exception, match="no column"):
+        files.read_per_fund_files(spark, str(folder), schemas.PERSONNEL, required=["notice_date"]).collect()
+    write(tmp_path / "bad" / "1.csv", "公告日期,公告标题\n2024-01-02,a,b\n")
+    with pytest.raises(Exception, match="header's fields"):
+        files.read_per_fund_files(spark, str(tmp_path / "bad"), schemas.PERSONNEL).collect()
+
+
+def test_written_text_reads_back_and_codes_of_own_layout(spark, tmp_path):
+    table = spark.createDataFrame([("000001", 'a "b", c'), ("000002", "plain")], "fund_code string, title string")
+    sinks.write_csv(table, str(tmp_path / "t"))
+    names = {"fund_code": "fund_code", "title": "title"}
+    assert sorted(files.read_table(spark, str(tmp_path / "t"), names).collect()) == sorted(table.collect())
+    sinks.write_per_fund(table, str(tmp_path / "p"))
+    assert sorted(files.read_per_fund_files(spark, str(tmp_path / "p"), names).collect()) == sorted(table.collect())
+    assert {r.fund_code for r in files.codes_with_file(spark, str(tmp_path / "p")).collect()} == {"000001", "000002"}
+
+
+def test_logs_with_many_keys(spark):
+    wide = spark.createDataFrame([({f"k{i}": "v" for i in range(3000)},), ({"code": "1"},)], "record map<string,string>")
+    assert len(sinks.log_columns(wide)) == 3001
+    assert sinks.flat_log(wide, ["code", "k7"]).collect() == [("", "v"), ("1", "")]
+    assert sinks.long_log(wide).count() == 3001
+
+
 def test_keep_first_follows_file_order(spark, tmp_path):
     rows = [("1", name) + (None,) * 16 for name in ("zeta", "alpha", "beta")]
     path = write(tmp_path / "overview.csv", csv(schemas.OVERVIEW, rows))

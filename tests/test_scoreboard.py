@@ -89,7 +89,7 @@ def brute_rank(values):
 def test_global_rank_with_heavy_ties(spark):
     values = [float(v % 7) for v in range(300)] + [0.5] * 400 + [i / 997 for i in range(500)]
     table = spark.createDataFrame(list(enumerate(values)), "i int, v double")
-    got = [r["rank"] for r in score.global_rank(table, "v", buckets=16).orderBy("i").collect()]
+    got = [r["rank"] for r in score.global_rank(table, "v", range_rows=16).orderBy("i").collect()]
     assert got == brute_rank(values)
 
 
