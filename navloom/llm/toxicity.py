@@ -50,8 +50,8 @@ class Plan:
     least_steps: int = 240
     batch: int = 64
     rate: float = 0.08
-    sample: int = 3600
-    sample_chars: int = 12_000_000
+    sample: int = 3200
+    sample_chars: int = 10_000_000
     seed: int = 5
 
 
