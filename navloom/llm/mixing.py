@@ -53,9 +53,10 @@ def _draw(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("/", *parts)), 1, 15), 16, 10).cast("long")
 
 
-def _measure(sources: DataFrame, exponents: DataFrame, target: Target) -> DataFrame:
+def _measure(sources: DataFrame, exponents: list[float], target: Target) -> dict[float, bool]:
     """For each exponent, whether the weights it gives lie on the side of a larger exponent."""
-    powers = sources.crossJoin(F.broadcast(exponents)).withColumn("power", F.pow("share", "exponent"))
+    tried = sources.select("share", F.explode(F.array(*[F.lit(x) for x in exponents])).alias("exponent"))
+    powers = tried.withColumn("power", F.pow("share", "exponent"))
     sums = powers.groupBy("exponent").agg(
         F.sum("power").alias("total"),
         F.max(F.col("power") / F.col("share")).alias("most"),
@@ -65,22 +66,20 @@ def _measure(sources: DataFrame, exponents: DataFrame, target: Target) -> DataFr
         low = F.col("most") / F.col("total") * F.lit(target.budget) > F.lit(target.repetition)
     else:  # entropy falls as the exponent rises
         low = F.ln("total") - F.col("plogp") / F.col("total") >= F.lit(target.entropy)
-    return sums.select("exponent", low.alias("larger"))
+    return {r.exponent: r.larger for r in sums.select("exponent", low.alias("larger")).collect()}
 
 
 def exponent(sources: DataFrame, target: Target) -> float:
     """Bisect in [0, 1]; each job answers for all the middles of the next few halvings."""
     low, high = 0.0, 1.0
-    spark = sources.sparkSession
-    ends = {r.exponent: r.larger for r in _measure(sources, spark.createDataFrame([(0.0,), (1.0,)], "exponent double"), target).collect()}
+    ends = _measure(sources, [0.0, 1.0], target)
     if not ends or not ends[0.0]:
         return 0.0
     if ends[1.0]:
         return 1.0
     for _ in range(BISECTIONS // AT_ONCE):
         steps = 1 << AT_ONCE
-        tried = [(low + (high - low) * k / steps,) for k in range(1, steps)]
-        answers = {r.exponent: r.larger for r in _measure(sources, spark.createDataFrame(tried, "exponent double"), target).collect()}
+        answers = _measure(sources, [low + (high - low) * k / steps for k in range(1, steps)], target)
         for _ in range(AT_ONCE):
             middle = (low + high) / 2
             if answers[middle]:
