@@ -27,6 +27,8 @@ from navloom.llm.shared import shuffles_dropped
 LAW = "key"
 #: Text bytes of a bucket; a bucket is the most a task holds.
 BUCKET_BYTES = 16 << 20
+#: Buckets whose first slots may be broadcast (16 bytes each); more are joined by shuffle.
+BROADCAST_BUCKETS = 1_000_000
 
 
 def shard_of(key: Column, shards: int, seed: int) -> Column:
@@ -98,4 +100,6 @@ def read_shards(spark: SparkSession, path: str, records: T.StructType) -> DataFr
     sizes = stored.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("rows"))
     above = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = sizes.select("shard", "bucket", F.coalesce(F.sum("rows").over(above), F.lit(0)).alias("first"))
+    if sizes.count() <= BROADCAST_BUCKETS:
+        first = F.broadcast(first)
     return stored.join(first, ["shard", "bucket"]).withColumn("slot", F.col("first") + F.col("place")).drop("first")
