@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from navloom.functions import text
+from navloom.sources.files import LINE_ORDER
 
 DIVIDEND, SPLIT = "dividend", "split"
 MISSING_FLAGS = ("no_nav_dividend", "no_nav_split")
@@ -26,8 +27,17 @@ class AdjustedNav(NamedTuple):
 
 
 def one_row_per_day(nav: DataFrame) -> DataFrame:
-    """One NAV per fund and day; of repeated days the highest value stays."""
-    return nav.groupBy("fund_code", "nav_date").agg(F.max("unit_nav").alias("unit_nav"))
+    """One NAV per fund and day; of a repeated day the last line where there is a line_order, else the highest value."""
+    value = F.max_by("unit_nav", LINE_ORDER) if LINE_ORDER in nav.columns else F.max("unit_nav")
+    return nav.groupBy("fund_code", "nav_date").agg(value.alias("unit_nav"))
+
+
+def repeated_days(table: DataFrame, day: str = "nav_date") -> DataFrame:
+    """Per fund with repeated days: how many days repeat, and the rows that one row per day leaves out."""
+    per_day = table.groupBy("fund_code", day).agg(F.count("*").alias("rows")).where("rows > 1")
+    return per_day.groupBy("fund_code").agg(
+        F.count("*").alias("repeated_days"), (F.sum("rows") - F.count("*")).alias("dropped_rows")
+    )
 
 
 def events(bonus: DataFrame, split: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from navloom.functions import display
 from navloom.functions.returns import finite_or_null
+from navloom.sources.files import LINE_ORDER
 
 STAGE = "compare_adjusted_nav_cum_return"
 # Short names of the deviation buckets, in display order.
@@ -25,14 +26,23 @@ class Comparison(NamedTuple):
 def both_sides(adjusted: DataFrame, cum_return: DataFrame) -> DataFrame:
     """One row per fund and day with the value of either side (null: that side lacks the day).
 
-    A union that is grouped, not a join: repeated days collapse before the shuffle,
-    and the larger value of a repeated day stays.
+    A union that is grouped, not a join: repeated days collapse before the shuffle. Of a
+    repeated day the last line stays where the tables have line_order, else the larger value.
     """
     def side(table: DataFrame, day: str, local: Column, remote: Column) -> DataFrame:
+        at = F.col(LINE_ORDER)
+        known = LINE_ORDER in table.columns
+        line = F.struct(at["file"].alias("file"), at["row"].alias("row")) if known else F.lit(None)
         return table.select(
-            "fund_code", F.col(day).alias("date"), local.alias("local"), remote.alias("remote")
+            "fund_code", F.col(day).alias("date"), local.alias("local"), remote.alias("remote"),
+            line.cast("struct<file:string,row:bigint>").alias("line"),
         )
 
+    def last(value: str) -> Column:
+        """The value of the last line, of equal lines (or without lines) the largest."""
+        there = F.col(value).isNotNull()
+        return F.max(F.when(there, F.struct("line", F.col(value).alias("value"))))["value"].alias(value)
+
     none = F.lit(None).cast("double")
     rows = side(
         adjusted, "nav_date", finite_or_null(F.col("adjusted_nav").cast("double")), none
@@ -40,7 +50,7 @@ def both_sides(adjusted: DataFrame, cum_return: DataFrame) -> DataFrame:
     return (
         rows.where("date is not null and (local is not null or remote is not null)")
         .groupBy("fund_code", "date")
-        .agg(F.max("local").alias("local"), F.max("remote").alias("remote"))
+        .agg(last("local"), last("remote"))
     )
 
 

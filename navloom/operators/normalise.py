@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from navloom.functions import text
 from navloom.operators.dedupe import keep_first
+from navloom.sources.files import LINE_ORDER
 from navloom.sources.schemas import OVERVIEW, PURCHASE
 
 
@@ -48,11 +49,13 @@ def nav(raw: DataFrame) -> DataFrame:
     """Unit NAV with parsed dates and numbers; rows without either are dropped."""
     _require(raw, ["nav_date", "unit_nav"])
     table = _with_optional(raw, ["daily_growth"])
+    lines = [LINE_ORDER] if LINE_ORDER in raw.columns else []
     return table.select(
         text.fund_code(F.col("fund_code")).alias("fund_code"),
         text.to_date(F.col("nav_date")).alias("nav_date"),
         text.to_number(F.col("unit_nav")).alias("unit_nav"),
         text.to_number(F.col("daily_growth")).alias("daily_growth"),
+        *lines,
     ).dropna(subset=["nav_date", "unit_nav"])
 
 
@@ -83,10 +86,12 @@ def personnel(raw: DataFrame) -> DataFrame:
 
 def cum_return(raw: DataFrame) -> DataFrame:
     table = _with_optional(raw, ["date", "cum_return_pct"])
+    lines = [LINE_ORDER] if LINE_ORDER in raw.columns else []
     return table.select(
         text.fund_code(F.col("fund_code")).alias("fund_code"),
         text.to_date(F.col("date")).alias("date"),
         text.to_number(F.col("cum_return_pct")).alias("cum_return_pct"),
+        *lines,
     ).dropna(subset=["date", "cum_return_pct"])
 
 

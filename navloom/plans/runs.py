@@ -144,11 +144,14 @@ def full_run(spark: SparkSession, landing: Landing, root: str, settings: Setting
 
     overview = files.read_table(spark, landing.overview, schemas.OVERVIEW_LANDED, line_order=True)
     per_fund = files.read_per_fund_files
-    nav = normalise.nav(per_fund(spark, landing.nav, schemas.NAV, required=("nav_date", "unit_nav")))
+    nav = normalise.nav(per_fund(spark, landing.nav, schemas.NAV, required=("nav_date", "unit_nav"), line_order=True))
     bonus = normalise.bonus(per_fund(spark, landing.bonus, schemas.BONUS))
     split = normalise.split(per_fund(spark, landing.split, schemas.SPLIT))
     personnel = normalise.personnel(per_fund(spark, landing.personnel, schemas.PERSONNEL))
-    cum_return = normalise.cum_return(per_fund(spark, landing.cum_return, schemas.CUM_RETURN))
+    cum_return = normalise.cum_return(per_fund(spark, landing.cum_return, schemas.CUM_RETURN, line_order=True))
+    # Both are read several times below: parsed once.
+    nav, cum_return = stored(nav, "nav"), stored(cum_return, "cum_return")
+    repeated = stored(adjusted_nav.repeated_days(nav), "nav_repeated_days")
     calendar = files.read_calendar(spark, landing.calendar)
 
     # A fund counts as landed when its file exists, also one without rows.
@@ -229,6 +232,7 @@ def full_run(spark: SparkSession, landing: Landing, root: str, settings: Setting
         "purchase": purchase,
         "adjusted_nav": adjusted,
         "adjusted_nav_rejects": rejects,
+        "nav_repeated_days": repeated,
         "integrity_details": whole,
         "integrity_summary": shares,
         "compare_details": details,

@@ -1,6 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
-from navloom.operators import adjusted_nav
+from navloom.operators import adjusted_nav, consistency
 from tests.helpers import by_key, day
 
 BONUS = "fund_code string, ex_date date, per_share_text string"
@@ -85,3 +86,16 @@ def test_all_funds_take_one_shuffle_by_fund(tables):
     plan = result.adjusted._jdf.queryExecution().executedPlan().toString()
     by_fund = [line for line in plan.splitlines() if "Exchange hashpartitioning(fund_code#" in line and "nav_date" not in line and "event_date" not in line]
     assert len(by_fund) == 1
+
+
+def test_last_line_of_a_repeated_day_stays_and_is_counted(spark):
+    rows = [("000001", "2024-01-02", 2.0, ("f", 0)), ("000001", "2024-01-02", 1.0, ("f", 1)), ("000001", "2024-01-03", 3.0, ("f", 2))]
+    schema = "fund_code string, nav_date string, unit_nav double, line_order struct<file:string,row:int>"
+    nav = spark.createDataFrame(rows, schema).withColumn("nav_date", F.to_date("nav_date"))
+    assert sorted(r.unit_nav for r in adjusted_nav.one_row_per_day(nav).collect()) == [1.0, 3.0]
+    assert sorted(r.unit_nav for r in adjusted_nav.one_row_per_day(nav.drop("line_order")).collect()) == [2.0, 3.0]
+    assert [tuple(r) for r in adjusted_nav.repeated_days(nav).collect()] == [("000001", 1, 1)]
+    adjusted = nav.withColumn("adjusted_nav", F.col("unit_nav"))
+    remote = nav.select("fund_code", F.col("nav_date").alias("date"), (F.col("unit_nav") * 10).alias("cum_return_pct"), "line_order")
+    both = consistency.both_sides(adjusted.drop("line_order"), remote).orderBy("date").collect()
+    assert [(r.local, r.remote) for r in both] == [(2.0, 10.0), (3.0, 30.0)]
