@@ -52,6 +52,8 @@ FREQUENT_MOST = 1 << 20
 #: Members of a tree; larger groups are joined part by part.
 TREE_MOST = 4096
 LEAF = 16
+#: Coordinates of pairs compared at a time; bounds the work arrays.
+PAIR_CELLS = 1 << 20
 
 _PLACES = np.array([0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 _SEEDS = mix64(np.arange(1, MINIMA + 3, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -259,7 +261,7 @@ class RTree:
         for level in range(len(self.levels) - 1, -1, -1):
             top, least = self.levels[level]
             good = np.concatenate(
-                [self._may(query[a : a + 65536], node[a : a + 65536], top, least) for a in range(0, len(query), 65536)]
+                [self._may(query[a : a + 16384], node[a : a + 16384], top, least) for a in range(0, len(query), 16384)]
                 or [np.zeros(0, bool)]
             )
             query, node = query[good], node[good]
@@ -289,17 +291,19 @@ class Points:
 
     def __init__(self, blobs: list[bytes]):
         self.cells = np.array([len(b) // 2 for b in blobs], np.int64)
-        self.parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.place = np.zeros(len(blobs), np.int64)
+        self.parts: dict[int, np.ndarray] = {}
         for cells in np.unique(self.cells).tolist():
             rows = np.flatnonzero(self.cells == cells)
-            self.parts[cells] = rows, np.frombuffer(b"".join([blobs[i] for i in rows.tolist()]), "<u2").reshape(-1, cells)
-
-    def all_in(self, cells: int) -> np.ndarray:
-        """A row for every point of at least so many groups; zeros for the others."""
-        out = np.zeros((len(self.cells), cells), np.int64)
-        for own, (rows, points) in self.parts.items():
-            if own >= cells:
-                out[rows] = folded(points, cells)
+            self.place[rows] = np.arange(len(rows))
+            self.parts[cells] = np.frombuffer(b"".join([blobs[i] for i in rows.tolist()]), "<u2").reshape(-1, cells)
+
+    def some_in(self, rows: np.ndarray, cells: int) -> np.ndarray:
+        """The points of some rows, which have at least so many groups."""
+        out = np.empty((len(rows), cells), np.uint32)
+        for own in np.unique(self.cells[rows]).tolist():
+            these = np.flatnonzero(self.cells[rows] == own)
+            out[these] = folded(self.parts[own][self.place[rows[these]]], cells)
         return out
 
     def may(self, x: np.ndarray, y: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -308,10 +312,12 @@ class Points:
         level = np.minimum(self.cells[x], self.cells[y])
         for cells in np.unique(level).tolist():
             of_level = np.flatnonzero(level == cells)
-            points = self.all_in(cells)
-            for s in range(0, len(of_level), 8192):
-                k = of_level[s : s + 8192]
-                bound = np.minimum(points[x[k]], points[y[k]]).sum(axis=1)
+            step = max(1, PAIR_CELLS // cells)
+            for s in range(0, len(of_level), step):
+                k = of_level[s : s + step]
+                rows, which = np.unique(np.concatenate([x[k], y[k]]), return_inverse=True)
+                points = self.some_in(rows, cells)
+                bound = np.minimum(points[which[: len(k)]], points[which[len(k) :]]).sum(axis=1, dtype=np.int64)
                 good[k] = 7 * bound >= 3 * (size[x[k]] + size[y[k]])
         return good
 
@@ -328,9 +334,8 @@ def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = ends - border <= LEAF  # a tree of one leaf
         pairs = [_pairs_in(border[small], ends[small])]
         if not small.all():
-            flat = points.all_in(GROUPS)
             for a, b in zip(border[~small].tolist(), ends[~small].tolist(), strict=True):
-                x, y = RTree(flat[a:b], n[a:b]).partners()
+                x, y = RTree(points.some_in(np.arange(a, b), GROUPS), n[a:b]).partners()
                 pairs.append((x + a, y + a))
         x, y = (np.concatenate(side) for side in zip(*pairs, strict=True))
         good = (known[x] != known[y]) & ((part[x] != part[y]) | (i[x] == j[x]))
