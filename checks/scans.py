@@ -90,11 +90,12 @@ def s6(spark, sf):
     return files.read_log_tolerant(spark, _log_file(spark, sf, with_bad_lines=True))
 
 
-@query("s7_strict_log_scan", "SELECT code, stage, count(*) AS n FROM failure_log GROUP BY 1, 2")
+@query("s7_strict_log_scan", "SELECT ts, code, stage, error, count(*) AS n FROM failure_log GROUP BY ALL")
 def s7(spark, sf):
     records = files.read_log_strict(spark, _log_file(spark, sf, with_bad_lines=False))
-    keyed = records.select(F.col("record.code").alias("code"), F.col("record.stage").alias("stage"))
-    return keyed.groupBy("code", "stage").agg(F.count("*").alias("n"))
+    names = ("ts", "code", "stage", "error")
+    keyed = records.select(*[F.col(f"record.{name}").alias(name) for name in names])
+    return keyed.groupBy(*names).agg(F.count("*").alias("n"))
 
 
 @query("s8_blacklist_scan", "SELECT fund_code FROM blacklist")
