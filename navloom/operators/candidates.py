@@ -57,23 +57,27 @@ def filtered_purchase(purchase: DataFrame, filtered: DataFrame) -> DataFrame:
     return kept
 
 
-def compare_flags(details: DataFrame, start: str, max_abs_deviation: float) -> DataFrame:
-    """Per fund: does it have compared days on or after the start, and one that deviates too much?
+#: What is known of a fund, each from one table.
+FLAGS = (
+    "listed", "has_overview", "has_nav", "has_adjusted", "compared", "compared_later", "deviates", "checked", "incomplete",
+)
+
+
+def _flagged(table: DataFrame, **flags: Column) -> DataFrame:
+    """A row of flags for each row of a table; the flags it does not tell are null."""
+    none = F.lit(None).cast("boolean")
+    padded = text.fund_code(F.col("fund_code")).alias("fund_code")
+    return table.select(padded, *[flags.get(name, none).alias(name) for name in FLAGS])
+
+
+def compare_flags(details: DataFrame, start: str, max_abs_deviation: float) -> dict[str, Column]:
+    """Is a compared day on or after the start, and does it deviate too much?
 
     The deviation is judged as exported, that is rounded to ten decimals.
     """
     later = F.col("start_date") >= F.lit(start).cast("date")
     shown = display.round_exact(F.abs("deviation"), 10)
-    return details.groupBy("fund_code").agg(
-        F.bool_or(later).alias("compared_later"),
-        F.coalesce(F.bool_or(later & (shown >= max_abs_deviation)), F.lit(False)).alias("deviates"),
-    )
-
-
-def integrity_flags(details: DataFrame, start: str) -> DataFrame:
-    """Per fund: is a trade day on or after the start without data?"""
-    later = F.col("trade_date") >= F.lit(start).cast("date")
-    return details.groupBy("fund_code").agg(F.bool_or(later & ~F.col("exists")).alias("incomplete"))
+    return {"compared_later": later, "deviates": later & (shown >= max_abs_deviation)}
 
 
 def filter_candidates(
@@ -93,23 +97,28 @@ def filter_candidates(
     The summaries, if given, tell a fund that was checked but has no detail rows
     (a single common day, an empty calendar) from one that was not checked.
     """
-    def codes(table: DataFrame, flag: str) -> DataFrame:
-        padded = table.select(text.fund_code(F.col("fund_code")).alias("fund_code"))
-        return padded.dropna().distinct().withColumn(flag, F.lit(True))
-
-    compared = compare_details if compare_summary is None else compare_summary.where("not missing")
-    checked = integrity_details if integrity_summary is None else integrity_summary
-    funds = codes(purchase, "listed").drop("listed")
-    for flags in (
-        codes(overview, "has_overview"),
-        codes(nav, "has_nav"),
-        codes(adjusted, "has_adjusted"),
-        codes(compared, "compared"),
-        codes(checked, "checked"),
-        compare_flags(compare_details, start, max_abs_deviation),
-        integrity_flags(integrity_details, start),
-    ):
-        funds = funds.join(flags, "fund_code", "left")
+    yes = F.lit(True)
+    compared = {} if compare_summary is not None else {"compared": yes}
+    checked = {} if integrity_summary is not None else {"checked": yes}
+    incomplete = (F.col("trade_date") >= F.lit(start).cast("date")) & ~F.col("exists")
+    tables = [
+        _flagged(purchase, listed=yes),
+        _flagged(overview, has_overview=yes),
+        _flagged(nav, has_nav=yes),
+        _flagged(adjusted, has_adjusted=yes),
+        _flagged(compare_details, **compared, **compare_flags(compare_details, start, max_abs_deviation)),
+        _flagged(integrity_details, **checked, incomplete=incomplete),
+    ]
+    if compare_summary is not None:
+        tables.append(_flagged(compare_summary.where("not missing"), compared=yes))
+    if integrity_summary is not None:
+        tables.append(_flagged(integrity_summary, checked=yes))
+    # Every table is read once; rows become one per fund before the only shuffle.
+    rows = tables[0]
+    for table in tables[1:]:
+        rows = rows.unionByName(table)
+    known = rows.where("fund_code is not null").groupBy("fund_code").agg(*[F.bool_or(name).alias(name) for name in FLAGS])
+    funds = known.where("listed")
 
     def absent(flag: str) -> Column:
         return F.col(flag).isNull()
