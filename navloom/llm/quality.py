@@ -31,6 +31,8 @@ from navloom.llm.words import Words, character_ngrams, kinds, split
 
 #: The bucket of the mark that stands for the features of a repeated word.
 REPEATED = 0
+#: Training documents whose features share an array; large arrays go back to the system when done.
+TOGETHER = 64
 
 
 @dataclass(frozen=True)
@@ -43,8 +45,8 @@ class Plan:
     longest: int = 5
     epochs: int = 6
     rate: float = 1.0
-    sample: int = 2600
-    sample_chars: int = 9_000_000
+    sample: int = 1600
+    sample_chars: int = 6_000_000
     seed: int = 7
 
 
@@ -91,7 +93,7 @@ def train(texts: list[str], labels: np.ndarray, plan: Plan = Plan()) -> Model:
     if len(set(labels.tolist())) < 2:
         sure = 0.0 if not len(labels) else (5.0 if labels[0] == 1 else -5.0)
         return Model(np.zeros(plan.buckets), sure, plan)
-    every_id, every_weight, bounds = examples(texts, plan)
+    parts = examples(texts, plan)
     random = np.random.default_rng(plan.seed)
     table = random.uniform(-1, 1, (plan.buckets, plan.size)).astype(np.float32) / plan.size
     layer = np.zeros((2, plan.size), np.float32)
@@ -101,8 +103,9 @@ def train(texts: list[str], labels: np.ndarray, plan: Plan = Plan()) -> Model:
         for i in random.permutation(len(texts)).tolist():
             rate = plan.rate * (1 - done / steps)
             done += 1
-            part = slice(bounds[i], bounds[i + 1])
-            ids, weight = every_id[part], every_weight[part]
+            all_ids, all_weights, bounds = parts[i // TOGETHER]
+            part = slice(bounds[i % TOGETHER], bounds[i % TOGETHER + 1])
+            ids, weight = all_ids[part], all_weights[part]
             average = weight @ table[ids]
             logits = layer @ average + bias
             chance = np.exp(logits - logits.max())
@@ -116,17 +119,15 @@ def train(texts: list[str], labels: np.ndarray, plan: Plan = Plan()) -> Model:
     return Model(worth, float(bias[1] - bias[0]), plan)
 
 
-def examples(texts: list[str], plan: Plan) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Features and shares of all documents one after another, in three arrays that can be given back."""
-    parts, held, bounds = [], [], [0]
-    for i, text in enumerate(texts):
-        ids, weight = document_features(text, plan)
-        held.append((ids.astype(np.int32), weight))
-        bounds.append(bounds[-1] + len(ids))
-        if len(held) == 128 or i == len(texts) - 1:
-            parts.append(tuple(np.concatenate(side) for side in zip(*held, strict=True)))
-            held = []
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), bounds
+def examples(texts: list[str], plan: Plan) -> list[tuple[np.ndarray, np.ndarray, list[int]]]:
+    """Features, shares and bounds of the documents, TOGETHER of them in one pair of arrays."""
+    parts = []
+    for at in range(0, len(texts), TOGETHER):
+        held = [document_features(text, plan) for text in texts[at : at + TOGETHER]]
+        bounds = np.concatenate([[0], np.cumsum([len(ids) for ids, _ in held])]).tolist()
+        ids, weights = (np.concatenate(side) for side in zip(*held, strict=True))
+        parts.append((ids.astype(np.int32), weights, bounds))
+    return parts
 
 
 def document_features(text: str, plan: Plan) -> tuple[np.ndarray, np.ndarray]:

@@ -31,6 +31,8 @@ from navloom.llm.words import character_ngrams, kinds, kinds_of_texts, split
 Arrays = dict[str, np.ndarray]
 #: Words whose n-grams are cut together; bounds the work arrays.
 WORDS_AT_ONCE = 1 << 14
+#: Windows that are read together.
+WINDOWS_AT_ONCE = 1024
 
 
 @dataclass(frozen=True)
@@ -236,8 +238,8 @@ class Model:
         first, size, doc = windows(words.per_doc(len(texts)), self.plan)
         inputs = lexicon.inputs(self.p)
         logits = np.empty(len(first))
-        for at in range(0, len(first), 4096):
-            part = slice(at, at + 4096)
+        for at in range(0, len(first), WINDOWS_AT_ONCE):
+            part = slice(at, at + WINDOWS_AT_ONCE)
             steps = steps_of(found.which, first[part], size[part], self.plan, len(inputs))
             logits[part] = _forward(self.p, inputs, steps)
         return sigmoid(np.maximum.reduceat(logits, np.searchsorted(doc, np.arange(len(texts)))))
@@ -275,8 +277,8 @@ def train(texts: list[str], labels: np.ndarray, plan: Plan = Plan()) -> Model:
 def _all_logits(p: Arrays, lexicon: Lexicon, which: np.ndarray, first: np.ndarray, size: np.ndarray, plan: Plan) -> np.ndarray:
     inputs = lexicon.inputs(p)
     out = np.empty(len(first), np.float32)
-    for at in range(0, len(first), 4096):
-        part = slice(at, at + 4096)
+    for at in range(0, len(first), WINDOWS_AT_ONCE):
+        part = slice(at, at + WINDOWS_AT_ONCE)
         out[part] = _forward(p, inputs, steps_of(which, first[part], size[part], plan, len(inputs)))
     return out
 
