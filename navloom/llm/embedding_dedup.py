@@ -8,8 +8,11 @@ only gives each vector's number of links and a spanning forest, whose union give
 
 Equal vectors of a label are one node with a weight. Trees grow by rounds: every leaf above
 `LEAF_MOST` is split up to `DEPTH` times by cuts learned on at most about `SAMPLE` of its nodes. A leaf
-that no direction spreads is a group of near copies; its pairs are links, and it is compared part by
-part instead of being split. No leaf is ever cut short.
+is compared part by part instead of being split if no direction spreads it, if many of its pairs are
+links, or if keeping linked pairs together would take so wide a spill that splitting made more copies
+of its rows than comparing all of it. The spill of a cut follows from the depth the forest needs: a
+pair exactly at the threshold may miss every tree with a chance of about `MISSED`, whatever the size.
+No leaf is ever cut short, and of leaves with the same nodes only one is compared.
 
 Defined results: a vector that is null, zero or holds null or non-finite components, or without a
 label, has no links and is its own component; vectors of different lengths are not compared; equal
@@ -19,6 +22,7 @@ the smallest id that is not null; an empty table gives no rows; other columns ar
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +38,13 @@ TREES = 6
 LEAF_MOST = 768
 DEPTH = 5
 SAMPLE = 4096
-#: Half-width of the spill at a cut, and the least spread of a node worth splitting, for unit
+#: Least half-width of the spill at a cut, and the least spread of a node worth splitting, for unit
 #: vectors, both times the square root of the dimension.
 SPILL = 0.12
 SPREAD = 0.6
+#: Chance that a pair at the threshold meets in no tree; share of linked pairs from which a node is not split.
+MISSED = 0.02
+DENSE = 0.25
 
 
 def usable(embedding: Column) -> Column:
@@ -61,12 +68,41 @@ def direction(tree: int, leaf: int, node: int, size: int) -> np.ndarray:
     return drawn / np.sqrt(drawn @ drawn)
 
 
-def _cuts(table: pa.Table) -> pa.Table:
-    """Cuts of a leaf's subtree in heap order, learned on its sample; NaN where a node is not split."""
+def _beyond(gap: float, deviation: float) -> float:
+    """The mean of what a normal value of that deviation exceeds `gap` by, in size."""
+    z = gap / deviation
+    return 2 * (deviation * math.exp(-z * z / 2) / math.sqrt(2 * math.pi) - gap * math.erfc(z / math.sqrt(2)) / 2)
+
+
+def spill_at(along: np.ndarray, middle: float, scale: float, largest: int) -> float | None:
+    """Half-width of the spill at a cut, so that linked pairs stay together often enough over the depth
+    that a group of `largest` nodes needs; None if splitting would copy more than comparing all."""
+    apart = math.sqrt(2 - 2 * COSINE)
+    density = np.mean(np.abs(along - middle) <= apart * scale) / (2 * apart)
+    allowed = -math.log(1 - MISSED ** (1 / TREES)) / math.log(max(largest / LEAF_MOST, 2))
+    spill = SPILL
+    while True:
+        part = max(np.mean(along <= middle + spill * scale), np.mean(along > middle - spill * scale))
+        if part > math.sqrt(0.5):
+            return None
+        if _beyond(2 * spill, apart) * density <= allowed * -math.log(part):
+            return spill * scale
+        spill *= 1.1
+
+
+def dense(vectors: np.ndarray) -> bool:
+    some = vectors[:512]
+    linked = np.count_nonzero(some @ some.T >= COSINE) - len(some)
+    return linked >= DENSE * len(some) * (len(some) - 1)
+
+
+def _cuts(table: pa.Table, largest: int) -> pa.Table:
+    """Cuts of a leaf's subtree in heap order and their spills, learned on its sample; NaN where a node is not split."""
     tree, leaf, count = (table[c][0].as_py() for c in ("tree", "leaf", "count"))
     vectors = unit(matrix(table["embedding"].combine_chunks()))
     scale = vectors.shape[1] ** -0.5
     cuts = np.full((1 << DEPTH) - 1, np.nan)
+    spills = cuts.copy()
     waiting = [(0, np.arange(len(vectors)))]
     while waiting:
         node, inside = waiting.pop()
@@ -74,11 +110,16 @@ def _cuts(table: pa.Table) -> pa.Table:
             continue
         along = vectors[inside] @ direction(tree, leaf, node, vectors.shape[1])
         low, middle, high = np.quantile(along, [0.05, 0.5, 0.95])
-        if high - low < SPREAD * scale:
+        if high - low < SPREAD * scale or dense(vectors[inside]):
+            continue
+        spill = spill_at(along, middle, scale, largest)
+        if spill is None:
             continue
-        cuts[node] = middle
+        cuts[node], spills[node] = middle, spill
         waiting += [(2 * node + 1, inside[along <= middle]), (2 * node + 2, inside[along > middle])]
-    return pa.table({"tree": [tree], "leaf": [leaf], "cuts": [cuts]}, schema=pa.schema([("tree", pa.int32()), ("leaf", pa.int64()), ("cuts", pa.list_(pa.float64()))]))
+    floats = pa.list_(pa.float64())
+    schema = pa.schema([("tree", pa.int32()), ("leaf", pa.int64()), ("cuts", floats), ("spills", floats)])
+    return pa.table({"tree": [tree], "leaf": [leaf], "cuts": [cuts], "spills": [spills]}, schema=schema)
 
 
 def _descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,14 +129,13 @@ def _descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         borders = np.flatnonzero(np.concatenate([[True], (tree[1:] != tree[:-1]) | (leaf[1:] != leaf[:-1])]))
         rows, leaves, settled = [], [], []
         for a, b in zip(borders.tolist(), [*borders[1:].tolist(), len(tree)], strict=True):
-            cuts = np.array(batch.column("cuts")[a].as_py(), np.float64)
+            cuts, spills = (np.array(batch.column(c)[a].as_py(), np.float64) for c in ("cuts", "spills"))
             if np.isnan(cuts[0]):
                 rows.append(np.arange(a, b))
                 leaves.append(leaf[a:b])
                 settled.append(np.ones(b - a, bool))
                 continue
             vectors = unit(matrix(batch.column("embedding").slice(a, b - a)))
-            spill = SPILL * vectors.shape[1] ** -0.5
             waiting = [(0, np.arange(b - a))]
             while waiting:
                 node, inside = waiting.pop()
@@ -106,6 +146,7 @@ def _descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     settled.append(np.zeros(len(inside), bool))
                     continue
                 along = vectors[inside] @ direction(int(tree[a]), int(leaf[a]), node, vectors.shape[1])
+                spill = spills[node]
                 waiting += [(2 * node + 1, inside[along <= cuts[node] + spill]), (2 * node + 2, inside[along > cuts[node] - spill])]
         at = pa.array(np.concatenate(rows))
         yield pa.RecordBatch.from_arrays(
@@ -125,7 +166,7 @@ def forest(nodes: DataFrame) -> DataFrame:
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     leaf = F.xxhash64("label", F.size("embedding")).alias("leaf")
     growing = nodes.select(trees, leaf, "node", "embedding", F.lit(False).alias("settled"))
-    done = []
+    done, largest = [], None
     schema = "tree int, leaf long, node long, embedding array<double>, settled boolean"
     while True:
         sizes = keep(growing.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("count")), "sizes")
@@ -133,13 +174,18 @@ def forest(nodes: DataFrame) -> DataFrame:
         done.append(growing.join(sizes.where(F.col("count") <= LEAF_MOST), ["tree", "leaf"], "left_semi"))
         if big.isEmpty():
             break
+        largest = largest or sizes.agg(F.max("count")).first()[0]
+
+        def cuts_of(table: pa.Table) -> pa.Table:
+            return _cuts(table, largest)
+
         large = growing.join(big, ["tree", "leaf"])
         part = F.pmod(F.xxhash64(F.lit(7), "tree", "node"), F.lit(1 << 30)) * F.col("count") < F.lit(SAMPLE * (1 << 30))
         cuts = keep(
             large.where(part | (F.col("count") <= SAMPLE))
             .select("tree", "leaf", "count", "embedding")
             .groupBy("tree", "leaf")
-            .applyInArrow(_cuts, "tree int, leaf long, cuts array<double>"),
+            .applyInArrow(cuts_of, "tree int, leaf long, cuts array<double>, spills array<double>"),
             "cuts",
         )
         below = large.drop("count", "settled").join(cuts, ["tree", "leaf"]).sortWithinPartitions("tree", "leaf", "node")
@@ -152,6 +198,14 @@ def forest(nodes: DataFrame) -> DataFrame:
     return out.select("tree", "leaf", "node", "embedding")
 
 
+def _distinct(leaves: DataFrame) -> DataFrame:
+    """The same rows without leaves that hold the same nodes as another one."""
+    sums = [F.sum(F.shiftright(F.xxhash64(F.lit(seed), "node"), 24)).alias(f"sum{seed}") for seed in (1, 2)]
+    contents = leaves.groupBy("code").agg(F.count(F.lit(1)).alias("count"), *sums)
+    first = contents.groupBy("count", "sum1", "sum2").agg(F.min("code").alias("code"))
+    return leaves.join(first.select("code"), "code", "left_semi")
+
+
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For rows grouped by (leaf, i, j): each node's linked weight and the smallest node it is tied to here."""
     for batch in whole_groups(batches, ["code", "i", "j"]):
@@ -174,7 +228,12 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = np.full((b - a, width), np.iinfo(np.int64).min)
             owner = np.repeat(np.arange(b - a), np.diff(ends))
             known[owner, np.arange(len(flat)) - np.repeat(ends[:-1] - ends[0], np.diff(ends))] = flat
-            own = np.concatenate([_owned(known[x[s : s + 4096]], known[y[s : s + 4096]], code[a]) for s in range(0, len(x), 4096)])
+            lists, of = np.unique(known, axis=0, return_inverse=True)
+            if len(lists) ** 2 <= len(x):  # nodes that lie in the same leaves have the same answer
+                table = np.array([_owned(np.broadcast_to(one, lists.shape), lists, code[a]) for one in lists])
+                own = table[of[x], of[y]]
+            else:
+                own = np.concatenate([_owned(known[x[s : s + 4096]], known[y[s : s + 4096]], code[a]) for s in range(0, len(x), 4096)])
             x, y = x[own] + a, y[own] + a
             np.add.at(counts, x, weight[y])
             np.add.at(counts, y, weight[x])
@@ -223,7 +282,7 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
         .withColumn("node", F.coalesce("least", "name")),
         "nodes",
     )
-    leaves = keep(forest(nodes).withColumn("code", F.xxhash64("tree", "leaf")), "forest")
+    leaves = keep(_distinct(forest(nodes).withColumn("code", F.xxhash64("tree", "leaf"))), "forest")
     codes = leaves.groupBy("node").agg(F.array_sort(F.collect_list("code")).alias("codes"))  # a node's leaves: few
     sizes = leaves.groupBy("code").agg(F.count(F.lit(1)).alias("count"))
     parts = F.when(F.col("count") > 2 * LEAF_MOST, F.ceil(F.col("count") * 2 / LEAF_MOST)).otherwise(1).cast("int")

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from navloom.llm import collision_search, embedding_dedup
 
@@ -61,6 +62,51 @@ def test_dense_group_is_compared_part_by_part(spark, monkeypatch):
     assert {(r.vec_id, r.n_links, r.component_id) for r in found} == {(i, n, c) for i, (n, c, _) in brute(vectors, [1] * 300).items()}
 
 
+def leaves_of(vectors, tree, module=embedding_dedup):
+    """The leaves of one tree, grown without Spark (a worker would not see patched parameters)."""
+    column = pa.array(list(vectors.astype(np.float64)), pa.list_(pa.float64()))
+    waiting, done = [(1, np.arange(len(vectors)))], []
+    while waiting:
+        leaf, inside = waiting.pop()
+        if len(inside) <= module.LEAF_MOST:
+            done.append(inside)
+            continue
+        some = inside[: module.SAMPLE]
+        given = {"tree": pa.array([tree] * len(some), pa.int32()), "leaf": [leaf] * len(some), "count": [len(inside)] * len(some)}
+        cuts = module._cuts(pa.table(given | {"embedding": column.take(pa.array(some))}), len(vectors))
+        rows = {"tree": pa.array([tree] * len(inside), pa.int32()), "leaf": [leaf] * len(inside), "node": inside, "embedding": column.take(pa.array(inside))}
+        rows |= {c: pa.array(cuts[c].to_pylist() * len(inside), cuts[c].type) for c in cuts.column_names if c in ("cuts", "spills")}
+        for batch in module._descend(iter(pa.table(rows).combine_chunks().to_batches())):
+            below, node, settled = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("leaf", "node", "settled"))
+            for name in np.unique(below):
+                own = node[below == name]
+                done.append(own) if settled[below == name].all() else waiting.append((int(name), own))
+    return done
+
+
+def share_of_links_that_meet(vectors, module=embedding_dedup):
+    some = np.arange(0, len(vectors), max(1, len(vectors) // 200))
+    unit = module.unit(vectors.astype(np.float64))
+    linked = unit[some] @ unit.T >= 0.93
+    linked[np.arange(len(some)), some] = False
+    met = np.zeros_like(linked)
+    for tree in range(module.TREES):
+        for leaf in leaves_of(vectors, tree, module):
+            own = np.flatnonzero(np.isin(some, leaf))
+            met[np.ix_(own, leaf)] = True
+    return (linked & met).sum() / linked.sum()
+
+
+def loose(members, cosine):
+    rng = np.random.default_rng(5)
+    return rng.standard_normal(64) + (1 / cosine - 1) ** 0.5 * rng.standard_normal((members, 64))
+
+
+@pytest.mark.parametrize(("members", "cosine"), [(20_000, 0.935), (20_000, 0.95), (20_000, 0.9)])
+def test_links_of_a_loose_group_meet(members, cosine):
+    assert share_of_links_that_meet(loose(members, cosine)) >= 0.97
+
+
 def test_repeated_and_null_ids(spark):
     rows = [(5, [1.0, 0.0], 1), (5, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (None, [0.0, 1.0], 1), (2, [0.99, 0.01], 1)]
     found = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
