@@ -1,6 +1,7 @@
 import math
 from collections import defaultdict
 
+import corpus_pipeline
 import pytest
 from navloom.llm import mixing
 from navloom.llm.queries import MIXING_SQL, TARGET
@@ -91,6 +92,18 @@ def test_odd_rows_against_sql(spark):
     assert sorted(map(str, map(tuple, mixed.select(*columns).collect()))) == sorted(map(str, expected))
 
 
+def test_stretches_of_the_pipeline_hold_every_source(spark, tmp_path):
+    docs = corpus(spark)
+    corpus_pipeline.mixed(spark, docs, "").write.parquet(f"{tmp_path}/mixed")
+    rows = spark.read.parquet(f"{tmp_path}/mixed").collect()
+    assert spark.read.parquet(f"{tmp_path}/mixed").columns == docs.columns
+    order = [r.source for r in rows]
+    whole = {s: order.count(s) / len(order) for s in ("hot", "warm", "cold")}
+    for start in range(0, len(order) - 60, 60):
+        stretch = order[start : start + 60]
+        assert all(abs(stretch.count(s) / 60 - share) < 0.2 for s, share in whole.items())
+
+
 def test_empty_table(spark):
     assert mixing.mixture(corpus(spark).where("false"), TARGET).count() == 0
 
