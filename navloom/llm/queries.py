@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import zipfile
 from collections.abc import Callable
@@ -9,21 +10,26 @@ from functools import wraps
 from pathlib import Path
 
 import navloom
+import numpy as np
 import public_tokenizers
 from navloom.llm import (
+    centroids,
     collision_search,
     embedding_dedup,
     html_templates,
     jaccard_join,
+    license_match,
     mixing,
+    oracles,
     packing,
+    periodic_runs,
     quality,
     sharding,
     toxicity,
     warc,
 )
 from navloom.llm.shared import new_folder, read
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,3 +196,67 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "archives")
     index = warc.write_archives(read(spark, sf_dir, "pages", "page_id", "url", "html"), path)
     return warc.read_archives(index, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where the id of a tenth of the documents says from which word on a stretch of it repeats."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = F.pmod(g, n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+        times = F.ceil((n - a) / p).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), n - a)
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")).otherwise(F.lit(""))
+
+    # Bound as the one element of an array, the words are split once however often they are named.
+    words = F.array(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    planted = F.when((h % 10 == 0) & F.col("text").isNotNull(), F.get(F.transform(words, repeated), F.lit(0))).otherwise(F.col("text"))
+    return docs.select("doc_id", planted.alias("text"))
+
+
+@query("op11_periodic_runs", oracles.RUNS_SQL)
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs_digest(periodic_runs.find(with_planted_runs(read(spark, sf_dir, "documents", "doc_id", "text"))))
+
+
+def runs_digest(found: DataFrame) -> DataFrame:
+    """The run of greatest length / period of each document, compared without division, and digests."""
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    greater = lambda best, run: best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"])
+    best = F.aggregate("runs", none, lambda best, run: F.when(greater(best, run), run).otherwise(best))
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_license_match", oracles.LICENSE_SQL)
+def op12_license_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_match.labelled(license_match.scan(read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@query("op13_centroids", oracles.centroid_sql(centroids.CLUSTERS, centroids.ROUNDS))
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters_digest(*centroids.cluster(read(spark, sf_dir, "embeddings", "vec_id", "embedding")))
+
+
+def clusters_digest(table: DataFrame, final: np.ndarray) -> DataFrame:
+    """Each vector with the inertia of its cluster and of all; the side joined has one row per centroid."""
+    digests = [(i, hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for i, c in enumerate(final.tolist())]
+    named = table.sparkSession.createDataFrame(digests, "cluster int, centroid_sha256 string")
+    inertia = table.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
+    total = table.agg(F.sum("distance").alias("inertia"))
+    sums = inertia.join(F.broadcast(named), "cluster").join(F.broadcast(total))
+    return table.select("vec_id", "cluster", "distance").join(F.broadcast(sums), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )

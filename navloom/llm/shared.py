@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from navloom.session import new_folder, written
 
-__all__ = ["count_by", "keep", "mix64", "new_folder", "no_text", "read", "shuffles_dropped", "sliced", "text_of", "utf8", "whole_groups"]
+__all__ = ["count_by", "discard", "keep", "mix64", "new_folder", "no_text", "read", "shuffles_dropped", "sliced", "text_of", "utf8", "whole_groups"]
 
 #: Text handled at a time inside a task; bounds the numpy work arrays, never the result.
 SLICE_BYTES = 1 << 21
@@ -45,6 +45,14 @@ def keep(df: DataFrame, name: str) -> DataFrame:
         return written(df, name)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table made by `keep` that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 

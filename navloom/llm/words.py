@@ -13,6 +13,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
+SAME = np.arange(256, dtype=np.uint8)
 #: A random value for each byte, and an odd multiplier for positions: a word's hash is the sum of
 #: value x multiplier^place modulo 2^64, mixed afterwards.
 BYTE_VALUE = np.random.default_rng(20240229).integers(1, 2**64, 256, dtype=np.uint64)
@@ -48,15 +49,18 @@ class Words:
         return np.searchsorted(self.doc, np.arange(docs + 1))
 
 
-def split(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Maximal runs without white space (0x20, 0x09-0x0D), A-Z lower-cased, of each text."""
+def split(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE, letters: np.ndarray = LOWER) -> Words:
+    """Maximal runs of bytes that are not `between` words (white space 0x20, 0x09-0x0D), of each text.
+
+    Hashes are of the bytes as `letters` maps them: A-Z lower-cased, or all as they are with `SAME`.
+    """
     size = len(data)
     if size == 0:
         none = np.zeros(0, np.int64)
         return Words(none, none, none, np.zeros(0, np.uint64))
     edge = np.zeros(size + 1, bool)
     edge[offsets] = True
-    solid = ~SPACE[data]
+    solid = ~between[data]
     before = np.empty(size, bool)
     before[0] = True
     before[1:] = ~solid[:-1]
@@ -67,7 +71,7 @@ def split(data: np.ndarray, offsets: np.ndarray) -> Words:
     end = np.flatnonzero(solid & (after | edge[1:])) + 1
     up, down = _power_table(size)
     total = np.zeros(size + 1, np.uint64)
-    np.cumsum(BYTE_VALUE[LOWER[data]] * up, dtype=np.uint64, out=total[1:])
+    np.cumsum(BYTE_VALUE[letters[data]] * up, dtype=np.uint64, out=total[1:])
     value = (total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)
     doc = np.searchsorted(offsets, start, side="right") - 1
     return Words(start, end, doc, mix64(value))
