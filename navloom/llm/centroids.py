@@ -54,7 +54,7 @@ def first_centroids(whole: DataFrame, clusters: int = CLUSTERS, seed: int = SEED
     """The vectors of smallest hash, in the order of their hashes."""
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit("")))
     rows = whole.orderBy(F.sha2(text, 256), "v").limit(clusters).select("v").collect()
-    return np.array([row["v"] for row in rows], np.int64).reshape(len(rows), -1)
+    return np.array([row["v"] for row in rows], np.int64).reshape(len(rows), len(rows[0]["v"]) if rows else 0)
 
 
 def _matrix(column: pa.Array, rows: int) -> np.ndarray:

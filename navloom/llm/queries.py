@@ -29,7 +29,7 @@ from navloom.llm import (
     warc,
 )
 from navloom.llm.shared import new_folder, read
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -255,8 +255,8 @@ def clusters_digest(table: DataFrame, final: np.ndarray) -> DataFrame:
     digests = [(i, hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for i, c in enumerate(final.tolist())]
     named = table.sparkSession.createDataFrame(digests, "cluster int, centroid_sha256 string")
     inertia = table.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
-    total = table.agg(F.sum("distance").alias("inertia"))
-    sums = inertia.join(F.broadcast(named), "cluster").join(F.broadcast(total))
+    total = F.sum("cluster_inertia").over(Window.partitionBy(F.lit(0)))
+    sums = inertia.withColumn("inertia", total).join(F.broadcast(named), "cluster")
     return table.select("vec_id", "cluster", "distance").join(F.broadcast(sums), "cluster").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
     )
