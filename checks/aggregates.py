@@ -22,6 +22,7 @@ from navloom.operators import (
     scoreboard,
 )
 from navloom.operators.dedupe import distinct_codes, keep_first, keep_last
+from navloom.session import written
 
 define_metrics("full", "adjusted", AS_OF, 60)
 TABLES["adjusted_metrics"] = "SELECT * FROM full_metrics"
@@ -201,9 +202,9 @@ LEFT JOIN (SELECT window_id, count(*) AS n, sum(weight) AS total FROM positions_
 
 
 def backtested(spark, sf):
-    return backtest.run_backtest(
-        spark, b.month_calendar(spark, sf), b.board_versions(spark, sf), b.nav_versions(spark, sf), RULES
-    )
+    """Over stored snapshots, as a backtest is run: each is derived once."""
+    board, nav = written(b.board_versions(spark, sf), "board"), written(b.nav_versions(spark, sf), "nav")
+    return backtest.run_backtest(spark, b.month_calendar(spark, sf), board, nav, RULES)
 
 
 _RETURNS = ("mean_return", "median_return", "std_return", "p10_return", "p50_return", "p90_return",

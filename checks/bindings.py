@@ -347,7 +347,7 @@ def month_calendar(spark: SparkSession, sf: str) -> DataFrame:
 TABLES["month_calendar"] = "SELECT DISTINCT last_day(CAST(l_shipdate AS DATE)) AS trade_date FROM lineitem"
 
 
-def _versions(spark: SparkSession, versions) -> DataFrame:
+def version_rows(versions) -> Column:
     """Version rows joined in through a literal array: one copy of a row per version."""
     rows = [
         F.struct(F.lit(name).alias("data_version"), F.lit(day).cast("date").alias("as_of_date"))
@@ -358,7 +358,7 @@ def _versions(spark: SparkSession, versions) -> DataFrame:
 
 def nav_versions(spark: SparkSession, sf: str) -> DataFrame:
     """Stored month NAV of two versions, each cut at its as-of date."""
-    tagged = month_nav(spark, sf).select("*", _versions(spark, NAV_VERSIONS))
+    tagged = month_nav(spark, sf).select("*", version_rows(NAV_VERSIONS))
     return tagged.where("nav_date <= as_of_date")
 
 
@@ -374,7 +374,7 @@ WHERE nav_date <= as_of_date"""
 
 def board_versions(spark: SparkSession, sf: str) -> DataFrame:
     """Small scoreboard snapshot of three versions: annual return up to the as-of date, statuses."""
-    rows = nav(spark, sf).select("*", _versions(spark, VERSIONS)).where("nav_date <= as_of_date")
+    rows = nav(spark, sf).select("*", version_rows(VERSIONS)).where("nav_date <= as_of_date")
     days = F.datediff(F.max("nav_date"), F.min("nav_date"))
     growth = F.max_by("unit_nav", "nav_date") / F.min_by("unit_nav", "nav_date")
     board = rows.groupBy("data_version", "as_of_date", "fund_code").agg(

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from checks import bindings as b
 from checks.aggregates import SHARES, SQL_SHARES, adjusted_metrics, backtested
 from checks.catalog import TABLES, query, rounded, sql_r6
-from checks.joins import planned, unit_metrics, unit_series
+from checks.joins import RULES, planned, unit_metrics, unit_series
 from checks.metric_sql import ROUNDED_METRICS, define_metrics
 from checks.projections import AS_OF, DIM_NUMBERS, SQL_STYLE, dim
 from navloom.operators import (
     adjusted_nav,
+    backtest,
     candidates,
     consistency,
     contracts,
@@ -378,6 +382,29 @@ def a13_positions(spark, sf):
     return rounded(held, "weight", "buy_nav_at_d3", "sell_nav_at_d4", "fund_return", "contribution")
 
 
+# The same backtest over daily NAV and the daily calendar: short windows, as few funds have a NAV every day.
+DAILY_RULES = replace(RULES, rebalance_days=7, holding_days=1, limit=30)
+TABLES["daily_nav_versions"] = TABLES["nav_versions"].replace("adjusted_nav", "unit_nav AS adjusted_nav").replace("month_nav", "nav")
+for _name in ("anchors", "windows_sql", "window_versions", "selection_sql", "paths_sql", "usable_sql", "positions_sql",
+              "portfolio_sql", "results_sql", "backtest_sql"):
+    _text = re.sub(r"\b(anchors|nav_versions|window_versions|\w+_sql)\b", r"daily_\1", TABLES[_name]).replace("month_calendar", "calendar")
+    for _old, _new in ((RULES.rebalance_days, DAILY_RULES.rebalance_days), (RULES.holding_days, DAILY_RULES.holding_days)):
+        _text = _text.replace(f"INTERVAL {_old} DAY", f"INTERVAL {_new} DAY").replace(f"d3 + {_old})", f"d3 + {_new})")
+    TABLES[f"daily_{_name}"] = _text.replace(f"place <= {RULES.limit}", f"place <= {DAILY_RULES.limit}")
+
+
+@query(
+    "a13_backtest_daily",
+    "SELECT * REPLACE (" + ", ".join(f"{sql_r6(n)} AS {n}" for n in _WINDOW_NUMBERS) + ") FROM daily_backtest_sql",
+)
+def a13_daily(spark, sf):
+    stored = b.nav(spark, sf).withColumnRenamed("unit_nav", "adjusted_nav").select("*", b.version_rows(b.NAV_VERSIONS))
+    detail = backtest.run_backtest(
+        spark, b.calendar(spark, sf), b.board_versions(spark, sf), stored.where("nav_date <= as_of_date"), DAILY_RULES
+    ).windows
+    return rounded(detail.withColumn("trading_holding_days", F.col("trading_holding_days").cast("long")), *_WINDOW_NUMBERS)
+
+
 @query(
     "a14_table_contract",
     f"""SELECT 'overview' AS artifact, 'unique_key' AS rule, 'fund_code' AS columns, CAST(sum(n) AS BIGINT) AS bad_rows, '' AS detail

@@ -10,6 +10,7 @@ from checks.metric_sql import define_metrics
 from checks.projections import AS_OF, dim
 from navloom.functions.text import fund_code
 from navloom.operators import adjusted_nav, backtest, candidates, consistency, integrity, metrics, normalise, scoreboard
+from navloom.session import written
 
 STALE_DAYS = 60
 TABLES["unit_source"] = "SELECT fund_code, nav_date, unit_nav AS adjusted_nav FROM nav"
@@ -244,16 +245,13 @@ LEFT JOIN (SELECT * FROM nav_versions WHERE data_version = 'n2') n ON n.fund_cod
         FROM paths_sql""",
 )
 def d16(spark, sf):
-    board = b.board_versions(spark, sf)
-    versioned = backtest.with_versions(planned(spark, sf), backtest.version_dates(board))
+    board = written(b.board_versions(spark, sf), "board")
+    calendar = written(b.month_calendar(spark, sf), "calendar")
+    versioned = backtest.with_versions(backtest.windows(spark, calendar, RULES), backtest.version_dates(board))
+    versioned, selections = written(versioned, "windows"), written(backtest.selection(board, RULES), "selections")
     stored = b.nav_versions(spark, sf)
-    nav = stored.where(F.col("data_version") == backtest.latest_version(stored).scalar())
-    paths = backtest.position_paths(
-        versioned.where("skip_reason is null"),
-        backtest.selection(board, RULES),
-        b.month_calendar(spark, sf),
-        nav,
-    )
+    nav = stored.where(F.col("data_version") == backtest.latest_version(stored).first().data_version)
+    paths = backtest.position_paths(versioned.where("skip_reason is null"), selections, calendar, nav)
     return rounded(paths.select("window_id", "fund_code", "nav_date", "weight", "adjusted_nav"), "weight", "adjusted_nav")
 
 

@@ -1,8 +1,10 @@
 """Backtest of rule-selected portfolios over rolling windows.
 
 Calendar lookups are equi-joins on a day table (every calendar day mapped to its
-next trade day), so no range join and no driver loop is needed. A position path is
-an equi-join of (fund, day) pairs with the NAV table.
+next trade day), so no range join and no driver loop is needed. Whether a fund has a NAV
+on every trade day of a window is a comparison of two numbers, one at each end (see
+`stretches`); days of a path are an equi-join of (fund, day) pairs with the NAV table,
+for funds that passed only.
 """
 
 from __future__ import annotations
@@ -17,12 +19,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from navloom.functions import text
+from navloom.session import written
 
 # Skip reasons.
 NO_VERSIONS = "no_scoreboard_data_version"
 NO_VERSION_YET = "no_data_version_before_d2"
 NOTHING_SELECTED = "empty_selection"
 NO_USABLE_FUND = "no_fund_with_valid_nav_on_d3_d4"
+# How every run treats fees and windows that overlap.
+FEE_MODE = "ignore_subscribe_redeem_conversion_fee"
+OVERLAP_MODE = "independent_windows"
 
 
 @dataclass(frozen=True)
@@ -39,6 +45,7 @@ class Rules:
     scoreboard_version: str | None = None
     nav_version: str | None = None
     rule_id: str = "custom"
+    trade_calendar: str = ""  # where the calendar comes from, for the run's record
 
 
 class Backtest(NamedTuple):
@@ -199,16 +206,25 @@ def selection(scoreboard: DataFrame, rules: Rules, salts: int = 64) -> DataFrame
     return codes.withColumn("weight", F.lit(1.0) / size)
 
 
+def _between_windows(nav: DataFrame, selected_windows: DataFrame, selections: DataFrame) -> DataFrame:
+    """NAV of the selected funds from the first buy to the last sale.
+
+    Both days are read as one row of the (small) window table, so that they reach the scan as literals.
+    """
+    span = selected_windows.agg(F.min("d3").alias("first"), F.max("d4").alias("last")).first()
+    days = nav.where(F.col("nav_date").between(F.lit(span["first"]), F.lit(span["last"])))
+    return days.join(selections.select("fund_code").distinct(), "fund_code", "left_semi")
+
+
 def position_paths(
     selected_windows: DataFrame, selections: DataFrame, calendar: DataFrame, nav: DataFrame
 ) -> DataFrame:
     """Selected funds with their NAV on every trade day of their window (null where missing).
 
     Of the NAV history only the selected funds between the first buy and the last sale are read on.
+    Pass stored windows and selections: both are read several times.
     """
-    first, last = (selected_windows.agg(f.alias("day")).scalar() for f in (F.min("d3"), F.max("d4")))
-    codes = selections.select("fund_code").distinct()
-    nav = nav.where(F.col("nav_date").between(first, last)).join(codes, "fund_code", "left_semi")
+    nav = _between_windows(nav, selected_windows, selections)
     days = calendar.distinct().withColumnRenamed("trade_date", "nav_date")
     grid = (
         selected_windows.select(
@@ -220,30 +236,50 @@ def position_paths(
     return grid.join(nav.select("fund_code", "nav_date", "adjusted_nav"), ["fund_code", "nav_date"], "left")
 
 
-def usable_paths(paths: DataFrame) -> DataFrame:
-    """Paths of funds with a NAV on every trade day of the window and a positive buy NAV."""
-    one = W.partitionBy("window_id", "fund_code")
-    day, value = F.col("nav_date"), F.col("adjusted_nav")
-    return (
-        paths.withColumns(
-            {
-                "gaps": F.count_if(value.isNull()).over(one),
-                "buy_nav": F.max(F.when(day == F.col("d3"), value)).over(one),
-                "sell_nav": F.max(F.when(day == F.col("d4"), value)).over(one),
-            }
-        )
-        .where("gaps = 0 and buy_nav > 0")
-        .drop("gaps")
+def stretches(nav: DataFrame, calendar: DataFrame) -> DataFrame:
+    """NAV on trade days with the number of the gapless stretch each belongs to, per fund.
+
+    The number is the trade day's place in the calendar less its place among the fund's own days: it
+    grows by one with every day the fund has no NAV on, so it is equal at two days exactly if none is
+    missing between them. One window over NAV; a null NAV is a missing one.
+    """
+    numbered = next_trade_days(calendar).where("day = trade_date").select(F.col("day").alias("nav_date"), "trade_number")
+    own = W.partitionBy("fund_code").orderBy("nav_date")
+    days = nav.where("adjusted_nav is not null").select("fund_code", "nav_date", "adjusted_nav").join(numbered, "nav_date")
+    return days.select("fund_code", "nav_date", "adjusted_nav", (F.col("trade_number") - F.dense_rank().over(own)).alias("stretch"))
+
+
+def usable_funds(selected_windows: DataFrame, selections: DataFrame, days: DataFrame) -> DataFrame:
+    """Selected funds per window with a NAV on every trade day of it and a positive buy NAV.
+
+    `days` are the `stretches` of the funds; a window looks at two of them, however long it is.
+    """
+    wanted = selected_windows.select("window_id", "data_version", "d3", "d4").join(selections, "data_version")
+
+    def at(end: str, value: str, stretch: str) -> DataFrame:
+        return days.select("fund_code", F.col("nav_date").alias(end), F.col("adjusted_nav").alias(value), F.col("stretch").alias(stretch))
+
+    both = wanted.join(at("d3", "buy_nav", "buy_stretch"), ["fund_code", "d3"]).join(
+        at("d4", "sell_nav", "sell_stretch"), ["fund_code", "d4"]
+    )
+    return both.where("buy_stretch = sell_stretch and buy_nav > 0").select(
+        "window_id", "fund_code", "weight", "d3", "d4", "buy_nav", "sell_nav"
     )
 
 
-def portfolio_path(usable: DataFrame) -> DataFrame:
+def usable_paths(usable: DataFrame, days: DataFrame) -> DataFrame:
+    """NAV of usable funds on the trade days of their windows."""
+    grid = usable.withColumn("nav_date", F.explode(F.sequence("d3", "d4")))
+    return grid.join(days.select("fund_code", "nav_date", "adjusted_nav"), ["fund_code", "nav_date"])
+
+
+def portfolio_path(paths: DataFrame) -> DataFrame:
     """Value of each window's portfolio per day, one at the buy date.
 
     Weights are renormalised over the usable funds by the quotient of two sums.
     """
     relative = F.col("adjusted_nav") / F.col("buy_nav")
-    return usable.groupBy("window_id", "nav_date").agg(
+    return paths.groupBy("window_id", "nav_date").agg(
         (F.sum(F.col("weight") * relative) / F.sum("weight")).alias("value")
     )
 
@@ -269,12 +305,11 @@ def window_results(path: DataFrame) -> DataFrame:
 
 def positions(usable: DataFrame) -> DataFrame:
     """Bought funds per window with renormalised weight, return and contribution."""
-    bought = usable.where(F.col("nav_date") == F.col("d3"))
     # At most `limit` funds per window meet here.
     total = F.sum("weight").over(W.partitionBy("window_id"))
     weight = F.col("weight") / total
     gain = F.col("sell_nav") / F.col("buy_nav") - F.lit(1.0)
-    return bought.select(
+    return usable.select(
         "window_id",
         "fund_code",
         weight.alias("weight"),
@@ -314,27 +349,28 @@ def top_windows(window_detail: DataFrame, count: int = 3) -> DataFrame:
 def run_backtest(
     spark: SparkSession, calendar: DataFrame, scoreboard: DataFrame, nav_daily: DataFrame, rules: Rules
 ) -> Backtest:
-    """Windows, selections and portfolios of one rule set, as lazy DataFrames.
+    """Windows, selections and portfolios of one rule set.
 
-    `scoreboard` and `nav_daily` are the stored snapshots of all versions.
+    `scoreboard` and `nav_daily` are the stored snapshots of all versions. Calendar, windows with their
+    versions, selections, the selected funds' days and the usable funds are computed here, each once,
+    and stored in the shared folder; the frames returned read those tables.
     """
-    planned = windows(spark, calendar, rules)
-    if planned.isEmpty():
+    calendar = written(calendar.select("trade_date").distinct(), "calendar")
+    versions = written(version_dates(scoreboard), "versions")
+    versioned = written(with_versions(windows(spark, calendar, rules), versions, rules.scoreboard_version), "windows")
+    if versioned.isEmpty():
         raise ValueError("the calendar holds no backtest window")
-    if not rules.nav_version and nav_daily.select("data_version").isEmpty():
+    nav_version = rules.nav_version or latest_version(nav_daily).first().data_version
+    if nav_version is None:
         raise ValueError("no NAV version is stored")
-    versioned = with_versions(planned, version_dates(scoreboard), rules.scoreboard_version)
-    in_use = versioned.where("skip_reason is null").select("data_version").distinct()
-    selections = selection(scoreboard.join(in_use, "data_version", "left_semi"), rules)
-    nav_version = (
-        F.lit(rules.nav_version) if rules.nav_version else latest_version(nav_daily).scalar()
-    )
-    nav = nav_daily.where(F.col("data_version") == nav_version)
-
-    paths = position_paths(versioned.where("skip_reason is null"), selections, calendar, nav)
-    usable = usable_paths(paths)
+    open_windows = versioned.where("skip_reason is null")
+    in_use = open_windows.select("data_version").distinct()
+    selections = written(selection(scoreboard.join(in_use, "data_version", "left_semi"), rules), "selections")
+    nav = _between_windows(nav_daily.where(F.col("data_version") == nav_version), open_windows, selections)
+    days = written(stretches(nav, calendar), "selected-days")
+    usable = written(usable_funds(open_windows, selections, days), "usable")
     bought = positions(usable)
-    results = window_results(portfolio_path(usable))
+    results = window_results(portfolio_path(usable_paths(usable, days)))
     held = bought.groupBy("window_id").agg(
         F.count("*").alias("funds"), F.sum("weight").alias("weights")
     )
@@ -369,14 +405,18 @@ def run_backtest(
         "skip_reason",
     )
     run = spark.range(1).select(
+        F.date_format(F.current_timestamp(), "yyyyMMddHHmmss").alias("run_id"),
         F.current_timestamp().alias("run_time"),
         F.lit(rules.start).alias("start_date"),
         F.lit(rules.end).alias("end_date"),
         F.lit(rules.rebalance_days).alias("rebalance_interval_days"),
         F.lit(rules.holding_days).alias("holding_period_days"),
+        F.lit(rules.trade_calendar).alias("trade_calendar"),
+        F.lit(FEE_MODE).alias("fee_mode"),
+        F.lit(OVERLAP_MODE).alias("overlap_mode"),
         F.lit(rules.rule_id).alias("selection_rule_id"),
         F.lit(rules.scoreboard_version or "auto_by_d2").alias("selection_data_version_mode"),
-        nav_version.alias("nav_data_version"),
+        F.lit(nav_version).alias("nav_data_version"),
         F.lit(rules.limit).alias("selection_limit"),
         F.lit(rules.where).alias("selection_where"),
         F.lit(order_terms(rules.order_by)).alias("selection_order_by"),

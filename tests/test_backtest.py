@@ -3,6 +3,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from navloom.operators import backtest
 from tests.helpers import by_key, day, days_from
@@ -156,3 +157,34 @@ def test_excluded_statuses_and_order_terms(spark):
     got = backtest.selection(table, rules(exclude_subscribe=("暂停申购",)))
     assert {r.fund_code for r in got.collect()} == {"000001", "000002"}
     assert backtest.order_terms("coalesce(a, b) desc, c nulls first") == "coalesce(a, b) desc NULLS LAST, c nulls first"
+
+
+def test_stretches_tell_gapless_windows(spark):
+    random.seed(8)
+    open_days = [d for d in days_from("2024-01-01", 80) if d.weekday() < 5]
+    calendar = spark.createDataFrame([(d,) for d in open_days] * 2, "trade_date date")
+    held = {f"00000{n}": [d for d in days_from("2024-01-01", 80) if random.random() < share] for n, share in enumerate((1, 0.95, 0.9, 0.6), 1)}
+    table = nav(spark, {c: [(d, 1.0 + i / 100) for i, d in enumerate(days)] for c, days in held.items()})
+    gone = held["000001"][9]
+    table = table.withColumn("adjusted_nav", F.when((F.col("fund_code") != "000001") | (F.col("nav_date") != gone), F.col("adjusted_nav")))
+    held["000001"].remove(gone)
+    windows = [(i, "v", a, b) for i, (a, b) in enumerate((a, b) for a in open_days[::3] for b in open_days[::4] if a <= b)]
+    wanted = spark.createDataFrame(windows, "window_id int, data_version string, d3 date, d4 date")
+    chosen = spark.createDataFrame([("v", c, 0.25) for c in held], "data_version string, fund_code string, weight double")
+    got = backtest.usable_funds(wanted, chosen, backtest.stretches(table, calendar)).collect()
+    want = {(i, c) for i, _, a, b in windows for c, days in held.items() if all(d in days for d in open_days if a <= d <= b)}
+    assert {(r.window_id, r.fund_code) for r in got} == want and len(got) == len(want) > 40
+
+
+def test_run_record_and_plan(spark, calendar):
+    values = {"000001": [(d, 1.0) for d in days_from("2024-01-01", 91)]}
+    scores = board(spark, [("v1", "2024-01-01", "000001", 1.0)])
+    result = backtest.run_backtest(spark, calendar, scores, nav(spark, values), rules(trade_calendar="days.csv"))
+    record = result.run.collect()[0].asDict()
+    assert {"run_id", "run_time", "selection_rule_id"} <= set(record) and len(record["run_id"]) == 14
+    assert (record["trade_calendar"], record["fee_mode"], record["overlap_mode"]) == (
+        "days.csv", "ignore_subscribe_redeem_conversion_fee", "independent_windows"
+    )
+    for frame in (result.windows, result.positions, result.aggregate):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") <= 20 and "scalar-subquery" not in plan and "nav_daily" not in plan
