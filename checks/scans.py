@@ -31,17 +31,27 @@ def s1(spark, sf):
 
 @query("s2_per_fund_directory_scan", f"SELECT fund_code, nav_date, {sql_r6('unit_nav')} AS unit_nav FROM nav")
 def s2(spark, sf):
+    typed = normalise.nav(files.read_per_fund_files(spark, landed_nav(spark, sf), NAV_COLUMNS))
+    return rounded(typed.drop("daily_growth"), "unit_nav")
+
+
+NAV_COLUMNS = {"净值日期": "nav_date", "单位净值": "unit_nav"}
+
+
+def landed_nav(spark, sf, write=sinks.write_per_fund):
+    """NAV as text in one folder per fund, or as `write` lays it out."""
     folder = new_folder(spark, "nav-by-fund")
-    sinks.write_per_fund(
-        b.nav(spark, sf).select(
-            "fund_code",
-            F.col("nav_date").cast("string").alias("净值日期"),
-            F.col("unit_nav").cast("string").alias("单位净值"),
-        ),
-        folder,
-    )
-    columns = {"净值日期": "nav_date", "单位净值": "unit_nav"}
-    typed = normalise.nav(files.read_per_fund_files(spark, folder, columns))
+    names = {name: header for header, name in NAV_COLUMNS.items()}
+    write(b.nav(spark, sf).select("fund_code", *[F.col(n).cast("string").alias(names[n]) for n in names]), folder)
+    return folder
+
+
+@query("s2_bucketed_directory_scan", f"SELECT fund_code, nav_date, {sql_r6('unit_nav')} AS unit_nav FROM nav WHERE fund_code LIKE '%7'")
+def s2_bucketed(spark, sf):
+    """Funds that share files, found by the index."""
+    folder = landed_nav(spark, sf, sinks.write_bucketed)
+    codes = b.nav(spark, sf).select("fund_code").where("fund_code like '%7'")
+    typed = normalise.nav(files.read_per_fund_files(spark, folder, NAV_COLUMNS, codes=codes))
     return rounded(typed.drop("daily_growth"), "unit_nav")
 
 
@@ -52,8 +62,11 @@ def s2(spark, sf):
           ORDER BY fund_code LIMIT 25)""",
 )
 def s3(spark, sf):
+    """Landed per-fund files, of which only the targets' are opened."""
+    folder = landed_nav(spark, sf)
     targets = normalise.purchase(b.purchase(spark, sf)).join(b.blacklist(spark, sf), "fund_code", "left_anti")
-    return rounded(files.only_codes(b.nav(spark, sf), targets, code_limit=25), "unit_nav")
+    found = files.read_per_fund_files(spark, folder, NAV_COLUMNS, codes=targets, code_limit=25)
+    return rounded(normalise.nav(found).drop("daily_growth"), "unit_nav")
 
 
 @query("s4_trade_calendar_scan", "SELECT DISTINCT trade_date FROM raw_calendar WHERE trade_date IS NOT NULL")
@@ -126,13 +139,22 @@ def k1(spark, sf):
 
 @query(
     "k2_per_fund_sink",
-    """SELECT fund_code, count(*) AS days FROM nav GROUP BY 1""",
+    f"""SELECT layout, fund_code, CAST(nav_date AS VARCHAR) AS nav_date, {sql_r6('unit_nav')} AS unit_nav,
+               'say "' || fund_code || '", twice' AS note
+        FROM nav, (VALUES ('folders'), ('buckets')) AS l(layout)""",
 )
 def k2(spark, sf):
-    folder = new_folder(spark, "details")
-    sinks.write_per_fund(b.nav(spark, sf).withColumn("nav_date", F.col("nav_date").cast("string")), folder)
-    back = files.read_per_fund_files(spark, folder, {"nav_date": "nav_date", "unit_nav": "unit_nav"})
-    return back.groupBy("fund_code").agg(F.count("*").alias("days"))
+    """All columns, through both layouts; the note needs quotes."""
+    note = F.concat(F.lit('say "'), "fund_code", F.lit('", twice')).alias("note")
+    table = b.nav(spark, sf).select("fund_code", F.col("nav_date").cast("string").alias("nav_date"), "unit_nav", note)
+    back = None
+    for layout, write in (("folders", sinks.write_per_fund), ("buckets", sinks.write_bucketed)):
+        folder = new_folder(spark, layout)
+        write(table, folder)
+        rows = files.read_per_fund_files(spark, folder, {n: n for n in ("nav_date", "unit_nav", "note")})
+        rows = rows.withColumns({"layout": F.lit(layout), "unit_nav": r6(F.col("unit_nav").cast("double"))})
+        back = rows if back is None else back.unionByName(rows)
+    return back
 
 
 @query(

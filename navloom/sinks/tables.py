@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from navloom.sources import files
+
 LOG_COLUMNS = ("ts", "stage", "code", "error")
 
 # Fact tables of a version, and the ones the reduced scope writes.
@@ -28,6 +30,26 @@ def write_per_fund(table: DataFrame, path: str) -> None:
     spread.write.mode("overwrite").partitionBy("fund_code").option("header", True).option("escape", '"').csv(path)
 
 
+def write_bucketed(table: DataFrame, path: str, buckets: int = 256) -> None:
+    """Detail rows in a fixed number of folders by hash of the fund, and an index from fund to file.
+
+    For many funds: 100,000 of them are not 100,000 folders. AQE splits a bucket with many rows over
+    files; the index, written last, names the files each fund lies in, so a scan of some funds opens
+    those only. `read_per_fund_files` reads this layout too.
+    """
+    bucket = F.pmod(F.xxhash64("fund_code"), F.lit(buckets)).alias(files.BUCKET)
+    spread = table.select("*", bucket).hint("rebalance", files.BUCKET).sortWithinPartitions(files.BUCKET, "fund_code")
+    spread.write.mode("overwrite").partitionBy(files.BUCKET).option("header", True).option("escape", '"').csv(path)
+    place = F.regexp_extract("_metadata.file_path", rf"({files.BUCKET}=[^/]+/[^/]+)$", 1)
+    spark = table.sparkSession
+    if spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").isEmpty():
+        index = spark.createDataFrame([], "fund_code string, file string")
+    else:
+        rows = files.strict_csv(spark).option("multiLine", True).csv(f"{path}/{files.BUCKET}=*")
+        index = rows.select("fund_code", place.alias("file")).distinct()
+    index.write.mode("overwrite").parquet(f"{path}/{files.INDEX_FOLDER}")
+
+
 def append_failures(rejects: DataFrame, path: str) -> None:
     """Rejected funds (fund_code, stage, error) appended to a JSON-lines log."""
     rejects.select(

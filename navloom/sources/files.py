@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,14 +15,31 @@ from navloom.sources.schemas import CALENDAR, FAILURE_LOG
 LINE_ORDER = "line_order"
 CODE_FROM_PATH = r"([^/]+)\.csv$"
 CODE_FROM_FOLDER = r"/fund_code=([^/]+)/"
-# A CSV record (line breaks only inside quotes) and a field behind its comma.
-RECORD = r'(?:[^"\r\n]++|"(?:[^"]++|"")*+")++'
-FIELD = r',("(?:[^"]++|"")*+"|[^,"]*+)'
+# A CSV record (line breaks only inside quotes; an unclosed quote takes the rest) and a field behind its comma.
+RECORD = r'(?:[^"\r\n]++|"(?:[^"]++|"")*+(?:"|$))++'
+FIELD = r',("(?:[^"]++|"")*+"(?=,|$)|[^,"]*+(?=,|$))'
+#: Files of a targeted scan that are named one by one; for more targets the folder is read and joined.
+NAMED_FILES_MOST = 100_000
+#: Layout of funds that share files: folders by hash, and an index from fund to file.
+INDEX_FOLDER = "_funds"
+BUCKET = "bucket"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def strict_csv(spark: SparkSession) -> DataFrameReader:
+    """A reader by header that fails on a row with other fields than the header's; no column is skipped unread."""
+    options = {"header": True, "enforceSchema": False, "escape": '"', "mode": "FAILFAST", "columnPruning": False,
+               "unescapedQuoteHandling": "RAISE_ERROR", "encoding": "UTF-8"}
+    return spark.read.options(**options)
 
 
 def read_table(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     columns: dict[str, str],
     line_order: bool = False,
     multi_line: bool = False,
@@ -34,16 +52,7 @@ def read_table(
     line breaks needs `multi_line`, which reads a file in one task. With `line_order`, a sortable
     position (file, block, row in block) is added, so that keep-first means first in the file.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-        .option("columnPruning", False)
-        .option("multiLine", multi_line)
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+    raw = strict_csv(spark).option("multiLine", multi_line).csv(path)
     renamed = [F.col(f"`{header}`").alias(name) for header, name in columns.items() if header in raw.columns]
     if not renamed:
         raise ValueError(f"none of the headers {list(columns)} in {path}")
@@ -57,7 +66,7 @@ def read_table(
     return raw.select(*renamed, position.alias(LINE_ORDER))
 
 
-def _code_in(file: Column) -> Column:
+def code_in(file: Column) -> Column:
     """The stem of {code}.csv, or the folder name where our own per-fund sink wrote fund_code={code}/."""
     folder = F.regexp_extract(file, CODE_FROM_FOLDER, 1)
     stem = F.regexp_extract(file, CODE_FROM_PATH, 1)
@@ -81,18 +90,46 @@ def read_per_fund_files(
     columns: dict[str, str],
     required: Sequence[str] = (),
     line_order: bool = False,
+    codes: DataFrame | None = None,
+    code_limit: int | None = None,
 ) -> DataFrame:
     """A directory of per-fund files as one long table, columns taken by each file's own header.
 
     The code comes from the path, never inferred as a number. Such a file holds at most a row per
     day of one fund, so it is read whole: quoted line breaks are safe and files may differ in order
-    and columns. An absent column is null, except for `required` names, which are an error.
+    and columns. An absent column is null, except for `required` names, which are an error. So is a
+    row whose fields are not the header's, or that is not made of fields alone (text behind a closing
+    quote, a quote that is never closed).
+
+    With `codes` (fund_code), only those funds' files are opened; see `files_of`. A folder written by
+    `write_bucketed` is read by its index, and its rows carry their codes themselves.
     """
-    whole = (
-        spark.read.option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .text(path, wholetext=True)
-    )
+    if exists(spark, f"{path}/{INDEX_FOLDER}"):
+        return _read_bucketed(spark, path, columns, required, line_order, codes, code_limit)
+    if codes is None:
+        reader = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
+        return _funds_in(reader.text(path, wholetext=True), columns, required, line_order)
+    wanted = target_codes(codes, code_limit)
+    found = files_of(named_files(spark, path), wanted)
+    if found is None:
+        return read_per_fund_files(spark, path, columns, required, line_order).join(wanted, "fund_code", "left_semi")
+    return _funds_in(_texts(spark, found), columns, required, line_order)
+
+
+def _texts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Whole texts of the named files, which may be none."""
+    if paths:
+        return spark.read.text([_literal(p) for p in paths], wholetext=True)
+    return spark.createDataFrame([], "value string, _metadata struct<file_path: string>")
+
+
+def _literal(path: str) -> str:
+    """A path in which no character is a pattern."""
+    return re.sub(r"([\\\[\]{}*?,])", r"\\\1", path)
+
+
+def _funds_in(whole: DataFrame, columns: dict[str, str], required: Sequence[str], line_order: bool) -> DataFrame:
+    """Rows of whole per-fund files (value, _metadata)."""
     file = F.col("_metadata.file_path")
     content = F.regexp_replace("value", "^\ufeff", "")
     records = whole.select(
@@ -103,7 +140,8 @@ def read_per_fund_files(
         "file", header.alias("header"), F.posexplode(F.slice("records", F.lit(2), F.size("records") - 1)).alias("row", "record")
     ).withColumn("fields", _fields(F.col("record")))
     wrong = F.concat(F.lit("row "), F.col("row") + 1, F.lit(" has not the header's fields: "), F.col("file"))
-    checked = F.when(F.size("fields") == F.size("header"), F.col("fields")).otherwise(F.raise_error(wrong))
+    sound = (F.size("fields") == F.size("header")) & _all_fields(F.col("record"))
+    checked = F.when(sound, F.col("fields")).otherwise(F.raise_error(wrong))
 
     def named(source: str, name: str) -> Column:
         place = F.array_position("header", source)
@@ -112,30 +150,91 @@ def read_per_fund_files(
 
     order = [F.struct("file", "row").alias(LINE_ORDER)] if line_order else []
     return rows.withColumn("fields", checked).select(
-        _code_in(F.col("file")).alias("fund_code"),
+        code_in(F.col("file")).alias("fund_code"),
         *[named(source, name) for source, name in columns.items() if name != "fund_code"],
         *order,
     )
 
 
-def codes_with_file(spark: SparkSession, path: str) -> DataFrame:
-    """Codes that have a file, also an empty one (names only, no content is read)."""
+def _all_fields(record: Column) -> Column:
+    """Whether the matched fields, joined, give the record back in full."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(FIELD), F.lit(0))
+    return F.array_join(found, "") == F.concat(F.lit(","), record)
+
+
+def _read_bucketed(
+    spark: SparkSession,
+    path: str,
+    columns: dict[str, str],
+    required: Sequence[str],
+    line_order: bool,
+    codes: DataFrame | None,
+    code_limit: int | None,
+) -> DataFrame:
+    """Rows of a folder in which funds share files; only files that hold a target fund are opened."""
+    stored = spark.read.parquet(f"{path}/{INDEX_FOLDER}")
+    paths = [] if stored.isEmpty() else [f"{path}/{BUCKET}=*"]
+    wanted = None if codes is None else target_codes(codes, code_limit)
+    if wanted is not None:
+        found = files_of(stored, wanted)
+        paths = paths if found is None else [f"{path}/{file}" for file in found]
+    if not paths:
+        table = spark.createDataFrame([], ", ".join(f"{name} string" for name in ("fund_code", *columns.values())))
+        return table.select("fund_code", *[n for n in columns.values() if n != "fund_code"])
+    names = {"fund_code": "fund_code", **{source: name for source, name in columns.items() if name != "fund_code"}}
+    table = read_table(spark, paths, names, line_order, multi_line=True)
+    absent = [name for name in names.values() if name not in table.columns]
+    if set(absent) & set(required):
+        raise ValueError(f"no column {sorted(set(absent) & set(required))} in {path}")
+    order = [LINE_ORDER] if line_order else []
+    rows = table.select(
+        *[F.lit(None).cast("string").alias(n) if n in absent else F.col(n) for n in names.values()], *order
+    )
+    return rows if wanted is None else rows.join(wanted, "fund_code", "left_semi")
+
+
+def named_files(spark: SparkSession, path: str) -> DataFrame:
+    """fund_code and file of every per-fund file (names only, no content is read)."""
     names = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
         .load(path)
-        .select("path")
+        .select(F.col("path").alias("file"))
     )
-    return names.select(_code_in(F.col("path")).alias("fund_code")).distinct()
+    return names.select(code_in(F.col("file")).alias("fund_code"), "file")
 
 
-def only_codes(table: DataFrame, codes: DataFrame, code_limit: int | None = None) -> DataFrame:
-    """Rows of the target codes; a target without rows is not an error."""
+def files_of(named: DataFrame, codes: DataFrame, most: int = NAMED_FILES_MOST) -> list[str] | None:
+    """Files of the target codes, or None if there are more than `most`.
+
+    Only names of files to open come to the driver, which needs them to plan the scan. A code without a
+    file is not an error. Beyond the bound a caller reads the folder and joins.
+    """
+    found = named.join(codes.select("fund_code").distinct(), "fund_code", "left_semi").select("file").distinct()
+    rows = found.limit(most + 1).collect()
+    return None if len(rows) > most else sorted(row["file"] for row in rows)
+
+
+def target_codes(codes: DataFrame, code_limit: int | None = None) -> DataFrame:
+    """Distinct codes, with a limit the first ones by name."""
     wanted = codes.select("fund_code").distinct()
-    if code_limit is not None:
-        wanted = wanted.orderBy("fund_code").limit(code_limit)
-    return table.join(wanted, "fund_code", "left_semi")
+    return wanted if code_limit is None else wanted.orderBy("fund_code").limit(code_limit)
+
+
+def codes_with_file(spark: SparkSession, path: str) -> DataFrame:
+    """Codes that have a file, also an empty one (names only, no content is read)."""
+    if exists(spark, f"{path}/{INDEX_FOLDER}"):
+        return spark.read.parquet(f"{path}/{INDEX_FOLDER}").select("fund_code").distinct()
+    return named_files(spark, path).select("fund_code").distinct()
+
+
+def only_codes(table: DataFrame, codes: DataFrame, code_limit: int | None = None) -> DataFrame:
+    """Rows of the target codes; a target without rows is not an error.
+
+    For a table in memory or Parquet; a scan of landed files takes `codes` itself and opens theirs only.
+    """
+    return table.join(target_codes(codes, code_limit), "fund_code", "left_semi")
 
 
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:
@@ -179,10 +278,15 @@ def read_log_strict(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def read_blacklist(spark: SparkSession, path: str | None) -> DataFrame:
-    """Codes of a blacklist file: its code column, else its first column; blanks are ignored."""
+    """Codes of a blacklist file: its code column, else its first column; blanks are ignored.
+
+    A row with another number of fields than the header, or text behind a closing quote, is an error:
+    a listed fund must not slip through because of it. A folder of parts may hold empty ones.
+    """
     if path is None:
         return spark.createDataFrame([], "fund_code string")
-    return blacklist_codes(spark.read.option("header", True).option("escape", '"').csv(path))
+    raw = strict_csv(spark).csv(path)
+    return blacklist_codes(raw)
 
 
 def blacklist_codes(raw: DataFrame) -> DataFrame:

@@ -207,3 +207,61 @@ def test_full_run_from_landed_files(spark, landing, tmp_path):
         runs.Settings("v1", metrics_only=True),
     )
     assert quick["scoreboard"].collect() == again["scoreboard"].collect() and "nav_daily" not in quick
+
+
+def test_scan_of_target_funds_opens_their_files_only(spark, tmp_path):
+    for i in range(40):
+        write(tmp_path / "nav" / f"{i}.csv", csv(schemas.NAV, [(i, "2024-01-02", i + 0.5, "")]))
+    write(tmp_path / "nav" / "000041.csv", "not,a table\nbroken\n")
+    codes = spark.createDataFrame([("000007",), ("000012",), ("999999",)], "fund_code string")
+    rows = files.read_per_fund_files(spark, str(tmp_path / "nav"), schemas.NAV, codes=codes)
+    assert sorted(f.rsplit("/", 1)[1] for f in rows.inputFiles()) == ["12.csv", "7.csv"]
+    assert {(r.fund_code, r.unit_nav) for r in rows.collect()} == {("000007", "7.5"), ("000012", "12.5")}
+    limited = files.read_per_fund_files(spark, str(tmp_path / "nav"), schemas.NAV, codes=codes, code_limit=1)
+    assert [r.fund_code for r in limited.collect()] == ["000007"]
+    nobody = files.read_per_fund_files(spark, str(tmp_path / "nav"), schemas.NAV, line_order=True, codes=codes.where("fund_code > '9'"))
+    assert nobody.collect() == [] and nobody.columns[-1] == files.LINE_ORDER
+    assert files.files_of(files.named_files(spark, str(tmp_path / "nav")), codes, most=1) is None
+
+
+def test_more_targets_than_named_files_are_joined(spark, tmp_path, monkeypatch):
+    for i in range(4):
+        write(tmp_path / "nav" / f"{i}.csv", csv(schemas.NAV, [(i, "2024-01-02", i, "")]))
+    monkeypatch.setattr(files.files_of, "__defaults__", (1,))
+    codes = spark.createDataFrame([("000001",), ("000003",)], "fund_code string")
+    rows = files.read_per_fund_files(spark, str(tmp_path / "nav"), schemas.NAV, codes=codes)
+    assert len(rows.inputFiles()) == 4 and {r.fund_code for r in rows.collect()} == {"000001", "000003"}
+
+
+def test_bucketed_layout_has_few_folders_and_an_index(spark, tmp_path):
+    rows = [(f"{i:06d}", f"day {d}", 'a "q", \n b' if d else None) for i in range(300) for d in range(2)]
+    table = spark.createDataFrame(rows, "fund_code string, nav_date string, note string")
+    folder = str(tmp_path / "b")
+    sinks.write_bucketed(table, folder, buckets=8)
+    assert len([n for n in os.listdir(folder) if n.startswith("bucket=")]) == 8
+    columns = {"nav_date": "nav_date", "note": "note", "absent": "absent"}
+    back = files.read_per_fund_files(spark, folder, columns, line_order=True)
+    assert sorted(tuple(r)[:3] for r in back.collect()) == sorted(rows) and back.columns[3:] == ["absent", files.LINE_ORDER]
+    codes = spark.createDataFrame([("000005",), ("555555",)], "fund_code string")
+    some = files.read_per_fund_files(spark, folder, columns, codes=codes)
+    assert len(some.inputFiles()) == 1 and {r.fund_code for r in some.collect()} == {"000005"}
+    assert files.codes_with_file(spark, folder).count() == 300
+    with pytest.raises(ValueError, match="no column"):
+        files.read_per_fund_files(spark, folder, columns, required=["absent"])
+    sinks.write_bucketed(table.where("false"), folder)
+    assert files.read_per_fund_files(spark, folder, columns).collect() == []
+
+
+def test_rows_that_are_not_fields_alone_are_errors(spark, tmp_path):
+    columns = {"a": "a", "b": "b"}
+    for i, text in enumerate(['a,b\n1.0,"0\n2,x\n3,y"5\n', 'a,b\n1.0,"0\n', 'a,b\n1,x"y"\n', 'a,b\n"1"2,3\n']):
+        write(tmp_path / str(i) / "1.csv", text)
+        with pytest.raises(Exception, match="header's fields"):
+            files.read_per_fund_files(spark, str(tmp_path / str(i)), columns).collect()
+
+
+def test_broken_blacklists_are_errors(spark, tmp_path):
+    for i, text in enumerate(["备注,基金代码\nx,y,000002\n", "备注,基金代码\nx,1\n000003\n", '备注,基金代码\nx,"00000"2\n']):
+        path = write(tmp_path / f"{i}.csv", text)
+        with pytest.raises(Exception):
+            files.read_blacklist(spark, path).collect()
