@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from dataclasses import replace
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from checks import bindings as b
 from checks.aggregates import SHARES, SQL_SHARES, adjusted_metrics, backtested
 from checks.catalog import TABLES, query, rounded, sql_r6
-from checks.joins import RULES, planned, unit_metrics, unit_series
+from checks.joins import RULES, STALE_DAYS, planned, unit_metrics, unit_series
 from checks.metric_sql import ROUNDED_METRICS, define_metrics
 from checks.projections import AS_OF, DIM_NUMBERS, SQL_STYLE, dim
 from navloom.operators import (
@@ -25,6 +26,7 @@ from navloom.operators import (
     score,
     scoreboard,
 )
+from navloom.plans import runs
 from navloom.session import new_folder
 from navloom.sinks import tables as sinks
 from navloom.sources import files
@@ -382,6 +384,46 @@ def a13_positions(spark, sf):
     return rounded(held, "weight", "buy_nav_at_d3", "sell_nav_at_d4", "fund_return", "contribution")
 
 
+_STAGE_ROWS = {
+    "dim_base": "SELECT count(*) FROM dim_base",
+    "metrics": "SELECT count(*) FROM unit_metrics",
+    "nav_daily": "SELECT count(*) FROM nav WHERE fund_code IN (SELECT fund_code FROM unit_metrics WHERE NOT stale)",
+    "return_period": "SELECT count(*) FROM unit_returns WHERE tag = 'a' AND r IS NOT NULL",
+    "scoreboard": f"SELECT count(*) FROM unit_metrics m JOIN dim_base d ON d.fund_code = m.fund_code WHERE m.fund_code NOT IN ({_METRIC_CODES})",
+    "exclusion_detail": "SELECT count(*) FROM (SELECT DISTINCT fund_code, reason_code FROM exclusions_sql)",
+    "exclusion_summary": "SELECT count(DISTINCT reason_code) FROM exclusions_sql",
+}
+_OF_PURCHASE = ("dim_base", "scoreboard", "exclusion_detail", "exclusion_summary")
+
+
+@query(
+    "k9_reused_stage_tables",
+    " UNION ALL ".join(
+        f"SELECT {run} AS run, '{name}' AS stage, {run == 1 or (run == 2 and name in _OF_PURCHASE)} AS computed, ({sql}) AS n"
+        for run in (1, 2, 3)
+        for name, sql in _STAGE_ROWS.items()
+    ),
+)
+def k9(spark, sf):
+    """Seven stored outputs: the second run has other names in its purchase list, the third changes nothing."""
+    root = new_folder(spark, "stages")
+    purchase = normalise.purchase(b.purchase(spark, sf))
+    renamed = purchase.withColumn("short_name", F.concat("short_name", F.lit(" II")))
+    personnel = normalise.personnel(b.raw_personnel(spark, sf))
+    series = unit_series(spark, sf).withColumn("unit_nav", F.col("adjusted_nav"))
+    settings = runs.Settings("v1", as_of=AS_OF, stale_max_days=STALE_DAYS, metrics_only=False, resume=True)
+    counts = []
+    for number, listed in enumerate((purchase, renamed, renamed), 1):
+        done = runs.scoreboard_stages(listed, b.overview(spark, sf), personnel, series, root, settings)
+        counts += [
+            done.tables[name].agg(F.count("*").alias("n")).select(
+                F.lit(number).alias("run"), F.lit(name).alias("stage"), F.lit(name in done.computed).alias("computed"), "n"
+            )
+            for name in _STAGE_ROWS
+        ]
+    return functools.reduce(lambda x, y: x.unionByName(y), counts)
+
+
 # The same backtest over daily NAV and the daily calendar: short windows, as few funds have a NAV every day.
 DAILY_RULES = replace(RULES, rebalance_days=7, holding_days=1, limit=30)
 TABLES["daily_nav_versions"] = TABLES["nav_versions"].replace("adjusted_nav", "unit_nav AS adjusted_nav").replace("month_nav", "nav")

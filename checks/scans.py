@@ -278,19 +278,3 @@ def k8(spark, sf):
     return sinks.with_columns_of(
         unique, ["data_version", "as_of_date", "fund_code", "reason_code", "reason_detail", "note"]
     )
-
-
-@query(
-    "k9_reused_stage_tables",
-    f"SELECT fund_code, nav_date, {sql_r6('adjusted_nav')} AS adjusted_nav FROM month_nav",
-)
-def k9(spark, sf):
-    """The second call must read the stored stage: recomputing it would fail."""
-    root = new_folder(spark, "stages")
-    sinks.reuse_or_compute(spark, root, "v1", {"nav": lambda: b.month_nav(spark, sf)})
-
-    def unwanted():
-        raise AssertionError("stage was computed again")
-
-    again = sinks.reuse_or_compute(spark, root, "v1", {"nav": unwanted})
-    return again["nav"].select("fund_code", "nav_date", r6("adjusted_nav").alias("adjusted_nav"))

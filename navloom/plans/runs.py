@@ -60,10 +60,25 @@ def scoreboard_run(
     settings: Settings,
     order=(),
 ) -> dict[str, DataFrame]:
-    """Dimension, metrics and scoreboard of one version, stored stage by stage under `root`.
+    """The stage tables of a version by name; see `scoreboard_stages`."""
+    done = scoreboard_stages(purchase, overview, personnel, adjusted, root, settings, order)
+    return {name: table for name, table in done.tables.items() if name != "assessed"}
+
+
+def scoreboard_stages(
+    purchase: DataFrame,
+    overview: DataFrame,
+    personnel: DataFrame,
+    adjusted: DataFrame,
+    root: str,
+    settings: Settings,
+    order=(),
+) -> sinks.Stages:
+    """Dimension, metrics, facts and scoreboard of one version, stored stage by stage under `root`.
 
     Stage tables are Parquet: they cut the lineage (each is computed once, though several
-    results read it) and a repeated run with `resume` reads them back.
+    results read it). A repeated run with `resume` reads back those whose inputs and settings are
+    unchanged, by content, and computes the others.
     """
     spark = purchase.sparkSession
     version, latest = settings.data_version, settings.latest_nav_date
@@ -72,38 +87,36 @@ def scoreboard_run(
     as_of = settings.as_of
     if as_of is None:
         as_of = str(metrics.latest_day(metrics.up_to(series, latest)).first().as_of_date)
+    history = (series, as_of, settings.stale_max_days, latest)
 
-    def dim() -> DataFrame:
+    def dim(_) -> DataFrame:
         last_change = normalise.latest_personnel_date(personnel, latest)
         return normalise.dim_base(purchase, overview, last_change, version, as_of, order)
 
-    def measured() -> DataFrame:
-        return metrics.metric_snapshot(series, as_of, settings.stale_max_days, latest)
+    def tagged(facts):
+        return lambda _: normalise.tagged(facts(*history), version, as_of)
 
-    resume = settings.resume and latest is None
-    done = sinks.reuse_or_compute(
-        spark, f"{root}/stage", version, {"dim_base": dim, "metrics": measured}, resume
-    )
-    board = sinks.reuse_or_compute(
-        spark,
-        f"{root}/stage",
-        version,
-        {"assessed": lambda: scoreboard.assess(done["metrics"], done["dim_base"], version, as_of)},
-        resume,
-    )["assessed"]
-    detail = scoreboard.exclusion_detail(board)
-    result = {
-        "dim_base": done["dim_base"],
-        "metrics": done["metrics"],
-        "scoreboard": scoreboard.kept_funds(board),
-        "exclusion_detail": sinks.unique_exclusions(detail),
-        "exclusion_summary": scoreboard.exclusion_summary(detail),
+    days = (sinks.fingerprint(series), as_of, str(settings.stale_max_days), str(latest))
+    listed = (*map(sinks.fingerprint, (purchase, overview, personnel)), version, as_of, str(latest))
+    assessed = ("assessed",)
+    stages = {
+        "dim_base": sinks.Stage(dim, listed),
+        "metrics": sinks.Stage(lambda _: metrics.metric_snapshot(*history), days),
+        "assessed": sinks.Stage(
+            lambda t: scoreboard.assess(t["metrics"], t["dim_base"], version, as_of), (version, as_of), ("metrics", "dim_base")
+        ),
+        "scoreboard": sinks.Stage(lambda t: scoreboard.kept_funds(t["assessed"]), after=assessed),
+        "exclusion_detail": sinks.Stage(
+            lambda t: sinks.unique_exclusions(scoreboard.exclusion_detail(t["assessed"])), after=assessed
+        ),
+        "exclusion_summary": sinks.Stage(
+            lambda t: scoreboard.exclusion_summary(scoreboard.exclusion_detail(t["assessed"])), after=assessed
+        ),
     }
     if not settings.metrics_only:
-        args = (series, as_of, settings.stale_max_days, latest)
-        result["nav_daily"] = normalise.tagged(metrics.daily_facts(*args), version, as_of)
-        result["return_period"] = normalise.tagged(metrics.period_facts(*args), version, as_of)
-    return result
+        stages["nav_daily"] = sinks.Stage(tagged(metrics.daily_facts), (*days, version))
+        stages["return_period"] = sinks.Stage(tagged(metrics.period_facts), (*days, version))
+    return sinks.resume_or_compute(spark, f"{root}/stage", version, stages, settings.resume and latest is None)
 
 
 def store_version(result: dict[str, DataFrame], root: str, settings: Settings) -> None:

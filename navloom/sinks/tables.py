@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from navloom.sinks import commits
 from navloom.sources import files
 
 LOG_COLUMNS = ("ts", "stage", "code", "error")
@@ -95,35 +101,76 @@ def unique_exclusions(detail: DataFrame) -> DataFrame:
     ).select("data_version", "row.as_of_date", "fund_code", "reason_code", "row.reason_detail")
 
 
+BATCH = "batch"
+SCHEMA_FILE = "_schema.json"
+PARTITION_TYPES = "spark.sql.sources.partitionColumnTypeInference.enabled"
+
+
 def write_version(
     table: DataFrame, path: str, version: str, extra_partitions: Sequence[str] = ()
 ) -> None:
     """Replace one version of a stored table, keep the others; safe to repeat.
 
-    Overwriting the version's own folder also removes month partitions that have no
-    rows any more. Rebalancing lets AQE split large partitions and join small ones.
+    The rows go to a folder of their own, and a commit makes them the version's (see `commits`): readers
+    and failed jobs never leave or see a half version. Month partitions that have no rows any more are
+    gone with the batch before. Rebalancing lets AQE split large partitions and join small ones.
     """
-    rows = table.drop("data_version")
-    spread = rows.hint("rebalance", *extra_partitions)
-    writer = spread.write.mode("overwrite").partitionBy(*extra_partitions)
-    writer.parquet(f"{path}/data_version={version}")
+    rows = table.drop("data_version").withColumn("data_version", F.lit(version))
+    batch = _write_batch(rows.hint("rebalance", *extra_partitions), path, extra_partitions)
+    _commit_version(table.sparkSession, path, version, batch)
 
 
 def write_versions(table: DataFrame, path: str) -> None:
-    """Replace every version that occurs in `table`, keep all others; safe to repeat."""
-    (
-        table.hint("rebalance", "data_version")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("data_version")
-        .parquet(path)
-    )
+    """Replace every version that occurs in `table`, keep all others; safe to repeat.
+
+    One job writes all of them; each then becomes current by a commit of its own.
+    """
+    spark = table.sparkSession
+    batch = _write_batch(table.hint("rebalance", "data_version"), path, ())
+    for name in commits.names_in(spark, f"{path}/{BATCH}={batch}"):
+        if name.startswith("data_version="):
+            unescaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+            _commit_version(spark, path, unescaped(name.removeprefix("data_version=")), batch)
+
+
+def _write_batch(rows: DataFrame, path: str, extra_partitions: Sequence[str]) -> str:
+    batch = commits.new_batch()
+    folder = f"{path}/{BATCH}={batch}"
+    rows.write.partitionBy("data_version", *extra_partitions).parquet(folder)
+    commits.write_text(rows.sparkSession, f"{folder}/{SCHEMA_FILE}", rows.schema.json())
+    return batch
+
+
+def _commit_version(spark: SparkSession, path: str, version: str, batch: str) -> None:
+    for old in commits.commit(spark, path, version, batch):
+        folder = f"{path}/{BATCH}={old}"
+        commits.remove(spark, f"{folder}/data_version={commits.escaped(spark, version)}")
+        if not any(n.startswith("data_version=") for n in commits.names_in(spark, folder)):
+            commits.remove(spark, folder)
 
 
 def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    """All stored versions; version names stay text whatever they look like."""
-    table = spark.read.parquet(path)
-    return table.withColumn("data_version", F.col("data_version").cast("string"))
+    """All current versions; version names and months stay text whatever they look like.
+
+    The pointers are resolved here, once: what is committed later shows in the next read.
+    """
+    keys = commits.keys(spark, path)
+    if not keys:
+        raise ValueError(f"no version is stored in {path}")
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    now = {key: commits.current(spark, path, unescape(key)) for key in keys}
+    folders = [f"{path}/{BATCH}={entry.batch}/data_version={key}" for key, entry in now.items() if entry]
+    folders = [folder for folder in folders if files.exists(spark, folder)]
+    if not folders:
+        newest = max(entry.batch for entry in now.values() if entry)
+        schema = T.StructType.fromJson(json.loads(commits.read_text(spark, f"{path}/{BATCH}={newest}/{SCHEMA_FILE}")))
+        return spark.createDataFrame([], schema)
+    before = spark.conf.get(PARTITION_TYPES)
+    spark.conf.set(PARTITION_TYPES, "false")
+    try:
+        return spark.read.option("basePath", path).parquet(*folders).drop(BATCH)
+    finally:
+        spark.conf.set(PARTITION_TYPES, before)
 
 
 def by_month(table: DataFrame, date_column: str, name: str) -> DataFrame:
@@ -148,28 +195,59 @@ def write_facts(
     return list(SCOPES[scope])
 
 
-def reuse_or_compute(
-    spark: SparkSession,
-    root: str,
-    version: str,
-    stages: Mapping[str, Callable[[], DataFrame]],
-    resume: bool = True,
-) -> dict[str, DataFrame]:
-    """Stage tables of a version, read back if all of them are complete, else computed and written.
+@dataclass(frozen=True)
+class Stage:
+    """A stored result: how to compute it from the stage tables before it, and what it depends on.
+
+    `inputs` are fingerprints of tables and settings, `after` the stages it reads.
+    """
+
+    compute: Callable[[Mapping[str, DataFrame]], DataFrame]
+    inputs: Sequence[str] = ()
+    after: Sequence[str] = ()
+
+
+class Stages(NamedTuple):
+    tables: dict[str, DataFrame]
+    computed: list[str]
+
 
-    Reading needs every stage's commit marker; one missing table means computing all anew.
-    Pass resume=False when the history is truncated at a date.
+def fingerprint(table: DataFrame) -> str:
+    """Columns and content of a table, whatever the order of its rows: one pass, one row per task shuffled.
+
+    Count, sum and exclusive or of two independent hashes: equal rows count as often as they occur.
+    """
+    columns = [F.col(f"`{name}`") for name in sorted(table.columns)]
+    added = F.sum(F.xxhash64(F.lit(1), *columns).cast("decimal(38,0)"))
+    row = table.agg(F.count(F.lit(1)), added, F.bit_xor(F.xxhash64(F.lit(2), *columns))).first()
+    types = sorted((f.name, f.dataType.simpleString()) for f in table.schema)
+    return hashlib.sha256(repr((types, *map(str, row))).encode()).hexdigest()
+
+
+def resume_or_compute(
+    spark: SparkSession, root: str, version: str, stages: Mapping[str, Stage], resume: bool = True
+) -> Stages:
+    """Stage tables of a version: read back where their inputs are those they were computed from.
+
+    A manifest (the commit of each stage) holds a fingerprint of the stage's inputs and of the stages
+    before it, so a changed input means computing exactly what depends on it anew, under whatever
+    version name. A stage that is computed is written to a fresh folder and then committed; a failed run
+    leaves the stages that ended, to be taken up. Stages are given in the order of their dependence.
+    Pass resume=False to compute all (when the history is truncated at a date).
     """
-    paths = {name: f"{root}/data_version={version}/{name}" for name in stages}
-    if resume and all(_complete(spark, path) for path in paths.values()):
-        return {name: spark.read.parquet(path) for name, path in paths.items()}
-    tables = {}
-    for name, compute in stages.items():
-        compute().write.mode("overwrite").parquet(paths[name])
-        tables[name] = spark.read.parquet(paths[name])
-    return tables
-
-
-def _complete(spark: SparkSession, path: str) -> bool:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    tables: dict[str, DataFrame] = {}
+    marks: dict[str, str] = {}
+    computed = []
+    for name, stage in stages.items():
+        marks[name] = hashlib.sha256(repr((name, tuple(stage.inputs), [marks[n] for n in stage.after])).encode()).hexdigest()
+        key, folder = f"{name}@{version}", f"{root}/stages/{commits.escaped(spark, f'{name}@{version}')}"
+        stored = commits.current(spark, root, key)
+        if not (resume and stored and stored.tag == marks[name]):
+            batch = commits.new_batch()
+            stage.compute(tables).write.parquet(f"{folder}/{batch}")
+            for old in commits.commit(spark, root, key, batch, marks[name]):
+                commits.remove(spark, f"{folder}/{old}")
+            stored = commits.current(spark, root, key)
+            computed.append(name)
+        tables[name] = spark.read.parquet(f"{folder}/{stored.batch}")
+    return Stages(tables, computed)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from navloom.operators import normalise
 from navloom.plans import runs
 from navloom.session import new_folder, shared_folder, written
+from navloom.sinks import commits
 from navloom.sinks import tables as sinks
 from navloom.sources import files, schemas
 from tests.helpers import by_key, day, days_from
@@ -136,17 +137,68 @@ def test_versioned_write_replaces_only_its_version(spark):
     assert {(r.data_version, r.x) for r in sinks.read_versions(spark, folder).collect()} == {("v1", 1), ("v2", 3)}
 
 
-def test_stages_are_reused_only_when_complete_and_wanted(spark):
+def test_readers_see_whole_versions_during_and_after_a_failed_rewrite(spark):
+    folder = new_folder(spark, "versions")
+    rows = spark.createDataFrame([("007", day("2024-01-05"), i) for i in range(9)], "data_version string, d date, x int")
+    rows = sinks.by_month(rows, "d", "m")
+    sinks.write_version(rows, folder, "007", ("m",))
+    reader = sinks.read_versions(spark, folder)
+    broken = rows.withColumn("x", F.when(F.col("x") == 8, F.raise_error(F.lit("disk full")).cast("int")).otherwise(F.col("x")))
+    for write in (lambda: sinks.write_version(broken, folder, "007", ("m",)), lambda: sinks.write_versions(broken, folder)):
+        with pytest.raises(Exception, match="disk full"):
+            write()
+        assert sinks.read_versions(spark, folder).count() == 9
+    sinks.write_version(rows.where("x < 2"), folder, "007", ("m",))
+    # Who read before the rewrite still can; a new reader sees the new rows, the name is still text.
+    assert reader.count() == 9
+    assert {(r.data_version, r.m, r.x) for r in sinks.read_versions(spark, folder).collect()} == {("007", "2024-01", 0), ("007", "2024-01", 1)}
+    for x in (3, 4):
+        sinks.write_version(rows.where(f"x = {x}"), folder, "007", ("m",))
+    assert len(commits.history(spark, folder, "007")) == commits.KEPT
+    sinks.write_version(rows.where("false"), folder, "007", ("m",))
+    assert sinks.read_versions(spark, folder).collect() == []
+    with pytest.raises(ValueError, match="no version"):
+        sinks.read_versions(spark, new_folder(spark, "nothing"))
+
+
+def test_stages_are_taken_up_by_their_inputs(spark):
     root = new_folder(spark, "stage")
-    calls = []
-
-    def stage():
-        calls.append(1)
-        return spark.range(3)
 
-    for resume in (True, True, False):
-        assert sinks.reuse_or_compute(spark, root, "v1", {"a": stage}, resume)["a"].count() == 3
-    assert len(calls) == 2
+    def run(a, b, fail=(), resume=True):
+        def stage(name, compute):
+            def checked(tables):
+                if name in fail:
+                    raise RuntimeError(name)
+                return compute(tables)
+
+            return checked
+
+        stages = {
+            "a": sinks.Stage(stage("a", lambda _: a), (sinks.fingerprint(a),)),
+            "b": sinks.Stage(stage("b", lambda _: b), (sinks.fingerprint(b),)),
+            "c": sinks.Stage(stage("c", lambda t: t["a"].join(t["b"], "id")), ("x",), ("a", "b")),
+            "d": sinks.Stage(stage("d", lambda t: t["b"].agg(F.count("*").alias("n"))), after=("b",)),
+        }
+        done = sinks.resume_or_compute(spark, root, "v1", stages, resume)
+        return done.computed, done.tables["c"].count(), done.tables["d"].first().n
+
+    three, five = spark.range(3), spark.range(5)
+    assert run(three, five) == (["a", "b", "c", "d"], 3, 5)
+    assert run(three, spark.range(0, 5, 1, 7)) == ([], 3, 5)
+    assert run(spark.range(4), five) == (["a", "c"], 4, 5)
+    with pytest.raises(RuntimeError):
+        run(three, spark.range(2), fail=("c",))
+    assert run(three, spark.range(2)) == (["c", "d"], 2, 2)
+    assert run(three, spark.range(2), resume=False) == (["a", "b", "c", "d"], 2, 2)
+
+
+def test_fingerprints_tell_content_not_order(spark):
+    rows = [("a", 1.0), ("a", 1.0), ("b", None)]
+    table = spark.createDataFrame(rows, "x string, y double")
+    same = spark.createDataFrame(rows[::-1], "x string, y double").repartition(3)
+    assert sinks.fingerprint(table) == sinks.fingerprint(same.select("y", "x"))
+    others = [table.distinct(), table.where("y > 0"), table.withColumnRenamed("x", "z"), table.withColumn("y", F.col("y") + 1)]
+    assert len({sinks.fingerprint(t) for t in (table, *others)}) == 5
 
 
 def test_working_folder_comes_from_the_session(spark):
