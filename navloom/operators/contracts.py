@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from navloom.functions import text
 from navloom.operators.metrics import METRICS
+from navloom.sources import schemas
 
 VIOLATION = "artifact string, rule string, columns string, bad_rows long, detail string"
 
@@ -107,18 +109,24 @@ CONTRACTS: dict[str, TableContract | FundSetContract] = {
     "integrity_details": FundSetContract(),
 }
 
-# Stage -> ((contract, name of the table handed in), ...). Loads 2 to 7 read the purchase list.
+# The stages a run is checked at, by name, with (contract, name of the table handed in).
 STAGES: dict[str, tuple[tuple[str, str], ...]] = {
-    **{f"load{n}_input": (("purchase", "purchase"),) for n in range(2, 8)},
-    **{f"load{n}_input_effective": (("purchase_effective", "purchase"),) for n in range(2, 8)},
-    "effective_purchase_input": (("purchase", "purchase"),),
-    "effective_purchase_output": (("purchase_effective", "purchase"),),
+    "fund_etl_step2_input": (("purchase", "purchase"),),
+    "fund_etl_step3_input": (("purchase", "purchase"),),
+    "fund_etl_step4_input": (("purchase", "purchase"),),
+    "fund_etl_step5_input": (("purchase", "purchase"),),
+    "fund_etl_step6_input": (("purchase", "purchase"),),
+    "fund_etl_step7_input": (("purchase", "purchase"),),
+    "fund_etl_step2_input_effective": (("purchase_effective", "purchase"),),
+    "fund_etl_step3_input_effective": (("purchase_effective", "purchase"),),
+    "fund_etl_step4_input_effective": (("purchase_effective", "purchase"),),
+    "fund_etl_step5_input_effective": (("purchase_effective", "purchase"),),
+    "fund_etl_step6_input_effective": (("purchase_effective", "purchase"),),
+    "fund_etl_step7_input_effective": (("purchase_effective", "purchase"),),
+    "build_effective_purchase_input": (("purchase", "purchase"),),
+    "build_effective_purchase_output": (("purchase_effective", "purchase"),),
     "adjusted_nav_input": (("nav", "nav"), ("bonus", "bonus"), ("split", "split")),
-    "integrity_input": (
-        ("adjusted_nav", "adjusted_nav"),
-        ("overview", "overview"),
-        ("calendar", "calendar"),
-    ),
+    "integrity_input": (("adjusted_nav", "adjusted_nav"), ("overview", "overview"), ("calendar", "calendar")),
     "compare_input": (("adjusted_nav", "adjusted_nav"), ("cum_return", "cum_return")),
     "filter_input": (
         ("purchase", "purchase"),
@@ -135,12 +143,9 @@ STAGES: dict[str, tuple[tuple[str, str], ...]] = {
         ("adjusted_nav", "adjusted_nav"),
     ),
     "scoreboard_output": (("scoreboard", "scoreboard"),),
-    "candidates_output": (("candidates", "candidates"),),
-    "purchase_filtered_output": (("purchase_filtered", "purchase"),),
-    "recheck_input": (
-        ("scoreboard_to_recheck", "scoreboard"),
-        ("adjusted_nav", "adjusted_nav"),
-    ),
+    "filtered_candidates_output": (("candidates", "candidates"),),
+    "filtered_purchase_output": (("purchase_filtered", "purchase"),),
+    "verify_scoreboard_recalc_input": (("scoreboard_to_recheck", "scoreboard"), ("adjusted_nav", "adjusted_nav")),
 }
 
 
@@ -148,6 +153,108 @@ def _violations(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, VIOLATION)
 
 
+class RowRule(NamedTuple):
+    """A rule that one aggregate over all rows decides: broken and bad rows are of the aggregate's row."""
+
+    rule: str
+    columns: str
+    broken: Column
+    bad: Column
+    detail: str
+
+
+def _row_rules(table: DataFrame, contract: TableContract) -> tuple[DataFrame, list[Column], list[RowRule]]:
+    """The table with codes padded and text trimmed, the measures to aggregate, and the rules over them."""
+
+    def cleaned(name: str) -> Column:
+        # A code is padded before the check, so an empty one is "000000", never null.
+        if name == "fund_code":
+            return text.fund_code(F.coalesce(F.col(name).cast("string"), F.lit("")))
+        return F.trim(F.coalesce(F.col(name).cast("string"), F.lit("")))
+
+    touched = {c: cleaned(c) for c in (*contract.non_null, *contract.unique_key) if c in table.columns}
+    work = table.withColumns(touched) if touched else table
+    measures = [F.count("*").alias("n")]
+    checks = [RowRule("min_rows", "", F.col("n") < contract.min_rows, F.col("n"), f"min_rows={contract.min_rows}")]
+    for rule, names, bad_row in (
+        ("non_null", contract.non_null, lambda c: cleaned(c) == ""),
+        ("numeric", contract.numeric, lambda c: _filled(c) & text.to_number(F.col(c)).isNull()),
+        ("date", contract.dates, lambda c: _filled(c) & text.to_date(F.col(c)).isNull()),
+    ):
+        for name in names:
+            if name not in table.columns:
+                continue
+            measure = f"{rule}_{name}"
+            measures.append(F.count_if(bad_row(name)).alias(measure))
+            checks.append(RowRule(rule, name, F.col(measure) > 0, F.col(measure), ""))
+    return work, measures, checks
+
+
+def _filled(name: str) -> Column:
+    value = F.col(name).cast("string")
+    return value.isNotNull() & (value != "")
+
+
+class Observed(NamedTuple):
+    """A table whose rules are measured while it is written, and the violations afterwards."""
+
+    table: DataFrame
+    violations: Callable[[DataFrame], list[tuple]]
+
+
+def observed(artifact: str, table: DataFrame, contract: TableContract) -> Observed:
+    """The table with its row rules attached as metrics of whatever job writes it: no scan of its own.
+
+    Call `violations` with the stored table after the write. Values outside an enumeration are counted
+    in the same pass, as one number per column. Only a unique key costs an aggregate, over the key
+    columns of the stored table. Missing columns end the check, as in `check_table`.
+    """
+    missing = [c for c in contract.required if c not in table.columns]
+    _, measures, checks = _row_rules(table, contract)
+    for name, values in contract.allowed.items():
+        if name in table.columns:
+            value = F.trim(F.col(name).cast("string"))
+            filled = value != "" if name in (*contract.non_null, *contract.unique_key) else _filled(name)
+            measures.append(F.count_if(filled & ~value.isin(*values)).alias(f"allowed_{name}"))
+            checks.append(RowRule("allowed", name, F.col(f"allowed_{name}") > 0, F.col(f"allowed_{name}"), ""))
+    seen = Observation()
+
+    def violations(stored: DataFrame) -> list[tuple]:
+        got = seen.get
+        if "n" not in got:  # an empty plan measures nothing
+            return [tuple(row) for row in check_table(artifact, stored, contract).collect()]
+        count = got["n"]
+        found = [(artifact, "required", ",".join(missing), 0, "missing required columns")] if missing else []
+        if count < contract.min_rows:
+            found.append((artifact, "min_rows", "", count, f"min_rows={contract.min_rows}"))
+        if missing:
+            return found
+        for check in checks[1:]:
+            bad = got[f"{check.rule}_{check.columns}"]
+            if bad:
+                found.append((artifact, check.rule, check.columns, bad, check.detail))
+        repeated = _repeated_keys(_row_rules(stored, contract)[0], contract).first() if contract.unique_key else None
+        if repeated:
+            found.append((artifact, "unique_key", ",".join(contract.unique_key), repeated["bad_rows"], ""))
+        return found
+
+    return Observed(table.observe(seen, *measures), violations)
+
+
+def _repeated_keys(work: DataFrame, contract: TableContract) -> DataFrame:
+    """One row with the number of rows whose key is not their own, or none."""
+    members = work.groupBy(*contract.unique_key).agg(F.count("*").alias("members")).where("members > 1")
+    return members.agg(F.sum("members").alias("bad_rows")).where("bad_rows is not null")
+
+
+def required(violations: list[tuple]) -> None:
+    """Fail with the violations, a line for each."""
+    if violations:
+        raise ValueError(
+            "; ".join(f"{rule} violated: {artifact} [{columns}] rows={bad} {detail}" for artifact, rule, columns, bad, detail in violations)
+        )
+
+
 def check_table(artifact: str, table: DataFrame, contract: TableContract) -> DataFrame:
     """Violations of one table (artifact, rule, columns, bad_rows, detail); empty when it is sound.
 
@@ -168,32 +275,7 @@ def check_table(artifact: str, table: DataFrame, contract: TableContract) -> Dat
         absent = (artifact, "required", ",".join(missing), 0, "missing required columns")
         return _violations(spark, [absent]).unionByName(too_small)
 
-    def cleaned(name: str):
-        # A code is padded before the check, so an empty one is "000000", never null.
-        if name == "fund_code":
-            return text.fund_code(F.coalesce(F.col(name).cast("string"), F.lit("")))
-        return F.trim(F.coalesce(F.col(name).cast("string"), F.lit("")))
-
-    touched = {c: cleaned(c) for c in (*contract.non_null, *contract.unique_key) if c in table.columns}
-    work = table.withColumns(touched) if touched else table
-
-    def filled(name: str):
-        value = F.col(name).cast("string")
-        return value.isNotNull() & (value != "")
-
-    measures = [F.count("*").alias("n")]
-    checks = [("min_rows", "", F.col("n") < contract.min_rows, F.col("n"), f"min_rows={contract.min_rows}")]
-    for rule, names, bad_row in (
-        ("non_null", contract.non_null, lambda c: F.col(c).cast("string") == ""),
-        ("numeric", contract.numeric, lambda c: filled(c) & text.to_number(F.col(c)).isNull()),
-        ("date", contract.dates, lambda c: filled(c) & text.to_date(F.col(c)).isNull()),
-    ):
-        for name in names:
-            if name not in table.columns:
-                continue
-            measure = f"{rule}_{name}"
-            measures.append(F.count_if(bad_row(name)).alias(measure))
-            checks.append((rule, name, F.col(measure) > 0, F.col(measure), ""))
+    work, measures, checks = _row_rules(table, contract)
     found = [
         F.when(
             broken,
@@ -210,15 +292,8 @@ def check_table(artifact: str, table: DataFrame, contract: TableContract) -> Dat
     result = work.agg(*measures).select(F.inline(F.array_compact(F.array(*found))))
 
     if contract.unique_key:
-        repeated = (
-            work.groupBy(*contract.unique_key)
-            .agg(F.count("*").alias("members"))
-            .where("members > 1")
-            .agg(F.sum("members").alias("bad_rows"))
-            .where("bad_rows is not null")
-        )
         result = result.unionByName(
-            repeated.select(
+            _repeated_keys(work, contract).select(
                 F.lit(artifact).alias("artifact"),
                 F.lit("unique_key").alias("rule"),
                 F.lit(",".join(contract.unique_key)).alias("columns"),
@@ -229,7 +304,7 @@ def check_table(artifact: str, table: DataFrame, contract: TableContract) -> Dat
     for name, values in contract.allowed.items():
         value = F.trim(F.col(name).cast("string"))
         others = (
-            work.where(filled(name))
+            work.where(_filled(name))
             .select(value.alias("detail"))
             .where(~F.col("detail").isin(*values))
             .groupBy("detail")
@@ -259,6 +334,12 @@ def check_fund_set(artifact: str, table: DataFrame, contract: FundSetContract) -
     )
 
 
+def require_funds(tables: Mapping[str, DataFrame]) -> None:
+    """Fail unless every long table of per-fund inputs has the funds its contract asks for."""
+    found = [check_fund_set(name, table, CONTRACTS[name]) for name, table in tables.items()]
+    required([tuple(row) for part in found for row in part.collect()])
+
+
 def check_stage(spark: SparkSession, stage: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     """All violations of a stage's inputs or outputs."""
     if stage not in STAGES:
@@ -285,28 +366,19 @@ def require_stage(spark: SparkSession, stage: str, tables: Mapping[str, DataFram
         F.sum("bad_rows").alias("bad_rows"), F.min("detail").alias("detail")
     )
     found = per_rule.orderBy("artifact", "rule", "columns").collect()
-    if found:
-        raise ValueError(
-            "; ".join(f"{v.rule} violated: {v.artifact} [{v.columns}] rows={v.bad_rows} {v.detail}" for v in found)
-        )
+    required([(v.artifact, v.rule, v.columns, v.bad_rows, v.detail) for v in found])
 
 
-# Columns each landed source must bring, by table.
+# Columns each landed source must bring, by table: those of its schema, but the code where the file names it
+# and the asset scale, which some overviews bring under another name.
 SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
-    "purchase": (
-        "fund_code", "short_name", "subscribe_status", "redeem_status", "next_open_day",
-        "purchase_min_amount", "daily_limit_amount", "purchase_fee",
-    ),
-    "overview": (
-        "fund_code", "short_name", "full_name", "fund_type", "issue_date", "inception_text",
-        "share_scale", "manager_co", "custodian", "manager", "dividends_text", "mgmt_fee",
-        "custody_fee", "sales_fee", "max_subscribe_fee", "benchmark", "tracking",
-    ),
-    "nav": ("nav_date", "unit_nav", "daily_growth"),
-    "bonus": ("year", "record_date", "ex_date", "per_share_text", "pay_date"),
-    "split": ("year", "split_date", "split_type", "ratio_text"),
-    "cum_return": ("date", "cum_return_pct"),
-    "personnel": ("fund_code", "title", "fund_name", "notice_date", "report_id"),
+    "purchase": tuple(schemas.PURCHASE.values()),
+    "overview": tuple(n for n in schemas.OVERVIEW.values() if n != "asset_scale"),
+    **{
+        name: tuple(n for n in columns.values() if n != "fund_code")
+        for name, columns in (("nav", schemas.NAV), ("bonus", schemas.BONUS), ("split", schemas.SPLIT), ("cum_return", schemas.CUM_RETURN))
+    },
+    "personnel": tuple(schemas.PERSONNEL.values()),
 }
 # The overview's asset scale lands from this source column.
 ASSET_SCALE_SOURCE = "net_asset_scale"

@@ -142,30 +142,40 @@ def store_version(result: dict[str, DataFrame], root: str, settings: Settings) -
 
 
 def full_run(spark: SparkSession, landing: Landing, root: str, settings: Settings) -> dict[str, DataFrame]:
-    """All steps from landed files to the scoreboard; every intermediate is stored under `root`."""
-    def stored(table: DataFrame, name: str) -> DataFrame:
-        path = f"{root}/run/data_version={settings.data_version}/{name}"
-        table.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    """All steps from landed files to the scoreboard; every intermediate is stored under `root`.
+
+    Tables become current by a commit, after their contract's rules, measured while they were written,
+    hold; a run that fails leaves those before it. Rejected funds go to the run's own failure log, counts
+    to its report, the scoreboard and its exclusions to CSV exports.
+    """
+    version = settings.data_version
+
+    def stored(table: DataFrame, name: str, contract: str | None = None) -> DataFrame:
+        key = f"{name}@{version}"
+        if contract is None:
+            return sinks.store(spark, f"{root}/run", key, table)
+        watched = contracts.observed(contract, table, contracts.CONTRACTS[contract])
+        return sinks.store(
+            spark, f"{root}/run", key, watched.table, check=lambda t: contracts.required(watched.violations(t))
+        )
 
     raw_purchase = files.read_table(spark, landing.purchase, schemas.PURCHASE, line_order=True)
     order = [F.col(files.LINE_ORDER)]
-    contracts.require_stage(spark, "effective_purchase_input", {"purchase": raw_purchase})
-    blacklist = files.read_blacklist(spark, landing.blacklist)
-    purchase = stored(candidates.effective_purchase(raw_purchase, blacklist).purchase, "purchase")
-    contracts.require_stage(spark, "effective_purchase_output", {"purchase": purchase})
+    raw_purchase = stored(raw_purchase, "purchase_landed", "purchase")
+    blacklist = stored(files.read_blacklist(spark, landing.blacklist), "blacklist", "blacklist")
+    purchase = stored(candidates.effective_purchase(raw_purchase, blacklist).purchase, "purchase", "purchase_effective")
 
     overview = files.read_table(spark, landing.overview, schemas.OVERVIEW_LANDED, line_order=True)
+    overview = stored(overview, "overview_landed", "overview")
     per_fund = files.read_per_fund_files
     nav = normalise.nav(per_fund(spark, landing.nav, schemas.NAV, required=("nav_date", "unit_nav"), line_order=True))
-    bonus = normalise.bonus(per_fund(spark, landing.bonus, schemas.BONUS))
-    split = normalise.split(per_fund(spark, landing.split, schemas.SPLIT))
-    personnel = normalise.personnel(per_fund(spark, landing.personnel, schemas.PERSONNEL))
+    bonus = stored(normalise.bonus(per_fund(spark, landing.bonus, schemas.BONUS)), "bonus")
+    split = stored(normalise.split(per_fund(spark, landing.split, schemas.SPLIT)), "split")
     cum_return = normalise.cum_return(per_fund(spark, landing.cum_return, schemas.CUM_RETURN, line_order=True))
-    # Both are read several times below: parsed once.
+    # All are read several times below: parsed once.
     nav, cum_return = stored(nav, "nav"), stored(cum_return, "cum_return")
     repeated = stored(adjusted_nav.repeated_days(nav), "nav_repeated_days")
-    calendar = files.read_calendar(spark, landing.calendar)
+    calendar = stored(files.read_calendar(spark, landing.calendar), "calendar", "calendar")
 
     # A fund counts as landed when its file exists, also one without rows.
     landed = {
@@ -185,31 +195,19 @@ def full_run(spark: SparkSession, landing: Landing, root: str, settings: Setting
     adjusted = stored(result.adjusted, "adjusted_nav")
     rejects = stored(result.rejects, "adjusted_nav_rejects")
 
-    contracts.require_stage(
-        spark,
-        "integrity_input",
-        {"adjusted_nav": adjusted, "overview": overview, "calendar": calendar},
-    )
+    # Overview and calendar were checked when they were stored; so are other tables from here on.
+    contracts.require_funds({"adjusted_nav": adjusted, "cum_return": cum_return})
     end = settings.end or str(metrics.latest_day(adjusted).first().as_of_date)
     window = (adjusted, overview, calendar, settings.start, end)
     whole = stored(integrity.detail(*window), "integrity_details")
     shares = stored(integrity.summary(*window), "integrity_summary")
 
-    contracts.require_stage(spark, "compare_input", {"adjusted_nav": adjusted, "cum_return": cum_return})
     compared = consistency.compare(adjusted, cum_return)
     details = stored(compared.detail, "compare_details")
     summary = stored(compared.summary, "compare_summary")
     errors = stored(compared.errors, "compare_errors")
 
-    filter_tables = {
-        "purchase": purchase,
-        "overview": overview,
-        "nav": landed["nav"],
-        "adjusted_nav": adjusted,
-        "compare_details": details,
-        "integrity_details": whole,
-    }
-    contracts.require_stage(spark, "filter_input", filter_tables)
+    contracts.require_funds({"compare_details": details, "integrity_details": whole})
     filtered = stored(
         candidates.filter_candidates(
             purchase,
@@ -224,24 +222,36 @@ def full_run(spark: SparkSession, landing: Landing, root: str, settings: Setting
             integrity_summary=shares,
         ),
         "candidates",
+        "candidates",
     )
-    contracts.require_stage(spark, "candidates_output", {"candidates": filtered})
-    remaining = stored(candidates.filtered_purchase(purchase, filtered), "purchase_filtered")
-    contracts.require_stage(spark, "purchase_filtered_output", {"purchase": remaining})
+    remaining = stored(candidates.filtered_purchase(purchase, filtered), "purchase_filtered", "purchase_filtered")
+    # Only the remaining funds' notices are opened.
+    personnel = per_fund(spark, landing.personnel, schemas.PERSONNEL, codes=remaining)
+    personnel = stored(normalise.personnel(personnel), "personnel")
+    contracts.require_funds({"personnel": personnel})
 
-    contracts.require_stage(
-        spark,
-        "scoreboard_input",
-        {"purchase": remaining, "overview": overview, "personnel": personnel, "adjusted_nav": adjusted},
-    )
     board = scoreboard_run(remaining, overview, personnel, adjusted, root, settings, order)
+    contracts.require_stage(spark, "scoreboard_output", {"scoreboard": board["scoreboard"]})
     store_version(board, root, settings)
-    sinks.write_csv(
-        scoreboard.export(board["scoreboard"]),
-        f"{root}/export/data_version={settings.data_version}/scoreboard",
+    exports = {
+        "scoreboard": scoreboard.export(board["scoreboard"]),
+        "exclusion_detail": board["exclusion_detail"],
+        "exclusion_summary": board["exclusion_summary"],
+    }
+    for name, table in exports.items():
+        sinks.write_csv(table, f"{root}/export/data_version={version}/{name}")
+
+    sinks.write_failures(rejects.unionByName(errors), f"{root}/failures", version)
+    failures = sinks.read_failures(spark, f"{root}/failures", [version])
+    counts = candidates.run_report(raw_purchase, blacklist, filtered, remaining).select("measure", F.col("funds").alias("n"))
+    by_stage = candidates.failures_by_stage(failures).select(
+        F.concat(F.lit("failures in "), "stage").alias("measure"), F.col("failures").alias("n")
     )
-    contracts.require_stage(spark, "scoreboard_output", {"scoreboard": board["scoreboard"]})
+    loads = candidates.load_report(purchase, purchase.where("false"), nav, failures.withColumnRenamed("code", "fund_code"))
     return {
+        "failures": failures,
+        "run_report": stored(counts.unionByName(by_stage), "run_report"),
+        "load_report": stored(loads, "load_report"),
         "purchase": purchase,
         "adjusted_nav": adjusted,
         "adjusted_nav_rejects": rejects,

@@ -195,6 +195,57 @@ def write_facts(
     return list(SCOPES[scope])
 
 
+def store(
+    spark: SparkSession,
+    root: str,
+    key: str,
+    table: DataFrame,
+    tag: str = "",
+    check: Callable[[DataFrame], None] | None = None,
+    kind: str = "parquet",
+) -> DataFrame:
+    """Write a table under its key and make it current by a commit; returns what was stored.
+
+    `check` sees the stored table first: if it raises, what was current stays.
+    """
+    folder, batch = f"{root}/tables/{commits.escaped(spark, key)}", commits.new_batch()
+    table.write.format(kind).save(f"{folder}/{batch}")
+    stored = spark.read.schema(table.schema).format(kind).load(f"{folder}/{batch}")
+    if check is not None:
+        check(stored)
+    for old in commits.commit(spark, root, key, batch, tag):
+        commits.remove(spark, f"{folder}/{old}")
+    return stored
+
+
+def current_table(spark: SparkSession, root: str, key: str, batch: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/tables/{commits.escaped(spark, key)}/{batch}")
+
+
+def write_failures(rejects: DataFrame, path: str, run: str) -> None:
+    """Rejected funds (fund_code, stage, error) of a run as its JSON-lines log; a repeated run replaces its own."""
+    log = rejects.select(
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("ts"), "stage", F.col("fund_code").alias("code"), "error"
+    )
+    store(rejects.sparkSession, path, run, log, kind="json")
+
+
+def read_failures(spark: SparkSession, path: str, runs: Sequence[str] | None = None) -> DataFrame:
+    """The logs of the runs named, else of all (run, ts, stage, code, error)."""
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    known = {unescape(key): key for key in commits.keys(spark, path)}
+    wanted = [run for run in known if runs is None or run in runs]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in LOG_COLUMNS])
+    log = spark.createDataFrame([], T.StructType([T.StructField("run", T.StringType()), *schema]))
+    folders = {run: f"{path}/tables/{known[run]}/{commits.current(spark, path, run).batch}" for run in wanted}
+    if not folders:
+        return log
+    rows = spark.read.schema(schema).json(list(folders.values()))
+    key = F.regexp_extract("_metadata.file_path", r"/tables/([^/]+)/[^/]+/[^/]+$", 1)
+    names = F.create_map(*[F.lit(x) for run in wanted for x in (known[run], run)])
+    return rows.select(names[F.url_decode(key)].alias("run"), *LOG_COLUMNS)
+
+
 @dataclass(frozen=True)
 class Stage:
     """A stored result: how to compute it from the stage tables before it, and what it depends on.
@@ -240,14 +291,11 @@ def resume_or_compute(
     computed = []
     for name, stage in stages.items():
         marks[name] = hashlib.sha256(repr((name, tuple(stage.inputs), [marks[n] for n in stage.after])).encode()).hexdigest()
-        key, folder = f"{name}@{version}", f"{root}/stages/{commits.escaped(spark, f'{name}@{version}')}"
+        key = f"{name}@{version}"
         stored = commits.current(spark, root, key)
-        if not (resume and stored and stored.tag == marks[name]):
-            batch = commits.new_batch()
-            stage.compute(tables).write.parquet(f"{folder}/{batch}")
-            for old in commits.commit(spark, root, key, batch, marks[name]):
-                commits.remove(spark, f"{folder}/{old}")
-            stored = commits.current(spark, root, key)
+        if resume and stored and stored.tag == marks[name]:
+            tables[name] = current_table(spark, root, key, stored.batch)
+        else:
+            tables[name] = store(spark, root, key, stage.compute(tables), marks[name])
             computed.append(name)
-        tables[name] = spark.read.parquet(f"{folder}/{stored.batch}")
     return Stages(tables, computed)

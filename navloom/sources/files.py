@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from navloom.functions import text
+from navloom.session import written
 from navloom.sources.schemas import CALENDAR, FAILURE_LOG
 
 LINE_ORDER = "line_order"
@@ -49,21 +50,111 @@ def read_table(
     Order and further columns of the file do not matter, absent ones are left to the normalisers.
     Quotes inside quoted text are doubled. A row with another number of fields than the header is an
     error, never shifted or filled; so is a part whose header differs from the others'. Text with
-    line breaks needs `multi_line`, which reads a file in one task. With `line_order`, a sortable
-    position (file, block, row in block) is added, so that keep-first means first in the file.
+    line breaks needs `multi_line`; a file is read in blocks all the same, see `csv_records`. With
+    `line_order`, a sortable position in the file is added, so that keep-first means first in the file.
     """
-    raw = strict_csv(spark).option("multiLine", multi_line).csv(path)
+    position = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    raw, place = (_multi_line(spark, path), F.col(_PLACE)) if multi_line else (strict_csv(spark).csv(path), position)
     renamed = [F.col(f"`{header}`").alias(name) for header, name in columns.items() if header in raw.columns]
     if not renamed:
         raise ValueError(f"none of the headers {list(columns)} in {path}")
-    if not line_order:
-        return raw.select(*renamed)
-    position = F.struct(
+    return raw.select(*renamed, place.alias(LINE_ORDER)) if line_order else raw.select(*renamed)
+
+
+_PLACE = "\ufffdplace"
+
+
+def _multi_line(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Columns by header of a CSV table whose quoted text may hold line breaks, and each row's position."""
+    records = csv_records(spark, path)
+    heads = records.where("line = 1").select(F.regexp_replace("record", "^\ufeff", "").alias("head"), "file")
+    head = heads.groupBy("head").agg(F.min("file").alias("file")).limit(2).collect()
+    if not head:
+        return spark.createDataFrame([], f"`{_PLACE}` struct<file: string, block: long, row: long>")
+    if len(head) > 1:
+        raise ValueError(f"headers differ: {head[0]['file']} and {head[1]['file']}")
+    names = spark.range(1).select(F.transform(_fields(F.lit(head[0]["head"])), F.trim).alias("names")).first()["names"]
+    schema = T.StructType([T.StructField(name or f"_c{i}", T.StringType()) for i, name in enumerate(names)])
+    options = {"escape": '"', "mode": "FAILFAST", "unescapedQuoteHandling": "RAISE_ERROR"}
+    body = records.where("line > 1 and record <> ''")
+    # from_csv fills a short row with nulls: the number of fields is checked on its own.
+    wrong = F.concat(F.lit("line "), F.col("line"), F.lit(" has not the header's fields: "), F.col("file"))
+    fields = F.size(F.regexp_extract_all(F.concat(F.lit(","), F.col("record")), F.lit(FIELD), F.lit(0)))
+    sound = (fields == len(names)) & _all_fields(F.col("record"))
+    checked = F.when(sound, F.col("record")).otherwise(F.raise_error(wrong))
+    row = F.from_csv(checked, _ddl(schema), options)
+    place = F.struct("file", F.lit(0).cast("long").alias("block"), F.col("line").alias("row"))
+    return body.select(row.alias("row"), place.alias(_PLACE)).select("row.*", _PLACE)
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join("`" + field.name.replace("`", "``") + "` string" for field in schema)
+
+
+def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Lines of text files (value without line feed) with file, block and a number that grows in a block."""
+    text_lines = spark.read.option("lineSep", "\n").text(paths)
+    return text_lines.select(
+        "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+
+
+def _blocks(lines: DataFrame, *more: Column) -> DataFrame:
+    """Per block of a file its first id and the lines before it, with further aggregates of its lines.
+
+    A stored table of one row per block: the files are read once for it, its size is known, and Spark
+    broadcasts it only if that is small.
+    """
+    counted = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("lines"), F.min("id").alias("first"), *more)
+    above = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return written(counted.withColumn("before", F.coalesce(F.sum("lines").over(above), F.lit(0))), "blocks")
+
+
+def _numbered(lines: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The lines with their numbers in the file, from 1; a block that was cut otherwise is an error."""
+    at = lines.join(blocks.select("file", "block", "first", "before"), ["file", "block"], "left")
+    number = F.col("before") + F.col("id") - F.col("first") + 1
+    other = F.raise_error(F.lit("files changed while they were read")).cast("long")
+    return at.withColumn("line", F.when(number.isNotNull(), number).otherwise(other))
+
+
+def csv_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Records of CSV files (file, line, record): lines, those joined that a quoted line break divides.
+
+    Files are read in blocks. Only lines with an odd number of quotes open or close a text that goes on
+    in another line; the parity of a block's odd lines, summed over the blocks before, tells which are
+    which. From the pairs follow the line numbers of the divided records, and only these lines meet.
+    """
+    lines = _lines(spark, paths)
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1
+    blocks = _blocks(lines, F.count_if(odd).alias("odd"))
+    above = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    parity = blocks.select("file", "block", F.coalesce(F.sum("odd").over(above), F.lit(0)).alias("odd_before"))
+    numbered = _numbered(lines, blocks).withColumn("value", F.regexp_replace("value", "\r$", ""))
+    ends = numbered.where(odd).select("file", "block", "line").join(parity, ["file", "block"])
+    place = F.row_number().over(Window.partitionBy("file", "block").orderBy("line")) + F.col("odd_before") - 1
+    pairs = ends.select("file", "line", F.floor(place / 2).alias("pair")).groupBy("file", "pair").agg(
+        F.min("line").alias("start"), F.max("line").alias("end"), F.count(F.lit(1)).alias("ends")
     )
-    return raw.select(*renamed, position.alias(LINE_ORDER))
+    unclosed = F.raise_error(F.concat(F.lit("a quote is not closed, line "), F.col("start"), F.lit(": "), F.col("file")))
+    last = F.when(F.col("ends") == 2, F.col("end")).otherwise(unclosed.cast("long"))
+    inside = written(pairs.select("file", "start", F.explode(F.sequence("start", last)).alias("line")), "divided")
+    # An outer join whose result names both sides: checks of a record must not be moved below it, onto parts.
+    alone = F.col("start").isNull()
+    whole = numbered.join(inside, ["file", "line"], "left").where(alone).select(
+        "file", "line", F.when(alone, F.col("value")).alias("record")
+    )
+    raw = _numbered(lines, blocks).select("file", "line", "value").join(inside, ["file", "line"])
+    joined = raw.groupBy("file", "start").agg(F.array_sort(F.collect_list(F.struct("line", "value"))).alias("parts"))
+    record = F.regexp_replace(F.array_join(F.transform("parts", lambda p: p["value"]), "\n"), "\r$", "")
+    return whole.unionByName(joined.select("file", F.col("start").alias("line"), record.alias("record")))
 
 
 def code_in(file: Column) -> Column:
@@ -264,17 +355,20 @@ def read_log_tolerant(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def read_log_strict(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Failure log rows as a map of text values; a malformed or non-object line is an error.
+    """Failure log rows as a map of text values; a malformed or non-object line is an error with file and line.
 
-    A map keeps keys that no schema foresees and tells an absent key from a null one.
+    A map keeps keys that no schema foresees and tells an absent key from a null one. Lines are checked
+    here, in blocks: each tells its first bad line, and only then are the lines before it counted.
     """
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file")).where(F.trim("value") != "")
+    lines = _lines(spark, paths)
     record = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
-    line = lines.select("value", "file", record.alias("record"))
-    bad = F.concat(F.lit("invalid JSON object in "), F.col("file"), F.lit(": "), F.col("value"))
-    return line.select(
-        F.when(F.col("record").isNotNull(), F.col("record")).otherwise(F.raise_error(bad)).alias("record")
-    )
+    bad = F.when((F.trim(F.regexp_replace("value", "\r$", "")) != "") & record.isNull(), F.struct("id", "value"))
+    blocks = _blocks(lines, F.min(bad).alias("bad"))
+    number = F.col("before") + F.col("bad.id") - F.col("first") + 1
+    found = blocks.where("bad is not null").select("file", number.alias("line"), "bad.value").orderBy("file", "line").first()
+    if found:
+        raise ValueError(f"invalid JSON object in {found['file']}, line {found['line']}: {found['value']}")
+    return lines.where(F.trim(F.regexp_replace("value", "\r$", "")) != "").select(record.alias("record"))
 
 
 def read_blacklist(spark: SparkSession, path: str | None) -> DataFrame:

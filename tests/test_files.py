@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -248,7 +249,16 @@ def test_full_run_from_landed_files(spark, landing, tmp_path):
     root = str(tmp_path / "root")
     counts = {n: sinks.read_versions(spark, f"{root}/{n}").count() for n in sinks.FACTS}
     assert counts["scoreboard_snapshot"] == 1 and counts["nav_daily"] == 330 and counts["return_period"] > 300
+    report = {r.measure: r.n for r in result["run_report"].collect()}
+    assert (report["original"], report["blacklist_removed"], report["after_filter"]) == (4, 1, 1)
+    assert report["failures in adjusted_nav"] == 1 and result["load_report"].collect()[0].total_codes == 3
+    shown = spark.read.option("header", True).csv(f"{root}/export/data_version=v1/exclusion_detail")
+    assert shown.count() == result["exclusion_detail"].count()
+    logged = sorted((r.stage, r.code, r.error) for r in result["failures"].collect())
     again = runs.full_run(spark, paths, root, settings)
+    # A repeated run leaves one set of failures, not two.
+    assert sorted((r.stage, r.code, r.error) for r in sinks.read_failures(spark, f"{root}/failures").collect()) == logged
+    assert {r["run"] for r in again["failures"].collect()} == {"v1"}
     assert {n: sinks.read_versions(spark, f"{root}/{n}").count() for n in sinks.FACTS} == counts
     quick = runs.scoreboard_run(
         again["purchase_filtered"],
@@ -296,7 +306,7 @@ def test_bucketed_layout_has_few_folders_and_an_index(spark, tmp_path):
     assert sorted(tuple(r)[:3] for r in back.collect()) == sorted(rows) and back.columns[3:] == ["absent", files.LINE_ORDER]
     codes = spark.createDataFrame([("000005",), ("555555",)], "fund_code string")
     some = files.read_per_fund_files(spark, folder, columns, codes=codes)
-    assert len(some.inputFiles()) == 1 and {r.fund_code for r in some.collect()} == {"000005"}
+    assert sum(f.endswith(".csv") for f in some.inputFiles()) == 1 and {r.fund_code for r in some.collect()} == {"000005"}
     assert files.codes_with_file(spark, folder).count() == 300
     with pytest.raises(ValueError, match="no column"):
         files.read_per_fund_files(spark, folder, columns, required=["absent"])
@@ -317,3 +327,81 @@ def test_broken_blacklists_are_errors(spark, tmp_path):
         path = write(tmp_path / f"{i}.csv", text)
         with pytest.raises(Exception):
             files.read_blacklist(spark, path).collect()
+
+
+@pytest.fixture
+def small_blocks(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, "1000")
+    yield
+    for n, value in before.items():
+        spark.conf.set(n, value)
+
+
+def test_tables_with_line_breaks_are_read_in_blocks(spark, tmp_path, small_blocks):
+    rng = random.Random(4)
+    pieces = ["plain", "", "two\nlines", 'say ""x""', "a,b", "\n\n", '""', "tail\n"]
+    def cell():
+        text = rng.choice(pieces)
+        return f'"{text}"' if any(c in text for c in '",\n') or rng.random() < 0.2 else text
+    for name, count, end in (("a.csv", 800, "\n"), ("b.csv", 300, "\r\n")):
+        rows = [f"{i},{cell()},{cell()}{end}" for i in range(count)]
+        write(tmp_path / "t" / name, f"n,x,y{end}" + "".join(rows), bom=name == "a.csv")
+    columns = {"y": "y", "x": "x", "n": "n"}
+    path = str(tmp_path / "t")
+    got = files.read_table(spark, path, columns, line_order=True, multi_line=True)
+    one_task = files.strict_csv(spark).option("multiLine", True).csv(path).select("y", "x", "n")
+    assert files._lines(spark, path).rdd.getNumPartitions() > 10
+    key = lambda r: tuple(str(v) for v in r[:3])
+    assert sorted((tuple(r)[:3] for r in got.collect()), key=key) == sorted(map(tuple, one_task.collect()), key=key)
+    first = [int(r.n) for r in got.where("line_order.file like '%a.csv'").orderBy(files.LINE_ORDER).collect()]
+    assert first == list(range(800))
+
+
+def test_broken_tables_with_line_breaks_are_errors(spark, tmp_path):
+    for i, text in enumerate(['n,x\n1,"a\n', 'n,x\n1\n', 'n,x\n1,"a"b\n', 'n,x\n1,"a\nb",c\n']):
+        path = write(tmp_path / f"{i}.csv", text)
+        with pytest.raises(Exception):
+            files.read_table(spark, path, {"n": "n", "x": "x"}, multi_line=True).collect()
+    write(tmp_path / "two" / "1.csv", "n,x\n1,2\n")
+    write(tmp_path / "two" / "2.csv", "x,n\n1,2\n")
+    with pytest.raises(ValueError, match="headers differ"):
+        files.read_table(spark, str(tmp_path / "two"), {"n": "n"}, multi_line=True)
+    empty = write(tmp_path / "empty.csv", "n,x\n")
+    assert files.read_table(spark, empty, {"n": "n", "x": "x"}, multi_line=True).collect() == []
+
+
+def test_bad_log_line_is_named_by_file_and_line(spark, tmp_path, small_blocks):
+    good = [json.dumps({"code": str(i), "error": "e" * 60}) if i % 7 else "" for i in range(500)]
+    write(tmp_path / "logs" / "a.jsonl", "\n".join(good) + "\n")
+    write(tmp_path / "logs" / "b.jsonl", "\r\n".join([*good[:333], "[1]", *good[:50], "nope"]) + "\r\n")
+    assert files._lines(spark, str(tmp_path / "logs")).rdd.getNumPartitions() > 10
+    with pytest.raises(ValueError, match=r"b\.jsonl, line 334: \[1\]"):
+        files.read_log_strict(spark, str(tmp_path / "logs"))
+    assert files.read_log_strict(spark, str(tmp_path / "logs" / "a.jsonl")).count() == sum(map(bool, good))
+
+
+def test_failed_contract_leaves_the_table_before(spark, landing, tmp_path):
+    paths, last = landing
+    root, settings = str(tmp_path / "root"), runs.Settings("v1", start="2018-01-01", end=last)
+    runs.full_run(spark, paths, root, settings)
+    with open(paths.purchase, "a", encoding="utf-8") as f:
+        f.write("000001,again,开放申购,开放赎回,,10,1000,0.15\n,x,开放申购,开放赎回,,ten,1000,0.15\n")
+    with pytest.raises(ValueError) as error:
+        runs.full_run(spark, paths, root, settings)
+    assert "numeric violated: purchase [purchase_min_amount] rows=1" in str(error.value)
+    assert "unique_key violated: purchase [fund_code] rows=2" in str(error.value)
+    assert len(commits.history(spark, f"{root}/run", "purchase_landed@v1")) == 1
+
+
+def test_failure_logs_are_kept_by_run(spark):
+    path = new_folder(spark, "failures")
+    assert sinks.read_failures(spark, path).collect() == []
+    table = spark.createDataFrame([("000001", "nav", "x"), ("000002", "nav", "y")], "fund_code string, stage string, error string")
+    for run, rows in (("a b/1", table), ("r2", table), ("r2", table.limit(1)), ("r3", table.where("false"))):
+        sinks.write_failures(rows, path, run)
+    got = sorted((r.run, r.code) for r in sinks.read_failures(spark, path).collect())
+    assert got == [("a b/1", "000001"), ("a b/1", "000002"), ("r2", "000001")]
+    assert {r.run for r in sinks.read_failures(spark, path, ["r2", "none"]).collect()} == {"r2"}

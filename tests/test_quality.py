@@ -168,3 +168,18 @@ def test_stages(spark):
     contracts.require_stage(spark, "compare_input", {"adjusted_nav": codes, "cum_return": codes})
     with pytest.raises(ValueError, match="min_funds"):
         contracts.require_stage(spark, "compare_input", {"adjusted_nav": codes, "cum_return": codes.where("false")})
+
+
+def test_observed_rules_are_those_of_a_check(spark, tmp_path):
+    contract = contracts.TableContract(
+        required=("fund_code", "flag", "n", "d"), non_null=("flag",), unique_key=("fund_code",), numeric=("n",), dates=("d",),
+        allowed={"flag": ("yes", "no")}, min_rows=2,
+    )
+    rows = [("1", "yes", "1", "2024-01-01"), ("000001", "maybe", "x", "bad"), ("2", " ", "2", ""), ("", "no", None, None), (None, "no", "", "")]
+    table = spark.createDataFrame(rows, "fund_code string, flag string, n string, d string")
+    for number, given in enumerate((table, table.limit(1), table.where("false"), table.drop("flag"), spark.createDataFrame([], table.schema))):
+        seen = contracts.observed("t", given, contract)
+        seen.table.write.parquet(str(tmp_path / str(number)))
+        got = seen.violations(spark.read.schema(given.schema).parquet(str(tmp_path / str(number))))
+        want = contracts.check_table("t", given, contract).collect()
+        assert {v[:4] for v in got} == {tuple(v)[:4] for v in want}

@@ -45,8 +45,8 @@ def test_order_terms(given, expected):
 
 def test_candidates_contract_takes_our_own_table(spark):
     own = spark.createDataFrame([("000001", True, "x"), ("000002", False, "")], "fund_code string, is_filtered boolean, reasons string")
-    contracts.require_stage(spark, "candidates_output", {"candidates": own})
+    contracts.require_stage(spark, "filtered_candidates_output", {"candidates": own})
     other = own.selectExpr("fund_code", "cast(fund_code as string) is_filtered", "reasons")
     many = other.selectExpr("fund_code", "explode(transform(sequence(1, 150), i -> concat('v', i))) is_filtered", "reasons")
     with pytest.raises(ValueError, match=r"allowed violated: candidates \[is_filtered\] rows=300 .*unique_key violated"):
-        contracts.require_stage(spark, "candidates_output", {"candidates": many})
+        contracts.require_stage(spark, "filtered_candidates_output", {"candidates": many})
