@@ -13,8 +13,10 @@ the frequent ones are found on a fixed share of the texts and only steer the ord
 
 Copies and most near copies never reach the trees: equal sets are one node, and every node is first
 verified against one pivot, a central node it shares most of its keys (pairs of minima) with. Only pairs across
-the components known so far are searched, so a group of copies costs its size, not its square, and
-the components in the end are exact.
+the components known so far are searched. The trees tell which nodes have a candidate partner at all; the sets of
+these are brought together once for each group of trees, verified there, and of the links found only those
+are reported that unite something. So rows grow with the nodes, never with their pairs, and the components
+in the end are exact.
 
 Defined results: a null text, or one without words, has the empty set and links with nothing; a text
 with fewer words than a shingle has its whole sequence as one shingle; equal rows are in one
@@ -49,8 +51,9 @@ FREQUENT_LEAST = 4
 SAMPLE_OF = 16
 #: At most so many frequent shingles are told to all tasks (8 bytes each); more only cost speed.
 FREQUENT_MOST = 1 << 20
-#: Members of a tree; larger groups are joined part by part.
+#: Members of a tree, and shingles of them all; larger groups are joined part by part.
 TREE_MOST = 4096
+SHINGLES_MOST = 1 << 22
 LEAF = 16
 #: Coordinates of pairs compared at a time; bounds the work arrays.
 PAIR_CELLS = 1 << 20
@@ -322,39 +325,103 @@ class Points:
         return good
 
 
-def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For rows grouped by (h, i, j): candidate pairs across components, and across the parts if i <> j."""
-    for batch in whole_groups(batches, ["h", "i", "j"]):
-        h, i, j, part, node, n, known = (
-            batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "i", "j", "part", "node", "n", "component")
+def _tree_survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For rows grouped by (leader, i, j) and, within, by h: the nodes with a candidate partner in another component.
+
+    A pair is a candidate in a group of one h, across its parts if i <> j. However many partners a node
+    has, and in however many groups of its leader, it is one row.
+    """
+    for batch in whole_groups(batches, ["leader", "i", "j"]):
+        leader, i, j, h, part, node, n, known = (
+            batch.column(c).to_numpy(zero_copy_only=False) for c in ("leader", "i", "j", "h", "part", "node", "n", "component")
         )
         points, n = Points(batch.column("point").to_pylist()), n.astype(np.int64)
-        border = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+        new = (leader[1:] != leader[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        border = np.flatnonzero(np.concatenate([[True], new | (h[1:] != h[:-1])]))
         ends = np.append(border[1:], len(h))
         small = ends - border <= LEAF  # a tree of one leaf
-        pairs = [_pairs_in(border[small], ends[small])]
-        if not small.all():
-            for a, b in zip(border[~small].tolist(), ends[~small].tolist(), strict=True):
-                x, y = RTree(points.some_in(np.arange(a, b), GROUPS), n[a:b]).partners()
-                pairs.append((x + a, y + a))
-        x, y = (np.concatenate(side) for side in zip(*pairs, strict=True))
-        good = (known[x] != known[y]) & ((part[x] != part[y]) | (i[x] == j[x]))
-        good &= 4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y])
-        x, y = x[good], y[good]
-        good = points.may(x, y, n)
-        x, y = x[good], y[good]
-        smaller, larger = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
-        # Beyond the prefix that ends first, its set has at most 3/4 of the larger size to share.
-        least = np.maximum(-(-3 * (smaller + larger) // 7) - (3 * larger + 3) // 4 + 1, 1)
-        named = np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], axis=1)
-        found, first, times = np.unique(named, axis=0, return_index=True, return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(least[first]), pa.array(times)], names=["a", "b", "least", "met"]
-        )
+        survives = np.zeros(len(h), bool)
+
+        def judge(x: np.ndarray, y: np.ndarray) -> None:
+            good = (known[x] != known[y]) & ((part[x] != part[y]) | (i[x] == j[x]))
+            good &= 4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y])
+            x, y = x[good], y[good]
+            good = points.may(x, y, n)
+            survives[x[good]] = survives[y[good]] = True
+
+        judge(*_pairs_in(border[small], ends[small]))
+        for a, b in zip(border[~small].tolist(), ends[~small].tolist(), strict=True):
+            cells = int(points.cells[a:b].min())  # as many groups as all members have
+            x, y = RTree(points.some_in(np.arange(a, b), cells), n[a:b]).partners()
+            judge(x + a, y + a)
+        group = np.concatenate([[0], np.cumsum(new)])
+        _, first = np.unique(np.stack([group[survives], node[survives]]), axis=1, return_index=True)
+        kept = pa.array(np.flatnonzero(survives)[first])
+        yield batch.select(["leader", "i", "j", "node", "component"]).take(kept)
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, text) to (node, members), the sorted shingles; rows of another text with the same id fall out."""
+    for batch in sliced(batches):
+        values, bounds = shingle_sets(batch.column("text"))
+        fits = np.flatnonzero(signatures(values, bounds)[0] == batch.column("node").to_numpy())
+        members = [values[bounds[k] : bounds[k + 1]].tobytes() for k in fits.tolist()]
+        yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(fits)), pa.array(members, pa.binary())], names=["node", "members"])
+
 
+def linked(sets: list[np.ndarray], component: np.ndarray) -> list[tuple[int, int]]:
+    """Links that unite the sets as far as any of theirs do: a spanning forest over the components given.
 
-def candidates(docs: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs of nodes in different known components that the trees cannot rule out."""
+    A set is held against all others at once. Sets of the largest component need not be, once all
+    outside of it were: what is left are pairs within.
+    """
+    n = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), n)
+    everything = np.concatenate(sets)
+    _, of = np.unique(component, return_inverse=True)
+    sizes = np.bincount(of)
+    todo = np.ones(len(sets), bool)
+    found = []
+    while True:
+        outside = np.flatnonzero(todo & (of != sizes.argmax()))
+        if not len(outside):
+            return found
+        # The first one tells how dense the rest is; others come from small components.
+        v = int(outside[sizes[of[outside]].argmin()])
+        todo[v] = False
+        at = np.searchsorted(sets[v], everything)
+        shared = np.bincount(owner[sets[v][np.minimum(at, n[v] - 1)] == everything], minlength=len(sets))
+        links = np.flatnonzero((7 * shared >= 3 * (n + n[v])) & (of != of[v]))
+        _, first = np.unique(of[links], return_index=True)
+        for u in links[first].tolist():
+            found.append((v, u))
+            sizes[of[v]] += sizes[of[u]]
+            sizes[of[u]] = 0
+            of[of == of[u]] = of[v]
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For rows grouped by (leader, i, j): verified links (a, b) across components, less than one per node."""
+    for batch in whole_groups(batches, ["leader", "i", "j"]):
+        keys = [batch.column(c).to_numpy() for c in ("leader", "i", "j")]
+        node, component = batch.column("node").to_numpy(), batch.column("component").to_numpy()
+        border = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])]))
+        members = batch.column("members")
+        a, b = [], []
+        for start, end in zip(border.tolist(), [*border[1:].tolist(), batch.num_rows], strict=True):
+            sets = [np.frombuffer(members[k].as_buffer(), np.uint64) for k in range(start, end)]
+            for x, y in linked(sets, component[start:end]):
+                a.append(node[start + x])
+                b.append(node[start + y])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def tree_links(docs: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
+    """Links (a, b) that unite the known components: all that the sets have, or others that unite the same.
+
+    Groups of one shingle with the same smallest node, their leader, are taken together, as texts that
+    share one shingle of their prefixes mostly share many: their nodes meet once, not once a shingle.
+    """
     rows = docs.select("text").mapInArrow(_prefixes(frequent_shingles(docs)), "h long, node long, n int, frequent boolean")
     # A frequent shingle's rows are dealt over many tasks; the others' groups are a small share of the input.
     salt = F.when(F.col("frequent"), F.pmod("node", F.lit(1024))).otherwise(F.lit(0))
@@ -364,19 +431,24 @@ def candidates(docs: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame
     named = met.select("h", "node", "n").distinct().join(known.toDF("node", "component"), "node", "left")
     starts = keep(named.withColumn("component", F.coalesce("component", "node")), "starts")
     mixed = starts.groupBy("h").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("leader"),
+        F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"),
     )
-    parts = F.ceil(F.col("members") / TREE_MOST).cast("int")
-    open_groups = mixed.where("low <> high").select("h", F.when(parts > 1, 2 * parts).otherwise(1).alias("parts"))
+    parts = F.ceil(F.greatest(F.col("members") / TREE_MOST, F.col("shingles") / SHINGLES_MOST)).cast("int")
+    open_groups = mixed.where("low <> high").select("h", "leader", F.when(parts > 1, 2 * parts).otherwise(1).alias("parts"))
     inside = starts.join(open_groups, "h").withColumn("part", F.pmod("node", F.col("parts")).cast("int"))
     spread = inside.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns(
         {"i": F.least("part", "k"), "j": F.greatest("part", "k")}
     )
-    pointed = spread.select("h", "i", "j", "part", "node", "n", "component").join(nodes.select("node", "point"), "node")
-    grouped = pointed.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "node")
-    met = grouped.mapInArrow(_tree_pairs, "a long, b long, least long, met long")
-    enough = met.groupBy("a", "b", "least").agg(F.sum("met").alias("met")).where("met >= least")
-    return keep(enough.select("a", "b"), "candidates")
+    pointed = spread.select("leader", "i", "j", "h", "part", "node", "n", "component").join(nodes.select("node", "point"), "node")
+    grouped = pointed.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j", "h", "node")
+    left = keep(grouped.mapInArrow(_tree_survivors, "leader long, i int, j int, node long, component long"), "survivors")
+    texts = left.select("node").distinct().join(nodes.select("node", F.col("doc_id").alias("id")), "node").join(
+        docs, F.col("id").eqNullSafe(F.col("doc_id"))
+    )
+    sets = keep(texts.select("node", "text").mapInArrow(_sets, "node long, members binary").dropDuplicates(["node"]), "members")
+    gathered = left.join(sets, "node").repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j", "node")
+    return keep(gathered.mapInArrow(_forests, "a long, b long").distinct(), "links")
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -395,7 +467,7 @@ def join(docs: DataFrame) -> DataFrame:
         raise ValueError("two different sets have one 64-bit name")
     stars = verified(pivots(nodes), nodes, docs)
     known = keep(components(stars), "components")
-    links = verified(candidates(docs, nodes, known), nodes, docs)
+    links = tree_links(docs, nodes, known)
     placed = nodes.select("node", "doc_id").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     if not links.isEmpty():
         of = placed.select("node", "component")

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from navloom.llm import jaccard_join
 from navloom.llm.components import components
+from navloom.llm.jaccard_join import linked
 from pyspark.sql import functions as F
 
 from .data import documents, odd_texts, words
@@ -110,3 +111,29 @@ def test_components(spark, edges):
         names[a] = names[b] = min(names[a], names[b])
     expected = {n: c for n, c in names.items() if any(n in e and e[0] != e[1] for e in edges)}
     assert found == expected
+
+
+def test_links_found_unite_what_all_links_unite():
+    rng = random.Random(2)
+    for size in (2, 3, 20, 90):
+        base = [rng.sample(range(10_000), 60) for _ in range(max(1, size // 15))]
+        sets = []
+        for _ in range(size):
+            members = list(rng.choice(base))
+            for _ in range(rng.choice((0, 3, 6, 9, 12))):
+                members[rng.randrange(len(members))] = rng.randrange(10_000)
+            sets.append(np.array(sorted(set(members)), np.uint64))
+        known = np.array([rng.randrange(size) for _ in range(size)])
+        found = linked(sets, known)
+
+        def united(pairs):
+            label = known.tolist()
+            for a, b in pairs:
+                old, new = label[a], label[b]
+                label = [new if x == old else x for x in label]
+            return {tuple(i for i in range(size) if label[i] == x) for x in label}
+
+        shared = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a in range(size) for b in range(a)}
+        links = [(a, b) for (a, b), n in shared.items() if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n)]
+        assert united(found) == united(links)
+        assert len(found) < len(set(known.tolist())) and all((max(p), min(p)) in links for p in found)
