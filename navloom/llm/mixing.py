@@ -24,10 +24,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from navloom.llm.shared import keep
 
 RANGE_ROWS = 4096
+#: Blocks a task writes at most, where there are more than tasks otherwise.
+BLOCKS_OF_TASK = 16
 BISECTIONS = 40
 #: Bisections decided by one job: it tries every exponent they could come to.
 AT_ONCE = 5
@@ -104,35 +107,36 @@ def weights(sources: DataFrame, target: Target) -> DataFrame:
     ).withColumn("quota", F.floor(F.col("weight") * F.lit(total * target.budget)).cast("long")).drop("power")
 
 
-def mixture(docs: DataFrame, target: Target, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The mixture: record (the document), source, weight, pass, tokens, block, draw and name (its order
-    in the block).
+def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The documents as `record`, with the name that orders them and a digest of all their columns."""
+    name = F.md5(F.concat_ws("/", F.coalesce(F.col(key).cast("string"), F.lit("null")), F.coalesce(F.md5(text), F.lit("null"))))
+    every = [F.to_json(f"`{f.name}`") if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`") for f in docs.schema]
+    return docs.select(F.struct("*").alias("record"), name.alias("name"), F.xxhash64(*every).alias("digest"))
 
-    A document whose part of the last pass would exceed the quota is left out of that pass; so a
-    source gives at most its quota, and less than it by under one document.
-    """
-    named = docs.select(
-        F.struct("*").alias("record"),
-        F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("null")).alias("group"),
-        token_count(F.col(text)).alias("tokens"),
-        F.md5(F.concat_ws("/", F.coalesce(F.col(key).cast("string"), F.lit("null")), F.coalesce(F.md5(text), F.lit("null")))).alias("name"),
-    )
+
+def narrow(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """group, tokens, name and digest of every document: all that is sorted, summed and placed; texts are read once for it."""
+    group = F.coalesce(F.concat(F.lit("="), F.col(f"record.{source}")), F.lit("null")).alias("group")
+    return keep(_named(docs, key, text).select(group, token_count(F.col(f"record.{text}")).alias("tokens"), "name", "digest"), "narrow")
+
+
+def placements(named: DataFrame, target: Target) -> DataFrame:
+    """Where the `narrow` rows go: name, digest, source, weight, pass, tokens, block and draw."""
     sources = keep(named.groupBy("group").agg(F.count(F.lit(1)).alias("docs"), F.sum("tokens").alias("tokens")), "sources")
     planned = weights(sources, target)
     plan = keep(planned.select("group", "docs", F.col("tokens").alias("supply"), "weight", "quota"), "weights")
     passes = F.explode(F.sequence(F.lit(0).cast("long"), F.expr("quota div supply"))).alias("pass")
     copies = named.join(plan, "group").select("*", passes)
     ranges = F.greatest(F.lit(1), F.ceil(F.col("docs") / RANGE_ROWS)).cast("long")
-    drawn = copies.withColumn("draw", _draw(F.lit(str(target.seed)), F.col("pass").cast("string"), "name")).withColumn(
-        "range", F.shiftright(F.col("draw"), 30) * ranges / F.lit(float(1 << 30))
-    ).withColumn("range", F.floor("range"))
-    slim = drawn.select("group", "pass", "range", "draw", "name", "tokens", "supply", "quota", "weight", "record")
+    slim = copies.withColumn("draw", _draw(F.lit(str(target.seed)), F.col("pass").cast("string"), "name")).withColumn(
+        "range", F.floor(F.shiftright(F.col("draw"), 30) * ranges / F.lit(float(1 << 30)))
+    )
     totals = slim.groupBy("group", "pass", "range").agg(F.sum("tokens").alias("range_tokens"))
     above = Window.partitionBy("group", "pass").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = keep(
         totals.select("group", "pass", "range", F.coalesce(F.sum("range_tokens").over(above), F.lit(0)).alias("first")), "ranges"
     )
-    inside = Window.partitionBy("group", "pass", "range").orderBy("draw", "name").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("group", "pass", "range").orderBy("draw", "name", "digest").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         slim.withColumn("before", F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
         .join(starts, ["group", "pass", "range"])
@@ -141,17 +145,45 @@ def mixture(docs: DataFrame, target: Target, key: str = "doc_id", text: str = "t
     )
     blocks = max(1, round((sources.agg(F.sum("tokens")).first()[0] or 0) * target.budget / target.block_tokens))
     return placed.select(
-        "record",
+        "name",
+        "digest",
         F.when(F.col("group") != "null", F.expr("substring(group, 2)")).alias("source"),
         "weight",
         "pass",
         "tokens",
         F.floor(F.col("at") * F.lit(blocks) / F.col("quota")).cast("long").alias("block"),
         _draw(F.lit(str(target.seed + 1)), F.col("pass").cast("string"), "name").alias("draw"),
-        "name",
     )
 
 
+def mixture(docs: DataFrame, target: Target, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The mixture: record (the document), source, weight, pass, tokens, block, draw and name (its order
+    in the block).
+
+    A document whose part of the last pass would exceed the quota is left out of that pass; so a
+    source gives at most its quota, and less than it by under one document. Records meet their places
+    in the end, by name and digest; rows equal in every column are one there, and come as often as
+    they were placed.
+    """
+    named = narrow(docs, key, text, source)
+    placed = keep(placements(named, target), "placed")
+    records = _named(docs, key, text)
+    if not named.groupBy("name", "digest").count().where("count > 1").isEmpty():
+        records = records.groupBy("name", "digest").agg(F.first("record").alias("record"))
+    return placed.join(records, ["name", "digest"]).select(
+        "record", "source", "weight", "pass", "tokens", "block", "draw", "name"
+    )
+
+
+def in_order(mixed: DataFrame) -> DataFrame:
+    """The mixture in tasks of whole blocks, each in order, one task's blocks after those of the task before."""
+    blocks = (mixed.agg(F.max("block")).first()[0] or 0) + 1
+    tasks = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(blocks, max(tasks, blocks // BLOCKS_OF_TASK))
+    task = F.floor(F.col("block") * F.lit(parts) / F.lit(blocks)).cast("int")
+    return mixed.repartitionById(parts, task).sortWithinPartitions("block", "draw", "name", "pass")
+
+
 def ordered(mixed: DataFrame) -> DataFrame:
     """With slot, the place in the block from 0; a block's tokens bound the window."""
     place = Window.partitionBy("block").orderBy("draw", "name", "pass")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from navloom.session import new_folder, written
 
-__all__ = ["count_by", "discard", "keep", "mix64", "new_folder", "no_text", "read", "shuffles_dropped", "sliced", "text_of", "utf8", "whole_groups"]
+__all__ = ["count_by", "discard", "give_back", "keep", "mix64", "new_folder", "no_text", "read", "shuffles_dropped", "sliced", "text_of", "utf8", "whole_groups"]
 
 #: Text handled at a time inside a task; bounds the numpy work arrays, never the result.
 SLICE_BYTES = 1 << 21
@@ -112,6 +114,17 @@ def sliced(
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker that waits for its next task should not hold the last one's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
@@ -131,6 +144,8 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         held.append(batch.slice(start))
     if held:
         yield _joined(held)
+    held.clear()
+    give_back()
 
 
 def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
