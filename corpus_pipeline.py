@@ -31,9 +31,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """In the order of the mixture: packing concatenates documents as they lie in the table's files."""
-    order = ("block", "draw", "name", "pass")
-    mixture = mixing.mixture(docs, queries.TARGET)
-    return mixture.repartitionByRange(*order).sortWithinPartitions(*order).select("record.*")
+    return mixing.in_order(mixing.mixture(docs, queries.TARGET)).select("record.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
