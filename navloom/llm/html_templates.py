@@ -1,23 +1,28 @@
 """Main text of web pages by equivalence-class template deduction.
 
-A page is a sequence of tokens: its elements, named by their paths, and its blocks of text outside a
-declared article. Over the pages of a host every token has an occurrence vector, its count on each
-page; tokens with one vector are an equivalence class. Classes with enough tokens on enough pages
-are valid; ordered by place and nested by the spans they cover they are the host's template. Text
-that belongs to a valid class is part of the template and goes; what lies in its slots stays, as far
-as it is in the main slot and not in a menu, header, footer, sidebar, notice, advert, form, comment
-section or non-text element.
+A page is a sequence of tokens: its elements, named by their paths, and its blocks of text. Over the
+different pages of a host every token has an occurrence vector, its count on each page; tokens with one
+vector are an equivalence class. Classes with enough tokens on enough pages are valid; ordered by place
+and nested by the spans they cover they are the host's template. Text that belongs to a valid class is
+part of the template and goes, inside a declared article too; what lies in its slots stays, as far as it
+is in the main slot and not in a menu, header, footer, sidebar, notice, advert, form, comment section or
+non-text element by its tag or a word of its class.
+
+A class with elements of its own is a layout, whatever its share of the host's pages. A class of texts
+alone may also be a passage that pages have in common, so it needs more pages, and where the page itself
+declares an article around it, half of the host's. `valid_in` tells these cases apart.
 
 The main slot of a page is its article or main element; without one, the deepest template element
 that holds nearly all the text of the host's pages; without that, the body.
 
 Vectors are never gathered: a vector is two sums of hashed (page, count) pairs, partial aggregates, so
-hot hosts need no task of their own and pages that come twice do not cancel out. A host's template holds only tokens on at least
-half of its pages, at most twice a page's tokens.
+hot hosts need no task of their own. Pages with one html count once: copies of a page prove no template.
+A host's template holds only tokens on at least `LEAST_PAGES` of its pages.
 
 Defined results: a null or empty html has the empty text; a null or unreadable url belongs to the
 host ""; equal rows give equal rows; unclosed elements end with their parents, stray end tags are
-ignored; an empty table gives no rows; columns besides page_id, url and html are not read.
+ignored; an empty table gives no rows; columns besides page_id, url and html are not read. A host of fewer
+than `LEAST_PAGES` different pages has no template: tags and class words alone decide there.
 """
 
 from __future__ import annotations
@@ -33,10 +38,12 @@ from pyspark.sql import functions as F
 
 from navloom.llm.shared import keep, sliced
 
-#: A class is valid on at least so many pages, and this share of the host's, with so many tokens.
+#: A class is valid on at least so many pages with so many tokens, a class of texts alone on more pages,
+#: and inside a declared article on this share of the host's pages.
 LEAST_PAGES = 3
-LEAST_SHARE = 0.5
 LEAST_TOKENS = 2
+TEXT_PAGES = 8
+ARTICLE_SHARE = 0.5
 #: Share of a host's text that the main slot holds.
 MAIN_SHARE = 0.9
 
@@ -62,14 +69,15 @@ ENDS = {
 #: An implied end does not reach beyond these.
 SCOPES = frozenset("ul ol dl table td th article main section div body aside nav form blockquote".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-#: Words of class and id that mark what is not main text; prefixes end in *.
+#: Words of class and id that mark what is not main text, alone or with one of the endings.
 HINTS = (
-    "ad ads advert* sponsor* promo* banner* menu* nav navbar navigation breadcrumb* pagination pager sidebar* aside widget* "
-    "footer* header masthead topbar cookie* consent* gdpr notice* notification* alert* popup* modal* overlay newsletter* "
-    "subscri* signup login comment* reply replies respond disqus discussion share* sharing social* related* recommend* "
-    "toolbar skip"
+    "ad ads advert advertis sponsor promo promotion banner menu nav navbar navigation breadcrumb pagination pager sidebar aside "
+    "widget footer header masthead topbar cookie consent gdpr notice notification alert popup modal overlay newsletter "
+    "subscribe subscription signup login comment reply replies respond disqus discussion share sharing social related recommend "
+    "recommendation toolbar skip"
 ).split()
-HINT = re.compile(r"(?:" + "|".join(re.escape(h[:-1]) + r"\w*" if h.endswith("*") else re.escape(h) for h in HINTS) + r")\Z")
+ENDINGS = "s ed er ers ing ement ements box bar bars list block area section wrap wrapper container links buttons".split()
+HINT = re.compile(rf"(?:{'|'.join(HINTS)})(?:{'|'.join(ENDINGS)})?\Z")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 WORD = re.compile(r"[A-Za-z0-9]+")
 
@@ -181,8 +189,16 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit("")))
 
 
-def text_label(path: str, text: str) -> str:
-    return f"{path}\n{text}"
+def text_label(path: str, text: str, declared: bool) -> str:
+    """The token of a block; a line break sets it apart from an element's, a second one if it lies in a declared article."""
+    return f"{path}\n{text}\n" if declared else f"{path}\n{text}"
+
+
+def valid_in(token: dict, layout: bool, pages: int) -> bool:
+    """Whether a token of a class on `token["pages"]` of the host's pages is of the template; a layout has elements of its own."""
+    if token["token"].endswith("\n"):
+        return token["pages"] >= max(LEAST_PAGES, ARTICLE_SHARE * pages)
+    return layout or token["pages"] >= TEXT_PAGES
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,16 +207,14 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: dict[str, list] = {c: [] for c in ("host", "page", "token", "times", "place", "chars")}
         for page_id, host, source in zip(*(batch.column(c).to_pylist() for c in ("page_id", "host", "html")), strict=True):
             page = Page(source or "")
-            whole = page.has_main()
             below: Counter[str] = Counter()
             texts: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-            for path, text, _, other, place in page.blocks:
+            for path, text, main, other, place in page.blocks:
                 if not other:
                     parts = path.split("/")
                     below.update({"/".join(parts[: i + 1]): len(text) for i in range(len(parts))})
-                    if not whole:
-                        seen = texts[text_label(path, text)]
-                        seen[0], seen[1] = seen[0] + 1, seen[1] or place
+                    seen = texts[text_label(path, text, main)]
+                    seen[0], seen[1] = seen[0] + 1, seen[1] or place
             found = [("", 1, 0, below[""])]
             found += [(label, n, place, below[label]) for label, (n, place) in page.elements.items()]
             found += [(label, n, place, 0) for label, (n, place) in texts.items()]
@@ -216,15 +230,25 @@ def deduce(tokens: list[dict]) -> tuple[str | None, list[str], list[tuple[int, i
     pages = max(t["pages"] for t in tokens)
     classes: dict[int, list[dict]] = defaultdict(list)
     for t in tokens:
-        if t["pages"] >= max(LEAST_PAGES, LEAST_SHARE * pages):
+        if t["pages"] >= LEAST_PAGES:
             classes[t["vector"]].append(t)
-    valid = [sorted(c, key=lambda t: (t["place"], t["token"])) for c in classes.values() if len(c) >= LEAST_TOKENS]
+    valid = []
+    for c in classes.values():
+        layout = any("\n" not in t["token"] for t in c)
+        held = [t for t in c if valid_in(t, layout, pages)] if len(c) >= LEAST_TOKENS else []
+        if held:
+            valid.append(sorted(held, key=lambda t: (t["place"], t["token"])))
     if not valid:
         return None, [], []
-    # A class nests in the smallest span of another class that covers its own.
-    spans = [(c[0]["place"], max(t["place"] for t in c)) for c in valid]
-    around = [[j for j, (a, b) in enumerate(spans) if j != i and a <= x and y <= b and (a, b) != (x, y)] for i, (x, y) in enumerate(spans)]
-    template = sorted((t["place"], len(around[i]), i, t["token"]) for i, c in enumerate(valid) for t in c)
+    # A class nests in the classes whose spans cover its own: opened before it and not yet closed.
+    spans = sorted((c[0]["place"], -max(t["place"] for t in c), i) for i, c in enumerate(valid))
+    depth: dict[int, int] = {}
+    opened: list[tuple[float, float]] = []
+    for start, end, i in spans:
+        opened = [(a, b) for a, b in opened if b >= -end]
+        depth[i] = sum((a, b) != (start, -end) for a, b in opened)
+        opened.append((start, -end))
+    template = sorted((t["place"], depth[i], i, t["token"]) for i, c in enumerate(valid) for t in c)
     texts = [t["token"] for c in valid for t in c if "\n" in t["token"]]
     everywhere = [t for c in valid for t in c if t["pages"] == pages and t["times"] == pages and "\n" not in t["token"] and t["token"]]
     total = max((t["chars"] for t in tokens), default=0)
@@ -246,8 +270,11 @@ def _templates(table: pa.Table) -> pa.Table:
 
 def templates(pages: DataFrame) -> DataFrame:
     """host, main (path of the main slot) and texts (those of the template) for every host."""
-    tokens = pages.select("page_id", host_of(F.col("url")).alias("host"), "html").mapInArrow(
-        _tokens, "host string, page long, token string, times int, place long, chars long"
+    named = pages.select(F.xxhash64(F.coalesce("html", F.lit(""))).alias("page_id"), host_of(F.col("url")).alias("host"), "html")
+    every = named.mapInArrow(_tokens, "host string, page long, token string, times int, place long, chars long")
+    # Pages with one html give equal rows: one of each counts.
+    tokens = every.groupBy("host", "token", "page").agg(
+        F.first("times").alias("times"), F.first("place").alias("place"), F.first("chars").alias("chars")
     )
     low = [F.xxhash64(F.lit(seed), "page", "times").bitwiseAND(F.lit((1 << 32) - 1)) for seed in (1, 2)]
     vectors = tokens.groupBy("host", "token").agg(
@@ -257,19 +284,21 @@ def templates(pages: DataFrame) -> DataFrame:
         F.avg("place").alias("place"),
         F.sum("chars").alias("chars"),
     )
-    frequent = keep(vectors.where(F.col("pages") >= LEAST_PAGES), "vectors")
-    totals = frequent.where("token = ''").select("host", F.col("pages").alias("all"))
-    common = frequent.join(totals, "host").where(F.col("pages") >= F.col("all") * LEAST_SHARE).drop("all")
-    return keep(common.groupBy("host").applyInArrow(_templates, "host string, main string, texts array<string>"), "templates")
+    frequent = vectors.where(F.col("pages") >= LEAST_PAGES)
+    return keep(frequent.groupBy("host").applyInArrow(_templates, "host string, main string, texts array<string>"), "templates")
 
 
 def main_text(source: str, main: str | None, template_texts: frozenset[str]) -> str:
     page = Page(source)
+    slots = [
+        (path, text, declared)
+        for path, text, declared, other, _ in page.blocks
+        if not other and text_label(path, text, declared) not in template_texts
+    ]
     if page.has_main():
-        kept = [text for _, text, inside, other, _ in page.blocks if inside and not other]
+        kept = [text for _, text, declared in slots if declared]
     else:
-        rest = [(path, text) for path, text, _, other, _ in page.blocks if not other]
-        rest = [(path, text) for path, text in rest if text_label(path, text) not in template_texts]
+        rest = [(path, text) for path, text, _ in slots]
         inside = [text for path, text in rest if main and (path == main or path.startswith(f"{main}/"))]
         kept = inside or [text for _, text in rest]
     return "\n\n".join(kept)
