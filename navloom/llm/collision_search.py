@@ -11,8 +11,9 @@ vectors, and the nearest of the blocks are merged, first in groups and then at o
 
 Defined results: vectors that are null, zero or hold null or non-finite components take no part,
 neither do rows with null ids; vectors of other lengths are no candidates; rows with the query's own
-id are not its candidates; equal rows are different candidates; with fewer candidates than wanted all
-are given; an empty table gives no rows; other columns are not read.
+id are not its candidates; equal rows are different candidates, but one query; rows of one id with other
+vectors are a query each, ranked each from 1; with fewer candidates than wanted all are given; an empty
+table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -77,10 +78,11 @@ class SortedProjections:
 def _search(wanted: int):
     def search(table: pa.Table) -> pa.Table:
         is_query = table["is_query"].to_numpy()
-        ids, number = table["id"].to_numpy(), np.flatnonzero(is_query)
+        ids, number, asked = table["id"].to_numpy(), np.flatnonzero(is_query), table["query"].to_numpy()
         vectors = matrix(table["embedding"].combine_chunks())
         rows = np.flatnonzero(~is_query)
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        none = np.zeros(0, np.int64)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = [(none, none, none, np.zeros(0))]
         if len(rows) and len(number):
             index = SortedProjections(vectors[rows])
             for q in number.tolist():
@@ -89,9 +91,9 @@ def _search(wanted: int):
                     continue
                 near, distance = index.nearest(vectors[q], other, wanted)
                 first = np.lexsort((ids[rows][near], distance))[:wanted]
-                found.append((np.full(len(first), ids[q]), ids[rows][near[first]], distance[first]))
-        query, vec, score = (np.concatenate(side) for side in zip(*found, strict=True))
-        return pa.table({"query_id": query, "vec_id": vec, "score": score})
+                found.append((np.full(len(first), asked[q]), np.full(len(first), ids[q]), ids[rows][near[first]], distance[first]))
+        query, query_id, vec, score = (np.concatenate(side) for side in zip(*found, strict=True))
+        return pa.table({"query": query, "query_id": query_id, "vec_id": vec, "score": score})
 
     return search
 
@@ -113,11 +115,13 @@ def search(queries: DataFrame, vectors: DataFrame, wanted: int = 10) -> DataFram
     def every(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    dealt = vectors.select("id", "embedding", "size", numbered(blocks, 1).alias("block"), every(query_blocks).alias("query_block"), F.lit(False).alias("is_query"))
-    asked = queries.select("id", "embedding", "size", every(blocks).alias("block"), numbered(query_blocks, 2).alias("query_block"), F.lit(True).alias("is_query"))
-    met = dealt.union(asked).groupBy("size", "block", "query_block").applyInArrow(_search(wanted), "query_id long, vec_id long, score double")
+    # A query is a different (id, vector); of rows equal in both one is asked, rows of one id with other vectors each are.
+    queries = queries.dropDuplicates(["id", "embedding"]).withColumn("query", F.xxhash64("id", "embedding"))
+    dealt = vectors.select("id", "embedding", "size", numbered(blocks, 1).alias("block"), every(query_blocks).alias("query_block"), F.lit(False).alias("is_query"), F.lit(0).cast("long").alias("query"))
+    asked = queries.select("id", "embedding", "size", every(blocks).alias("block"), numbered(query_blocks, 2).alias("query_block"), F.lit(True).alias("is_query"), "query")
+    met = dealt.union(asked).groupBy("size", "block", "query_block").applyInArrow(_search(wanted), "query long, query_id long, vec_id long, score double")
     order = [F.col("score"), F.col("vec_id")]
-    in_groups = Window.partitionBy("query_id", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, blocks // MERGED_AT_ONCE)))).orderBy(*order)
+    in_groups = Window.partitionBy("query_id", "query", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, blocks // MERGED_AT_ONCE)))).orderBy(*order)
     best = met.withColumn("rank", F.row_number().over(in_groups)).where(F.col("rank") <= wanted)
-    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "query").orderBy(*order)))
     return ranked.where(F.col("rank") <= wanted).select("query_id", "rank", "vec_id", "score")

@@ -140,7 +140,8 @@ def _descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             while waiting:
                 node, inside = waiting.pop()
                 if node >= len(cuts) or np.isnan(cuts[node]):
-                    name = mix64(np.array([leaf[a] + node * 0x51_7C_C1_B7_27_22_0A], np.int64).view(np.uint64)).view(np.int64)[0]
+                    place = (int(leaf[a]) + node * 0x51_7C_C1_B7_27_22_0A) & (1 << 64) - 1
+                    name = mix64(np.array([place], np.uint64)).view(np.int64)[0]
                     rows.append(inside + a)
                     leaves.append(np.full(len(inside), name))
                     settled.append(np.zeros(len(inside), bool))

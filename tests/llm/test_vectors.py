@@ -146,3 +146,19 @@ def test_ties_few_candidates_and_empty(spark):
     assert collision_search.search(given.where("vec_id = 0"), given.where("vec_id = 0")).count() == 0
     assert collision_search.search(given, given.where("false")).count() == 0
     assert embedding_dedup.near_duplicates(given.where("false")).count() == 0
+
+
+def test_repeated_query_ids_have_whole_answers(spark, monkeypatch):
+    monkeypatch.setattr(collision_search, "BLOCK", 40)
+    monkeypatch.setattr(collision_search, "QUERIES", 2)
+    rng = np.random.default_rng(6)
+    vectors = [[float(x) for x in rng.standard_normal(8)] for _ in range(120)]
+    rows = [(i, v) for i, v in enumerate(vectors)] + [(0, vectors[0]), (0, vectors[50])]
+    given = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in collision_search.search(given.where("vec_id = 0"), given).collect()]
+    want = []
+    for own in (vectors[0], vectors[50]):
+        near = sorted((float(np.linalg.norm(np.subtract(own, v))), i) for i, v in rows if i)[:10]
+        want += [(0, rank, i, d) for rank, (d, i) in enumerate(near, 1)]
+    assert [r[:3] for r in sorted(found)] == [r[:3] for r in sorted(want)]
+    assert np.allclose([r[3] for r in sorted(found)], [r[3] for r in sorted(want)])
