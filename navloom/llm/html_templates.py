@@ -17,7 +17,8 @@ that holds nearly all the text of the host's pages; without that, the body.
 
 Vectors are never gathered: a vector is two sums of hashed (page, count) pairs, partial aggregates, so
 hot hosts need no task of their own. Pages with one html count once: copies of a page prove no template.
-A host's template holds only tokens on at least `LEAST_PAGES` of its pages.
+A host's template holds only tokens on at least `LEAST_PAGES` of its
+pages. Hosts, pages and tokens go by 64-bit names there; texts are not shuffled.
 
 Defined results: a null or empty html has the empty text; a null or unreadable url belongs to the
 host ""; equal rows give equal rows; unclosed elements end with their parents, stray end tags are
@@ -31,6 +32,7 @@ import html as entities
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -189,43 +191,55 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit("")))
 
 
-def text_label(path: str, text: str, declared: bool) -> str:
-    """The token of a block; a line break sets it apart from an element's, a second one if it lies in a declared article."""
-    return f"{path}\n{text}\n" if declared else f"{path}\n{text}"
+#: Kinds of tokens: an element, a block of text, one inside a declared article.
+ELEMENT, TEXT, DECLARED = 0, 1, 2
 
 
-def valid_in(token: dict, layout: bool, pages: int) -> bool:
-    """Whether a token of a class on `token["pages"]` of the host's pages is of the template; a layout has elements of its own."""
-    if token["token"].endswith("\n"):
-        return token["pages"] >= max(LEAST_PAGES, ARTICLE_SHARE * pages)
-    return layout or token["pages"] >= TEXT_PAGES
+def token_of(path: str, text: str | None = None, declared: bool = False) -> tuple[int, int]:
+    """Name (64 bits) and kind of an element's or a block's token."""
+    kind = ELEMENT if text is None else DECLARED if declared else TEXT
+    label = path if text is None else f"{path}\n{text}"
+    return int.from_bytes(blake2b(label.encode("utf-8", "surrogatepass"), digest_size=8, salt=bytes([kind])).digest(), "little", signed=True), kind
+
+
+def above(path: str) -> list[str]:
+    """The paths of the elements around a block and of its own, from the page down."""
+    parts = path.split("/")
+    return ["/".join(parts[: i + 1]) for i in range(len(parts))]
+
+
+def valid_in(kind: int, on: int, layout: bool, pages: int) -> bool:
+    """Whether a token on `on` of the host's pages is of the template; a layout is a class with elements of its own."""
+    if kind == DECLARED:
+        return on >= max(LEAST_PAGES, ARTICLE_SHARE * pages)
+    return layout or on >= TEXT_PAGES
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of every page: host, page, token, count, place, characters of text in the element."""
+    """Of every page: host, page, token with kind and depth, count, place, characters of text in the element."""
+    types = {"host": pa.int64(), "page": pa.int64(), "token": pa.int64(), "kind": pa.int32(), "depth": pa.int32(),
+             "times": pa.int32(), "place": pa.int32(), "chars": pa.int64()}
     for batch in sliced(batches, "html"):
-        out: dict[str, list] = {c: [] for c in ("host", "page", "token", "times", "place", "chars")}
-        for page_id, host, source in zip(*(batch.column(c).to_pylist() for c in ("page_id", "host", "html")), strict=True):
+        out: dict[str, list] = {c: [] for c in types}
+        for number, host, source in zip(*(batch.column(c).to_pylist() for c in ("page", "host", "html")), strict=True):
             page = Page(source or "")
             below: Counter[str] = Counter()
-            texts: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+            texts: dict[tuple[int, int], list[int]] = defaultdict(lambda: [0, 0])
             for path, text, main, other, place in page.blocks:
                 if not other:
-                    parts = path.split("/")
-                    below.update({"/".join(parts[: i + 1]): len(text) for i in range(len(parts))})
-                    seen = texts[text_label(path, text, main)]
+                    below.update(dict.fromkeys(above(path), len(text)))
+                    seen = texts[token_of(path, text, main)]
                     seen[0], seen[1] = seen[0] + 1, seen[1] or place
-            found = [("", 1, 0, below[""])]
-            found += [(label, n, place, below[label]) for label, (n, place) in page.elements.items()]
-            found += [(label, n, place, 0) for label, (n, place) in texts.items()]
-            for token, times, place, chars in found:
-                for c, value in zip(out, (host, page_id, token, times, place, chars), strict=True):
+            found = [(*token_of(""), 0, 1, 0, below[""])]
+            found += [(*token_of(path), path.count("/"), n, place, below[path]) for path, (n, place) in page.elements.items()]
+            found += [(*token, 0, n, place, 0) for token, (n, place) in texts.items()]
+            for row in found:
+                for c, value in zip(out, (host, number, *row), strict=True):
                     out[c].append(value)
-        types = (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], names=list(out))
+        yield pa.RecordBatch.from_arrays([pa.array(v, types[c]) for c, v in out.items()], names=list(out))
 
 
-def deduce(tokens: list[dict]) -> tuple[str | None, list[str], list[tuple[int, int, str]]]:
+def deduce(tokens: list[dict]) -> tuple[int | None, list[int], list[tuple[int, int, int]]]:
     """A host's main element, its template texts, and its template: (depth, class, token) in page order."""
     pages = max(t["pages"] for t in tokens)
     classes: dict[int, list[dict]] = defaultdict(list)
@@ -234,8 +248,8 @@ def deduce(tokens: list[dict]) -> tuple[str | None, list[str], list[tuple[int, i
             classes[t["vector"]].append(t)
     valid = []
     for c in classes.values():
-        layout = any("\n" not in t["token"] for t in c)
-        held = [t for t in c if valid_in(t, layout, pages)] if len(c) >= LEAST_TOKENS else []
+        layout = any(t["kind"] == ELEMENT for t in c)
+        held = [t for t in c if valid_in(t["kind"], t["pages"], layout, pages)] if len(c) >= LEAST_TOKENS else []
         if held:
             valid.append(sorted(held, key=lambda t: (t["place"], t["token"])))
     if not valid:
@@ -249,35 +263,43 @@ def deduce(tokens: list[dict]) -> tuple[str | None, list[str], list[tuple[int, i
         depth[i] = sum((a, b) != (start, -end) for a, b in opened)
         opened.append((start, -end))
     template = sorted((t["place"], depth[i], i, t["token"]) for i, c in enumerate(valid) for t in c)
-    texts = [t["token"] for c in valid for t in c if "\n" in t["token"]]
-    everywhere = [t for c in valid for t in c if t["pages"] == pages and t["times"] == pages and "\n" not in t["token"] and t["token"]]
+    texts = [t["token"] for c in valid for t in c if t["kind"] != ELEMENT]
+    everywhere = [t for c in valid for t in c if t["pages"] == pages and t["times"] == pages and t["kind"] == ELEMENT and t["depth"]]
     total = max((t["chars"] for t in tokens), default=0)
     holding = [t for t in everywhere if t["chars"] >= MAIN_SHARE * total > 0]
-    main = max(holding, key=lambda t: (t["token"].count("/"), t["token"]))["token"] if holding else None
-    return main, sorted(texts), [(depth, c, token) for _, depth, c, token in template]
+    main = max(holding, key=lambda t: (t["depth"], -t["place"], t["token"]))["token"] if holding else None
+    return main, sorted(texts), [(d, c, token) for _, d, c, token in template]
 
 
 def _templates(table: pa.Table) -> pa.Table:
     main, texts, _ = deduce(table.to_pylist())
     return pa.table(
         {
-            "host": pa.array(table["host"][:1].to_pylist(), pa.string()),
-            "main": pa.array([main], pa.string()),
-            "texts": pa.array([texts], pa.list_(pa.string())),
+            "host": pa.array(table["host"][:1].to_pylist(), pa.int64()),
+            "main": pa.array([main], pa.int64()),
+            "texts": pa.array([texts], pa.list_(pa.int64())),
         }
     )
 
 
+def _named(pages: DataFrame) -> DataFrame:
+    """page (its content's hash), host (its name's hash) and html."""
+    html = F.coalesce("html", F.lit(""))
+    return pages.select(F.xxhash64(html).alias("page"), F.xxhash64(host_of(F.col("url"))).alias("host"), "html")
+
+
 def templates(pages: DataFrame) -> DataFrame:
-    """host, main (path of the main slot) and texts (those of the template) for every host."""
-    named = pages.select(F.xxhash64(F.coalesce("html", F.lit(""))).alias("page_id"), host_of(F.col("url")).alias("host"), "html")
-    every = named.mapInArrow(_tokens, "host string, page long, token string, times int, place long, chars long")
-    # Pages with one html give equal rows: one of each counts.
-    tokens = every.groupBy("host", "token", "page").agg(
-        F.first("times").alias("times"), F.first("place").alias("place"), F.first("chars").alias("chars")
+    """host, main (the main slot's element) and texts (those of the template), by names, for every host."""
+    named = _named(pages)
+    # Pages with one html count once. Only those that have copies are brought together for it.
+    repeated = keep(named.groupBy("host", "page").count().where("count > 1").select("host", "page"), "copies")
+    alone = named.join(repeated, ["host", "page"], "left_anti")
+    one_each = named.join(repeated, ["host", "page"], "left_semi").dropDuplicates(["host", "page"])
+    tokens = alone.union(one_each).mapInArrow(
+        _tokens, "host long, page long, token long, kind int, depth int, times int, place int, chars long"
     )
     low = [F.xxhash64(F.lit(seed), "page", "times").bitwiseAND(F.lit((1 << 32) - 1)) for seed in (1, 2)]
-    vectors = tokens.groupBy("host", "token").agg(
+    vectors = tokens.groupBy("host", "token", "kind", "depth").agg(
         F.xxhash64(*[F.sum(x) for x in low]).alias("vector"),
         F.count(F.lit(1)).alias("pages"),
         F.sum("times").alias("times"),
@@ -285,27 +307,26 @@ def templates(pages: DataFrame) -> DataFrame:
         F.sum("chars").alias("chars"),
     )
     frequent = vectors.where(F.col("pages") >= LEAST_PAGES)
-    return keep(frequent.groupBy("host").applyInArrow(_templates, "host string, main string, texts array<string>"), "templates")
+    return keep(frequent.groupBy("host").applyInArrow(_templates, "host long, main long, texts array<long>"), "templates")
 
 
-def main_text(source: str, main: str | None, template_texts: frozenset[str]) -> str:
+def main_text(source: str, main: int | None, template_texts: frozenset[int]) -> str:
     page = Page(source)
     slots = [
         (path, text, declared)
         for path, text, declared, other, _ in page.blocks
-        if not other and text_label(path, text, declared) not in template_texts
+        if not other and token_of(path, text, declared)[0] not in template_texts
     ]
     if page.has_main():
         kept = [text for _, text, declared in slots if declared]
     else:
-        rest = [(path, text) for path, text, _ in slots]
-        inside = [text for path, text in rest if main and (path == main or path.startswith(f"{main}/"))]
-        kept = inside or [text for _, text in rest]
+        inside = [text for path, text, _ in slots if main is not None and any(token_of(p)[0] == main for p in above(path))]
+        kept = inside or [text for _, text, _ in slots]
     return "\n\n".join(kept)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[tuple, frozenset[str]] = {}
+    known: dict[tuple, frozenset[int]] = {}
     for batch in sliced(batches, "html"):
         texts = []
         for source, main, template in zip(*(batch.column(c).to_pylist() for c in ("html", "main", "texts")), strict=True):
@@ -321,6 +342,6 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and the main text of every page."""
     hosts = templates(pages)
-    named = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    named = pages.select("page_id", "url", "html", F.xxhash64(host_of(F.col("url"))).alias("host"))
     joined = named.join(hosts, "host", "left").select("page_id", "url", "html", "main", "texts")
     return joined.mapInArrow(_extract, "page_id long, url string, text string")

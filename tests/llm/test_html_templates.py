@@ -73,7 +73,12 @@ def test_pages_that_come_twice_keep_their_vectors(spark):
 
 def test_classes_nest_by_vector():
     def token(name, vector, pages, times, place, chars=0):
-        return {"token": name, "vector": vector, "pages": pages, "times": times, "place": place, "chars": chars}
+        number, kind = html_templates.token_of(*name.split("\n"))
+        return {"token": number, "kind": kind, "depth": name.count("/") * (kind == 0), "vector": vector, "pages": pages,
+                "times": times, "place": place, "chars": chars}
+
+    def named(name):
+        return html_templates.token_of(*name.split("\n"))[0]
 
     tokens = [
         token("", 1, 8, 8, 0, 100), token("/b", 1, 8, 8, 1, 100), token("/b/main", 1, 8, 8, 3, 95), token("/b/low", 1, 8, 8, 20, 5),
@@ -81,9 +86,9 @@ def test_classes_nest_by_vector():
         token("/b/low\nAll rights", 1, 8, 8, 21),
     ]
     main, texts, template = deduce(tokens)
-    assert main == "/b/main" and texts == ["/b/low\nAll rights"]
-    assert [(d, t) for d, _, t in template if t == "/b/main/ul"] == [(1, "/b/main/ul")]
-    assert all(t != "/rare\nonce" for _, _, t in template)
+    assert main == named("/b/main") and texts == [named("/b/low\nAll rights")]
+    assert [(d, t) for d, _, t in template if t == named("/b/main/ul")] == [(1, named("/b/main/ul"))]
+    assert all(t != named("/rare\nonce") for _, _, t in template)
 
 
 def test_repeated_rows_and_empty_table(spark):
@@ -131,22 +136,22 @@ def by_vectors(sources):
     seen = {}
     for n, page in enumerate(pages):
         for path, (times, _) in page.elements.items():
-            seen.setdefault(path, {})[n] = times
+            seen.setdefault((path,), {})[n] = times
         for path, text, declared, other, _ in page.blocks:
             if not other:
-                counts = seen.setdefault(html_templates.text_label(path, text, declared), {})
+                counts = seen.setdefault((path, text, declared), {})
                 counts[n] = counts.get(n, 0) + 1
-    seen[""] = {n: 1 for n in range(len(pages))}
+    seen[("",)] = {n: 1 for n in range(len(pages))}
     classes = {}
     for token, counts in seen.items():
         classes.setdefault(tuple(sorted(counts.items())), []).append(token)
     found = set()
     for counts, tokens in classes.items():
         for token in tokens if len(counts) >= 3 and len(tokens) >= 2 else []:
-            layout = any("\n" not in t for t in tokens)
-            need = len(pages) / 2 if token.endswith("\n") else 3 if layout else 8
-            if "\n" in token and len(counts) >= need:
-                found.add(token)
+            layout = any(len(t) == 1 for t in tokens)
+            need = len(pages) / 2 if token[-1] is True else 3 if layout else 8
+            if len(token) > 1 and len(counts) >= need:
+                found.add(html_templates.token_of(*token)[0])
     return sorted(found)
 
 
