@@ -13,7 +13,7 @@ from checks.aggregates import SHARES, SQL_SHARES, adjusted_metrics, backtested
 from checks.catalog import TABLES, query, rounded, sql_r6
 from checks.joins import RULES, STALE_DAYS, planned, unit_metrics, unit_series
 from checks.metric_sql import ROUNDED_METRICS, define_metrics
-from checks.projections import AS_OF, DIM_NUMBERS, SQL_STYLE, dim
+from checks.projections import AS_OF, DIM_NUMBERS, SQL_STYLE, dim, sql_export
 from navloom.operators import (
     adjusted_nav,
     backtest,
@@ -100,11 +100,11 @@ def a2_rejects(spark, sf):
     "a3_return_comparison_detail",
     f"""SELECT fund_code, d AS start_date, e AS end_date, {sql_r6('l')} AS local_start, {sql_r6('le')} AS local_end,
                {sql_r6('r')} AS remote_start, {sql_r6('re')} AS remote_end, {sql_r6('lr')} AS local_return,
-               {sql_r6('rr')} AS remote_return, bucket
+               {sql_r6('rr')} AS remote_return, {sql_r6('dev')} AS deviation, bucket
         FROM deviations_sql WHERE common AND d < e""",
 )
 def a3(spark, sf):
-    detail = consistency.detail(b.adjusted(spark, sf), b.cum_return(spark, sf)).drop("deviation")
+    detail = consistency.detail(b.adjusted(spark, sf), b.cum_return(spark, sf))
     numbers = [n for n, kind in detail.dtypes if kind == "double"]
     return rounded(detail, *numbers)
 
@@ -261,6 +261,20 @@ def a9_exclusions(spark, sf):
     return scoreboard.build(unit_metrics(spark, sf), dim(spark, sf), "v1", AS_OF).exclusion_detail
 
 
+@query(
+    "p9_export_whole",
+    f"""SELECT {sql_export([name for name, _, _ in scoreboard.EXPORT])} FROM (
+          SELECT d.*, m.* EXCLUDE (fund_code) FROM unit_metrics m JOIN dim_base d ON d.fund_code = m.fund_code
+          WHERE m.fund_code NOT IN ({_METRIC_CODES}))""",
+)
+def p9_whole(spark, sf):
+    """All 54 columns of the exported scoreboard."""
+    shown = scoreboard.export(scoreboard.build(unit_metrics(spark, sf), dim(spark, sf), "v1", AS_OF).kept)
+    return shown.select(
+        *[(F.col(f"`{n}`") + F.lit(0.0)).alias(n) if kind == "double" else F.col(f"`{n}`") for n, kind in shown.dtypes]
+    )
+
+
 def _displayed(name, style):
     """A metric as displayed, as a double; the oracle rounds by printf."""
     return f"CASE WHEN {name} IS NOT NULL THEN CAST({SQL_STYLE[style].format(name)} AS DOUBLE) END"
@@ -511,13 +525,13 @@ def a16(spark, sf):
 
 @query(
     "a17_source_report",
-    """SELECT 'purchase' AS source, count(*) AS rows, TRUE AS complete, '' AS missing_required, '' AS asset_scale_source FROM purchase
-       UNION ALL SELECT 'overview', count(*), FALSE, 'short_name,manager', 'net_asset_scale' FROM overview
-       UNION ALL SELECT 'nav', count(*), FALSE, 'daily_growth', '' FROM nav
-       UNION ALL SELECT 'bonus', count(*), TRUE, '', '' FROM bonus
-       UNION ALL SELECT 'split', count(*), TRUE, '', '' FROM split
-       UNION ALL SELECT 'cum_return', count(*), TRUE, '', '' FROM cum_return
-       UNION ALL SELECT 'personnel', count(*), FALSE, 'report_id', '' FROM personnel""",
+    """SELECT 'purchase' AS source, count(*) AS rows, 'fund_code,short_name,subscribe_status,redeem_status,next_open_day,purchase_min_amount,daily_limit_amount,purchase_fee' AS columns, TRUE AS complete, '' AS missing_required, '' AS asset_scale_source FROM purchase
+       UNION ALL SELECT 'overview', count(*), 'fund_code,full_name,fund_type,issue_date,inception_text,net_asset_scale,share_scale,manager_co,custodian,dividends_text,mgmt_fee,custody_fee,sales_fee,max_subscribe_fee,benchmark,tracking', FALSE, 'short_name,manager', 'net_asset_scale' FROM overview
+       UNION ALL SELECT 'nav', count(*), 'fund_code,nav_date,unit_nav', FALSE, 'daily_growth', '' FROM nav
+       UNION ALL SELECT 'bonus', count(*), 'fund_code,year,record_date,ex_date,per_share_text,pay_date', TRUE, '', '' FROM bonus
+       UNION ALL SELECT 'split', count(*), 'fund_code,year,split_date,split_type,ratio_text', TRUE, '', '' FROM split
+       UNION ALL SELECT 'cum_return', count(*), 'fund_code,date,cum_return_pct', TRUE, '', '' FROM cum_return
+       UNION ALL SELECT 'personnel', count(*), 'fund_code,title,fund_name,notice_date', FALSE, 'report_id', '' FROM personnel""",
 )
 def a17(spark, sf):
     tables = {
@@ -531,4 +545,4 @@ def a17(spark, sf):
         "cum_return": b.cum_return(spark, sf),
         "personnel": b.raw_personnel(spark, sf).drop("report_id"),
     }
-    return contracts.source_report(tables).drop("columns")
+    return contracts.source_report(tables)

@@ -173,6 +173,22 @@ def k3(spark, sf):
     return back.groupBy("stage", "code", "error").agg(F.count("ts").alias("times"))
 
 
+@query(
+    "k3_run_keyed_rejects",
+    """SELECT run, 'adjusted_nav' AS stage, fund_code AS code, 'empty nav data' AS error
+       FROM blacklist, (VALUES ('r1'), ('r2')) AS r(run)""",
+)
+def k3_runs(spark, sf):
+    """Two runs log their rejects, one of them twice: the repeated run replaces its own."""
+    rejects = b.blacklist(spark, sf).select(
+        "fund_code", F.lit("adjusted_nav").alias("stage"), F.lit("empty nav data").alias("error")
+    )
+    folder = new_folder(spark, "rejects")
+    for run in ("r1", "r2", "r2"):
+        sinks.write_failures(rejects, folder, run)
+    return sinks.read_failures(spark, folder).select("run", "stage", "code", "error")
+
+
 @query(
     "k4_log_to_table",
     """SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts, event_type AS stage,

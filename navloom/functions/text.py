@@ -9,12 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Bounds of a DECIMAL(20,6) column that stay exact as a double,
-# and the placeholder text sources use for "no value".
+# Bounds of a DECIMAL(20,6) column that stay exact as a double, the placeholder text sources
+# use for "no value", the width of a code, and the patterns of numbers and dates in source text.
 MONEY_LIMIT = 99999999999999.99
 BLANK_TEXTS = ("", "---")
-
 CODE_WIDTH = 6
+SIGNED_NUMBER = r"[-+]?\d+(?:\.\d+)?"
+UNSIGNED_NUMBER = r"\d+(?:\.\d+)?"
+COMPACT_DATE = r"^\d{8}$"
+TWO_DIGIT_DATE = r"\d{4}[-/]\d{2}[-/]\d{2}"
+CHINESE_DATE = r"\d{4}年\d{1,2}月\d{1,2}日"
+SPACED_CHINESE_DATE = r"\d{4}年\s*\d{1,2}月\s*\d{1,2}日"
+DASHED_DATE = r"\d{4}-\d{1,2}-\d{1,2}"
+SLASHED_DATE = r"\d{4}/\d{1,2}/\d{1,2}"
+
 _WHITESPACE = " \t\r\n\f　 "
 
 
@@ -47,13 +55,13 @@ def to_date(col: Column) -> Column:
     return F.coalesce(
         content.try_cast("date"),
         F.when(content.contains("/"), F.try_to_date(stripped(content), "yyyy/M/d")),
-        F.when(stripped(content).rlike(r"^\d{8}$"), F.try_to_date(stripped(content), "yyyyMMdd")),
+        F.when(stripped(content).rlike(COMPACT_DATE), F.try_to_date(stripped(content), "yyyyMMdd")),
     )
 
 
 def first_number(col: Column) -> Column:
     """First signed decimal found anywhere in the text; thousands separators end it."""
-    return F.regexp_substr(col.cast("string"), F.lit(r"[-+]?\d+(?:\.\d+)?")).try_cast("double")
+    return F.regexp_substr(col.cast("string"), F.lit(SIGNED_NUMBER)).try_cast("double")
 
 
 def number_or_blank(col: Column) -> Column:
@@ -77,7 +85,7 @@ def clamp_money(col: Column) -> Column:
 
 def dividend_amount(col: Column) -> Column:
     """First unsigned decimal of a dividend text ("每份派现金0.1584元" gives 0.1584)."""
-    return F.regexp_substr(col.cast("string"), F.lit(r"\d+(?:\.\d+)?")).try_cast("double")
+    return F.regexp_substr(col.cast("string"), F.lit(UNSIGNED_NUMBER)).try_cast("double")
 
 
 def split_ratio(col: Column) -> Column:
@@ -86,16 +94,15 @@ def split_ratio(col: Column) -> Column:
 
 
 def _chinese_date(col: Column, spaces_allowed: bool) -> Column:
-    gap = r"\s*" if spaces_allowed else ""
-    found = F.regexp_substr(col, F.lit(rf"\d{{4}}年{gap}\d{{1,2}}月{gap}\d{{1,2}}日"))
+    found = F.regexp_substr(col, F.lit(SPACED_CHINESE_DATE if spaces_allowed else CHINESE_DATE))
     return F.try_to_date(F.regexp_replace(found, r"\s+", ""), "yyyy年M月d日")
 
 
 def general_date(col: Column) -> Column:
     """Date inside free text: two-digit ISO or slashed form, then Chinese, then the whole text."""
     text = stripped(col)
-    numeric = F.regexp_substr(text, F.lit(r"\d{4}[-/]\d{2}[-/]\d{2}"))
-    chinese = F.regexp_substr(text, F.lit(r"\d{4}年\d{1,2}月\d{1,2}日"))
+    numeric = F.regexp_substr(text, F.lit(TWO_DIGIT_DATE))
+    chinese = F.regexp_substr(text, F.lit(CHINESE_DATE))
     return (
         F.when(text.isin(*BLANK_TEXTS), F.lit(None).cast("date"))
         .when(numeric.isNotNull(), F.try_to_date(F.translate(numeric, "/", "-"), "yyyy-MM-dd"))
@@ -107,9 +114,9 @@ def general_date(col: Column) -> Column:
 def inception_date(col: Column) -> Column:
     """Founding date inside free text: Chinese form first, then ISO, then slashed."""
     text = stripped(col)
-    chinese = F.regexp_substr(text, F.lit(r"\d{4}年\s*\d{1,2}月\s*\d{1,2}日"))
-    dashed = F.regexp_substr(text, F.lit(r"\d{4}-\d{1,2}-\d{1,2}"))
-    slashed = F.regexp_substr(text, F.lit(r"\d{4}/\d{1,2}/\d{1,2}"))
+    chinese = F.regexp_substr(text, F.lit(SPACED_CHINESE_DATE))
+    dashed = F.regexp_substr(text, F.lit(DASHED_DATE))
+    slashed = F.regexp_substr(text, F.lit(SLASHED_DATE))
     return (
         F.when(text == "", F.lit(None).cast("date"))
         .when(chinese.isNotNull(), _chinese_date(text, spaces_allowed=True))
