@@ -22,12 +22,13 @@ from navloom.operators import (
     contracts,
     integrity,
     metrics,
+    month_states,
     normalise,
     score,
     scoreboard,
 )
 from navloom.plans import runs
-from navloom.session import new_folder
+from navloom.session import new_folder, written
 from navloom.sinks import tables as sinks
 from navloom.sources import files
 
@@ -234,6 +235,28 @@ def a8_past(spark, sf):
     return rounded(past, *metrics.METRICS)
 
 
+@query(
+    "a8_from_month_states",
+    f"SELECT fund_code, nav_start_date, nav_end_date, stale, {ROUNDED_METRICS} FROM full_metrics",
+)
+def a8_states(spark, sf):
+    adjusted = written(b.adjusted(spark, sf), "adjusted")
+    states = written(month_states.month_states(adjusted), "month_states")
+    return rounded(month_states.snapshot(states, adjusted, AS_OF, 60), *metrics.METRICS)
+
+
+@query(
+    "a8_from_month_states_at_date",
+    f"SELECT fund_code, nav_start_date, nav_end_date, stale, {ROUNDED_METRICS} FROM past_metrics",
+)
+def a8_states_past(spark, sf):
+    adjusted = written(b.adjusted(spark, sf), "adjusted")
+    first = month_states.month_states(adjusted.where("nav_date < date'1998-03-10'"))
+    states = written(month_states.refreshed(first, adjusted, "1998-03-10"), "month_states")
+    past = month_states.snapshot(states, adjusted, "1999-12-31", 60, latest="1999-12-31")
+    return rounded(past, *metrics.METRICS)
+
+
 _METRIC_CODES = "SELECT fund_code FROM exclusions_sql"
 _DIM_SHOWN = [
     n for n in scoreboard.SCOREBOARD_COLUMNS
