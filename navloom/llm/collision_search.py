@@ -2,9 +2,10 @@
 
 A block of vectors is projected on `PROJECTIONS` random directions, and every projection is kept as a
 sorted array. A query opens a window around its own projection in each array. While too few
-neighbours are sure, the radius grows and all windows widen with it (virtual rehashing). Vectors that
-lie in the windows of at least `COLLISIONS` of the arrays are verified by their exact distance; the
-search ends when as many as wanted are verified within the radius, or all are.
+neighbours are sure, the radius grows and all windows widen with it (virtual rehashing); only what a
+wider window takes in anew is counted. Vectors that lie in the windows of at least `COLLISIONS` of the
+arrays are verified by their exact distance; the search ends when as many as wanted are verified within
+the radius, or all are.
 
 Queries and vectors are cut into blocks of bounded size, each block of queries meets each block of
 vectors, and the nearest of the blocks are merged, first in groups and then at once.
@@ -33,6 +34,7 @@ COLLISIONS = 0.6
 #: Width of a window for radius 1, and the factor by which the radius grows.
 WIDTH = 2.8
 GROWTH = 1.2
+FIRST_LOOK = 64
 BLOCK = 8192
 QUERIES = 1024
 MERGED_AT_ONCE = 64
@@ -50,15 +52,20 @@ class SortedProjections:
         """Rows (of those marked `other`) and distances of the vectors verified, enough for the wanted ones."""
         along = query @ self.directions
         everyone = int(other.sum())
-        radius = self._first_radius(along, wanted)
+        radius = self._first_radius(query, along, wanted)
         squares = np.full(len(self.vectors), np.nan)
+        counts = np.zeros(len(self.vectors), np.int64)
+        low = [int(np.searchsorted(s, a)) for s, a in zip(self.sorted, along, strict=True)]
+        high = list(low)
         while True:
             half = WIDTH * radius / 2
-            hits = [
-                o[np.searchsorted(s, a - half) : np.searchsorted(s, a + half, side="right")]
-                for o, s, a in zip(self.order, self.sorted, along, strict=True)
-            ]
-            counts = np.bincount(np.concatenate(hits), minlength=len(self.vectors))
+            entered = []
+            for j, (row, ordered, a) in enumerate(zip(self.order, self.sorted, along, strict=True)):
+                # What a wider window takes in lies on both sides of the one before.
+                first, end = np.searchsorted(ordered, (a - half, np.nextafter(a + half, np.inf)))
+                entered += [row[first : low[j]], row[high[j] : end]]
+                low[j], high[j] = min(first, low[j]), max(end, high[j])
+            counts += np.bincount(np.concatenate(entered), minlength=len(counts))
             new = np.flatnonzero((counts >= COLLISIONS * PROJECTIONS) & other & np.isnan(squares))
             gap = self.vectors[new] - query
             squares[new] = np.einsum("ij,ij->i", gap, gap)
@@ -68,11 +75,14 @@ class SortedProjections:
                 return rows, np.sqrt(squares[rows])
             radius *= GROWTH
 
-    def _first_radius(self, along: np.ndarray, wanted: int) -> float:
-        """The radius whose windows hold about as many vectors as are wanted, or a little more than none."""
+    def _first_radius(self, query: np.ndarray, along: np.ndarray, wanted: int) -> float:
+        """The radius whose windows hold about as many vectors as are wanted, or half of the way to the nearest of
+        `FIRST_LOOK` vectors spread over the block; only the number of rounds depends on it."""
         gaps = [np.abs(s[max(0, p - wanted) : p + wanted] - a).max() for s, a in zip(self.sorted, along, strict=True) for p in [int(np.searchsorted(s, a))]]
+        looked = self.vectors[:: -(-len(self.vectors) // FIRST_LOOK)] - query
+        nearest = float(np.sqrt(np.einsum("ij,ij->i", looked, looked).min()))
         spread = float(np.abs(self.sorted[:, [0, -1]]).max())
-        return max(float(np.median(gaps)) * 2 / WIDTH, spread * 1e-6, 1e-300)
+        return max(float(np.median(gaps)) * 2 / WIDTH, nearest / 2, spread * 1e-6, 1e-300)
 
 
 def _search(wanted: int):
