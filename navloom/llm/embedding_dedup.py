@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from navloom.llm.components import components
 from navloom.llm.shared import keep, mix64, whole_groups
@@ -163,16 +164,17 @@ def _descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def forest(nodes: DataFrame) -> DataFrame:
-    """tree, leaf, node, embedding: the leaves of every tree that each node (node, label, embedding) lies in."""
+    """tree, leaf, node: the leaves of every tree that each node (node, label, embedding) lies in."""
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     leaf = F.xxhash64("label", F.size("embedding")).alias("leaf")
     growing = nodes.select(trees, leaf, "node", "embedding", F.lit(False).alias("settled"))
     done, largest = [], None
-    schema = "tree int, leaf long, node long, embedding array<double>, settled boolean"
+    schema = f"tree int, leaf long, node long, embedding {nodes.schema['embedding'].dataType.simpleString()}, settled boolean"
     while True:
         sizes = keep(growing.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("count")), "sizes")
         big = sizes.where(F.col("count") > LEAF_MOST)
-        done.append(growing.join(sizes.where(F.col("count") <= LEAF_MOST), ["tree", "leaf"], "left_semi"))
+        names = growing.select("tree", "leaf", "node")
+        done.append(names.join(sizes.where(F.col("count") <= LEAF_MOST), ["tree", "leaf"], "left_semi"))
         if big.isEmpty():
             break
         largest = largest or sizes.agg(F.max("count")).first()[0]
@@ -191,12 +193,12 @@ def forest(nodes: DataFrame) -> DataFrame:
         )
         below = large.drop("count", "settled").join(cuts, ["tree", "leaf"]).sortWithinPartitions("tree", "leaf", "node")
         split = keep(below.mapInArrow(_descend, schema), "leaves")
-        done.append(split.where("settled"))
+        done.append(split.where("settled").select("tree", "leaf", "node"))
         growing = split.where("NOT settled")
     out = done[0]
     for part in done[1:]:
         out = out.union(part)
-    return out.select("tree", "leaf", "node", "embedding")
+    return out
 
 
 def _distinct(leaves: DataFrame) -> DataFrame:
@@ -275,7 +277,9 @@ def _smallest(root: np.ndarray, node: np.ndarray) -> np.ndarray:
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector (vec_id, embedding, label)."""
-    given = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), "label")
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    embedding = F.col("embedding") if single else F.col("embedding").cast("array<double>")  # singles are widened in the tasks
+    given = vectors.select("vec_id", embedding.alias("embedding"), "label")
     good = F.col("label").isNotNull() & usable(F.col("embedding"))
     valid = given.where(good).withColumn("name", F.xxhash64("label", "embedding"))
     nodes = keep(
@@ -287,14 +291,15 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     codes = leaves.groupBy("node").agg(F.array_sort(F.collect_list("code")).alias("codes"))  # a node's leaves: few
     sizes = leaves.groupBy("code").agg(F.count(F.lit(1)).alias("count"))
     parts = F.when(F.col("count") > 2 * LEAF_MOST, F.ceil(F.col("count") * 2 / LEAF_MOST)).otherwise(1).cast("int")
-    known = leaves.join(sizes.select("code", parts.alias("parts")), "code").join(codes, "node").join(nodes.select("node", "weight"), "node")
+    known = leaves.join(sizes.select("code", parts.alias("parts")), "code").join(codes, "node")
     dealt = known.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn(
         "k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     )
     groups = dealt.select(
-        "code", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"), "part", "node", "weight", "embedding", "codes"
+        "code", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"), "part", "node", "codes"
     )
-    sorted_groups = groups.repartition("code", "i", "j").sortWithinPartitions("code", "i", "j", "node")
+    with_vectors = groups.join(nodes.select("node", "weight", "embedding"), "node")  # till here leaves hold names alone
+    sorted_groups = with_vectors.repartition("code", "i", "j").sortWithinPartitions("code", "i", "j", "node")
     found = keep(sorted_groups.mapInArrow(_links, "node long, links long, tied long"), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     tied = keep(components(found.select(F.col("node").alias("a"), F.col("tied").alias("b"))), "components")
