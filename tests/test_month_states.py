@@ -81,3 +81,17 @@ def test_stale_funds_and_empty_tables(spark):
 def test_summaries_need_one_shuffle(spark):
     plan = month_states.month_states(series(spark, {"000001": random_series(3)}))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_days_of_cut_months_are_pushed_to_the_scan(spark, tmp_path):
+    points = [(d, 1 + i % 17 / 10) for i, d in enumerate(days_from("2019-02-20", 1836))]
+    table = series(spark, {"000001": points})
+    states = stored(month_states.month_states(table), tmp_path)
+    path = str(tmp_path / "adjusted")
+    table.write.parquet(path)
+    plan = month_states.snapshot(states, spark.read.parquet(path), "2024-02-15", latest="2024-02-15")
+    scans = [
+        line for line in plan._jdf.queryExecution().executedPlan().toString().splitlines()
+        if "FileScan" in line and "adjusted_nav" in line
+    ]
+    assert scans and all("GreaterThanOrEqual(nav_date" in line for line in scans)
