@@ -13,8 +13,9 @@ text are not read. Only the last window can be shorter than the length.
 from __future__ import annotations
 
 import os
-import re
+import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +28,22 @@ from navloom.llm.words import split
 
 END_ID = 1
 LENGTH = 2048
-#: Words a task remembers the ids of; more are tokenized again.
+#: Word parts a task remembers the ids of; more are tokenized again.
 REMEMBERED = 1_000_000
+#: Text handled at a time; smaller than elsewhere, as a worker also holds the vocabulary and what it remembers.
+SLICE_BYTES = 1 << 20
 #: Partitions whose totals may be broadcast (16 bytes each).
 BROADCAST_PARTITIONS = 1_000_000
 
-#: Letters, then punctuation: the tokenizer never joins tokens across that border.
-LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([.,;:!?$%&*#|()\-]*)")
+#: Bytes of marks: the tokenizer never joins tokens across the border of letters and marks behind them.
+MARK = np.zeros(256, bool)
+MARK[list(b".,;:!?$%&*#|()-")] = True
+ASCII_LETTER = np.zeros(256, bool)
+ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+#: Letters of two bytes in UTF-8, by code point, that normalizing and lower-casing leave letters.
+TWO_BYTE_LETTER = np.array(
+    [c >= 0x80 and all(x.isalpha() for x in (chr(c), unicodedata.normalize("NFC", chr(c)).lower())) for c in range(0x800)]
+)
 
 
 def _byte_characters() -> str:
@@ -43,12 +53,30 @@ def _byte_characters() -> str:
     return "".join(chr(b) if b in printable else chr(next(others)) for b in range(256))
 
 
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to letters of one or two bytes; longer ones are not looked up."""
+    letter = ASCII_LETTER[data]
+    lead = np.flatnonzero((data >= 0xC2) & (data <= 0xDF))
+    lead = lead[TWO_BYTE_LETTER[((data[lead] & 0x1F).astype(np.int32) << 6) | (data[lead + 1] & 0x3F)]]
+    letter[lead] = letter[lead + 1] = True
+    return letter
+
+
+def before_marks(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Where words of letters alone and marks behind them are cut, so that fewer words are different."""
+    behind = np.where(MARK[data], 0, np.arange(1, len(data) + 1, dtype=np.int32))
+    core = np.maximum(np.maximum.accumulate(behind)[end - 1], start)
+    other = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(~_letters(data), out=other[1:])
+    return core[(core > start) & (core < end) & (other[core] == other[start])]
+
+
 class WordIds:
-    """Token ids of words split at white space, remembered by the word's hash.
+    """Token ids of words split at white space and before marks, remembered by the word's hash.
 
     White space never joins two tokens of this tokenizer and is dropped, and letters are lower-cased,
     so a text's ids are its words' ids in order. Texts holding a special token's string are
-    tokenized as a whole.
+    tokenized as a whole. What is remembered lies in arrays: `keys` are sorted hashes.
     """
 
     def __init__(self, path: str):
@@ -58,13 +86,13 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.to_byte_characters = dict(enumerate(_byte_characters()))
-        self.marks: dict[str, list[int]] = {"": []}
+        self.normalizer, self.model = self.tokenizer.normalizer, self.tokenizer.model
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[int, int] = {}
-        self.start = np.zeros(1 << 16, np.int64)
-        self.length = np.zeros(1 << 16, np.int64)
+        self.keys = np.zeros(0, np.uint64)
+        self.start = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int32)
         self.ids = np.zeros(1 << 18, np.uint32)
         self.used = 0
 
@@ -72,46 +100,51 @@ class WordIds:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _word(self, word: str) -> list[int]:
-        found = LETTERS_THEN_MARKS.fullmatch(word)
-        if not found:
-            return self.whole(word)
-        letters, marks = found.groups()
-        if marks not in self.marks:
-            self.marks[marks] = self.whole(marks)
-        normal = self.tokenizer.normalizer.normalize_str(letters) if not letters.isascii() else letters.lower()
-        if not normal.isalpha():
+        if not word.isalpha():
             return self.whole(word)
-        if not normal.isascii():
+        if word.isascii():
+            normal = word.lower()
+        else:
+            normal = self.normalizer.normalize_str(word)
+            if not normal.isalpha():
+                return self.whole(word)
             normal = normal.encode().decode("latin-1").translate(self.to_byte_characters)
-        return [t.id for t in self.tokenizer.model.tokenize(normal)] + self.marks[marks]
+        return [t.id for t in self.model.tokenize(normal)]
 
     def _learn(self, hashes: np.ndarray, words: Iterator[str]) -> None:
-        for key, word in zip(hashes.tolist(), words, strict=True):
-            ids, at = self._word(word), len(self.place)
-            if at == len(self.start):
-                self.start, self.length = (np.resize(x, 2 * at) for x in (self.start, self.length))
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * len(self.ids))
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.start[at], self.length[at] = self.used, len(ids)
-            self.used += len(ids)
-            self.place[key] = at
+        """Words that are not known yet, by ascending hash."""
+        found = [self._word(word) for word in words]
+        length = np.fromiter(map(len, found), np.int32, len(found))
+        used = self.used + int(length.sum())
+        if used > len(self.ids):
+            self.ids = np.resize(self.ids, max(used, len(self.ids) * 3 // 2))
+        self.ids[self.used : used] = np.fromiter(chain.from_iterable(found), np.uint32, used - self.used)
+        at = np.searchsorted(self.keys, hashes)
+        self.start = np.insert(self.start, at, self.used + np.cumsum(length) - length)
+        self.length = np.insert(self.length, at, length)
+        self.keys = np.insert(self.keys, at, hashes)
+        self.used = used
+
+    def _unknown(self, kinds: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.ones(len(kinds), bool)
+        at = np.searchsorted(self.keys, kinds)
+        return self.keys[np.minimum(at, len(self.keys) - 1)] != kinds
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the n + 1 offsets of each text's ids."""
         data, offsets = utf8(texts)
-        words = split(data, offsets)
-        if len(self.place) > REMEMBERED:
+        words = split(data, offsets, cuts=before_marks)
+        if len(self.keys) > REMEMBERED:
             self._forget()
         kinds, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
-        known = self.place
-        new = np.array([k not in known for k in kinds.tolist()], bool)
+        new = self._unknown(kinds)
         raw, at = data.tobytes(), first[new]
         spans = zip(words.start[at].tolist(), words.end[at].tolist(), strict=True)
         self._learn(kinds[new], (raw[a:b].decode() for a, b in spans))
-        place = np.fromiter((known[k] for k in kinds.tolist()), np.int64, len(kinds))[which]
+        place = np.searchsorted(self.keys, kinds)[which]
         start, length = self.start[place], self.length[place]
-        ends = np.cumsum(length)
+        ends = np.cumsum(length, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.ids[np.arange(total) + np.repeat(start - (ends - length), length)]
         bounds = np.concatenate([[0], ends])[words.per_doc(len(offsets) - 1)]
@@ -127,7 +160,7 @@ def token_ids(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.get(path) or _encoders.setdefault(path, WordIds(path))
         partition, before = TaskContext.get().partitionId(), 0
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=SLICE_BYTES):
             texts = batch.column("text")
             ids, bounds = encoder.encode(texts)
             documents = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,10 +50,17 @@ class Words:
         return np.searchsorted(self.doc, np.arange(docs + 1))
 
 
-def split(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE, letters: np.ndarray = LOWER) -> Words:
+def split(
+    data: np.ndarray,
+    offsets: np.ndarray,
+    between: np.ndarray = SPACE,
+    letters: np.ndarray = LOWER,
+    cuts: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray] | None = None,
+) -> Words:
     """Maximal runs of bytes that are not `between` words (white space 0x20, 0x09-0x0D), of each text.
 
     Hashes are of the bytes as `letters` maps them: A-Z lower-cased, or all as they are with `SAME`.
+    `cuts` takes the bytes, starts and ends of the runs and tells places inside runs where they are divided.
     """
     size = len(data)
     if size == 0:
@@ -69,6 +77,9 @@ def split(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE, le
     after[-1] = True
     after[:-1] = ~solid[1:]
     end = np.flatnonzero(solid & (after | edge[1:])) + 1
+    if cuts is not None:
+        inside = cuts(data, start, end)
+        start, end = (np.sort(np.concatenate([x, inside]), kind="stable") for x in (start, end))
     up, down = _power_table(size)
     total = np.zeros(size + 1, np.uint64)
     np.cumsum(BYTE_VALUE[letters[data]] * up, dtype=np.uint64, out=total[1:])

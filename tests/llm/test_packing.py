@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from navloom.llm import packing
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -51,3 +52,18 @@ def test_repeated_null_and_empty(spark):
     docs = documents(spark, [None, "", "x"]).withColumn("doc_id", F.lit(None).cast("long"))
     assert sorted(r.doc_tokens for r in packed(docs).collect()) == [1, 1, 2]
     assert packed(docs.where("false")).count() == 0
+
+
+def test_marks_do_not_multiply_the_words_remembered():
+    encoder = packing.WordIds(PATH)
+    encoder.encode(pa.array(["moon moon, moon. Moon; (moon)", None, "été été, été."]))
+    assert len(encoder.keys) == len({"moon", ",", ".", ";", "(moon)", "été"})
+
+
+def test_letters_and_marks_are_cut_as_the_tokenizer_cuts():
+    letters = [chr(c) for c in range(0x21, 0x800)] + ["漢", "ﬁ", "e\u0301", "İ", "×", "don't"]
+    texts = [f"{x}, {x}{x}. a{x}!? {x}b-) .{x} {x}.{x}," for x in letters]
+    ids, bounds = packing.WordIds(PATH).encode(pa.array(texts))
+    direct = Tokenizer.from_file(PATH)
+    for i, text in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == direct.encode(text, add_special_tokens=False).ids, text
