@@ -27,8 +27,12 @@ class AdjustedNav(NamedTuple):
 
 
 def one_row_per_day(nav: DataFrame) -> DataFrame:
-    """One NAV per fund and day; of a repeated day the last line where there is a line_order, else the highest value."""
-    value = F.max_by("unit_nav", LINE_ORDER) if LINE_ORDER in nav.columns else F.max("unit_nav")
+    """One NAV per fund and day; of a repeated day the last line where there is a line_order, else the highest value.
+
+    The maximum of a struct is aggregated over sorted rows, which spill and which a join by fund and day
+    takes as they lie; a hash table of all days would be held twice in one task.
+    """
+    value = F.max_by("unit_nav", LINE_ORDER) if LINE_ORDER in nav.columns else F.max(F.struct("unit_nav"))["unit_nav"]
     return nav.groupBy("fund_code", "nav_date").agg(value.alias("unit_nav"))
 
 
@@ -62,34 +66,43 @@ def events(bonus: DataFrame, split: DataFrame) -> DataFrame:
     )
 
 
-def event_factor() -> Column:
-    """Factor of one event row; a non-positive NAV or ratio leaves the NAV unchanged."""
-    nav, amount = F.col("unit_nav"), F.col("amount")
+def event_factor(event: Column) -> Column:
+    """Factor of one event on its day; a non-positive NAV or ratio leaves the NAV unchanged."""
+    nav, amount = F.col("unit_nav"), event["amount"]
     single = (
-        F.when((F.col("kind") == DIVIDEND) & (nav > 0), (nav + amount) / nav)
-        .when((F.col("kind") == SPLIT) & (amount > 0), amount)
+        F.when((event["kind"] == DIVIDEND) & (nav > 0), (nav + amount) / nav)
+        .when((event["kind"] == SPLIT) & (amount > 0), amount)
         .otherwise(F.lit(1.0))
     )
-    return F.pow(single, F.col("times").cast("double"))
+    return F.pow(single, event["times"].cast("double"))
 
 
 def days_with_events(nav: DataFrame, bonus: DataFrame, split: DataFrame) -> DataFrame:
-    """One row per fund and day: unit NAV (null: event without NAV), day factor, missing kinds."""
-    # Sort-merge hint: both sides grow with the data, and the grouping reuses its partitioning.
-    joined = nav.withColumn("has_nav", F.lit(True)).hint("merge").join(
-        events(bonus, split).withColumnRenamed("event_date", "nav_date"),
-        ["fund_code", "nav_date"],
-        "full_outer",
+    """One row per fund and day: unit NAV (null: event without NAV), day factor, missing kinds.
+
+    The few events of a day come together before the join, so each day is met once and the many NAV days
+    are not grouped again behind it.
+    """
+    per_day = (
+        events(bonus, split)
+        .groupBy("fund_code", F.col("event_date").alias("nav_date"))
+        .agg(F.sort_array(F.collect_list(F.struct("kind", "amount", "times"))).alias("events"))
     )
-    missing = F.col("has_nav").isNull()
-    return joined.groupBy("fund_code", "nav_date").agg(
-        F.max("unit_nav").alias("unit_nav"),
-        F.bool_or(F.col("has_nav")).alias("has_nav"),
-        F.product(F.when(F.col("amount").isNotNull(), event_factor()).otherwise(F.lit(1.0))).alias(
-            "day_factor"
-        ),
-        F.coalesce(F.bool_or(missing & (F.col("kind") == DIVIDEND)), F.lit(False)).alias("no_nav_dividend"),
-        F.coalesce(F.bool_or(missing & (F.col("kind") == SPLIT)), F.lit(False)).alias("no_nav_split"),
+    # Sort-merge hint: both sides grow with the data.
+    joined = nav.withColumn("has_nav", F.lit(True)).hint("merge").join(per_day, ["fund_code", "nav_date"], "full_outer")
+
+    def without_nav(kind: str) -> Column:
+        return F.coalesce(F.col("has_nav").isNull() & F.exists("events", lambda e: e["kind"] == kind), F.lit(False))
+
+    factor = F.aggregate("events", F.lit(1.0), lambda product, e: product * event_factor(e))
+    return joined.select(
+        "fund_code",
+        "nav_date",
+        "unit_nav",
+        "has_nav",
+        F.coalesce(factor, F.lit(1.0)).alias("day_factor"),
+        without_nav(DIVIDEND).alias("no_nav_dividend"),
+        without_nav(SPLIT).alias("no_nav_split"),
     )
 
 

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +101,9 @@ def test_last_line_of_a_repeated_day_stays_and_is_counted(spark):
     remote = nav.select("fund_code", F.col("nav_date").alias("date"), (F.col("unit_nav") * 10).alias("cum_return_pct"), "line_order")
     both = consistency.both_sides(adjusted.drop("line_order"), remote).orderBy("date").collect()
     assert [(r.local, r.remote) for r in both] == [(2.0, 10.0), (3.0, 30.0)]
+
+
+def test_days_of_a_task_are_not_held_in_hash_tables(tables):
+    """NAV days are sorted once for aggregate and join, and not grouped again behind the join."""
+    plan = adjusted_nav.adjust(*tables)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"(?<!Object)HashAggregate\(keys=\[fund_code#\d+, nav_date#", plan)
