@@ -78,21 +78,14 @@ def _multi_line(spark: SparkSession, path: str | list[str]) -> DataFrame:
     if len(head) > 1:
         raise ValueError(f"headers differ: {head[0]['file']} and {head[1]['file']}")
     names = spark.range(1).select(F.transform(_fields(F.lit(head[0]["head"])), F.trim).alias("names")).first()["names"]
-    schema = T.StructType([T.StructField(name or f"_c{i}", T.StringType()) for i, name in enumerate(names)])
-    options = {"escape": '"', "mode": "FAILFAST", "unescapedQuoteHandling": "RAISE_ERROR"}
-    body = records.where("line > 1 and record <> ''")
-    # from_csv fills a short row with nulls: the number of fields is checked on its own.
     wrong = F.concat(F.lit("line "), F.col("line"), F.lit(" has not the header's fields: "), F.col("file"))
-    fields = F.size(F.regexp_extract_all(F.concat(F.lit(","), F.col("record")), F.lit(FIELD), F.lit(0)))
-    sound = (fields == len(names)) & _all_fields(F.col("record"))
-    checked = F.when(sound, F.col("record")).otherwise(F.raise_error(wrong))
-    row = F.from_csv(checked, _ddl(schema), options)
+    body = records.where("line > 1 and record <> ''").withColumn("fields", _fields(F.col("record")))
+    sound = (F.size("fields") == len(names)) & _all_fields(F.col("record"))
     place = F.struct("file", F.lit(0).cast("long").alias("block"), F.col("line").alias("row"))
-    return body.select(row.alias("row"), place.alias(_PLACE)).select("row.*", _PLACE)
-
-
-def _ddl(schema: T.StructType) -> str:
-    return ", ".join("`" + field.name.replace("`", "``") + "` string" for field in schema)
+    checked = F.when(sound, F.col("fields")).otherwise(F.raise_error(wrong))
+    # A quoted empty text is null as well, as Spark's own CSV scan reads it.
+    columns = [F.nullif(F.col("fields")[i], F.lit("")).alias(name or f"_c{i}") for i, name in enumerate(names)]
+    return body.select(checked.alias("fields"), place.alias(_PLACE)).select(*columns, _PLACE)
 
 
 def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -165,14 +158,19 @@ def code_in(file: Column) -> Column:
 
 
 def _fields(record: Column) -> Column:
-    """Fields of a CSV record: an empty one is null, a quoted one loses its quotes and doubled quotes."""
+    """Fields of a CSV record: an empty one is null, a quoted one loses its quotes and doubled quotes.
+
+    Only a record with a quote is matched by a pattern; any other is split at its commas.
+    """
     found = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(FIELD), F.lit(1))
-    return F.transform(
+    quoted = F.transform(
         found,
         lambda f: F.when(f == "", F.lit(None).cast("string"))
         .when(f.startswith('"'), F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"')))
         .otherwise(f),
     )
+    plain = F.transform(F.split(record, ","), lambda f: F.nullif(f, F.lit("")))
+    return F.when(F.contains(record, F.lit('"')), quoted).otherwise(plain)
 
 
 def read_per_fund_files(
@@ -250,7 +248,7 @@ def _funds_in(whole: DataFrame, columns: dict[str, str], required: Sequence[str]
 def _all_fields(record: Column) -> Column:
     """Whether the matched fields, joined, give the record back in full."""
     found = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(FIELD), F.lit(0))
-    return F.array_join(found, "") == F.concat(F.lit(","), record)
+    return ~F.contains(record, F.lit('"')) | (F.array_join(found, "") == F.concat(F.lit(","), record))
 
 
 def _read_bucketed(

@@ -405,3 +405,17 @@ def test_failure_logs_are_kept_by_run(spark):
     got = sorted((r.run, r.code) for r in sinks.read_failures(spark, path).collect())
     assert got == [("a b/1", "000001"), ("a b/1", "000002"), ("r2", "000001")]
     assert {r.run for r in sinks.read_failures(spark, path, ["r2", "none"]).collect()} == {"r2"}
+
+
+def test_plain_and_quoted_records_have_the_same_fields(spark):
+    records = ["a,b,c", ",,", "", "a,,", 'a,"b, ""c""",d', '"",x,y', " a , b,c ", "a,b\rc,d"]
+    found = spark.createDataFrame([(r,) for r in records], "record string").select(files._fields(F.col("record")).alias("f"))
+    expected = [["a", "b", "c"], [None] * 3, [None], ["a", None, None], ["a", 'b, "c"', "d"], ["", "x", "y"], [" a ", " b", "c "], ["a", "b\rc", "d"]]
+    assert [r.f for r in found.collect()] == expected
+
+
+def test_rows_of_a_shared_file_are_parsed_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y,z\n1,2,3\n")
+    table = files.read_table(spark, str(tmp_path), {c: c for c in "xyz"}, multi_line=True).where("x is not null")
+    assert [tuple(r) for r in table.collect()] == [("1", "2", "3")]
+    assert "from_csv" not in table._jdf.queryExecution().optimizedPlan().toString()
