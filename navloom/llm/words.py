@@ -25,7 +25,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power_table(length: int) -> tuple[np.ndarray, np.ndarray]:
     """STEP^i and STEP^-i modulo 2^64 for i below `length`, kept for the next batch."""
     if len(_powers.get("up", ())) < length:
-        size = max(length, 1 << 21)
+        size = max(length, min(1 << (length - 1).bit_length(), 1 << 21))
         for name, base in (("up", STEP), ("down", pow(STEP, -1, 1 << 64))):
             table = np.full(size, base, np.uint64)
             table[0] = 1
@@ -88,6 +88,10 @@ def split(
     return Words(start, end, doc, mix64(value))
 
 
+#: Text of a training sample handled at a time; small, as the driver's memory holds all else of the session.
+LEARNT_BYTES = 1 << 18
+
+
 @dataclass
 class Kinds:
     """The distinct words of some texts, with which of them each word is."""
@@ -142,18 +146,32 @@ def character_ngrams(words: list[str], shortest: int, longest: int) -> tuple[np.
 
 
 def kinds_of_texts(texts: list[str]) -> tuple[Kinds, np.ndarray]:
-    """The distinct words of many texts and the n + 1 offsets of each text's words, read in slices."""
+    """The distinct words of many texts and the n + 1 offsets of each text's words.
+
+    Texts are read in slices of `LEARNT_BYTES`, and a word that an earlier slice had is not kept again.
+    """
     given = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], names=["text"])
     raw: list[str] = []
-    hashes, which, counts = [], [], []
-    for part in sliced(iter([given])):
+    distinct, number = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted hashes, and which came when
+    which, counts = [], []
+    for part in sliced(iter([given]), limit=LEARNT_BYTES):
         data, offsets = utf8(part.column("text"))
         words = split(data, offsets)
         found = kinds(data, words)
-        which.append(found.which + len(raw))
-        raw += found.raw
-        hashes.append(found.hash)
+        at = np.searchsorted(distinct, found.hash)
+        new = np.append(distinct, np.uint64(0))[at] != found.hash
+        new |= at == len(distinct)
+        fresh = np.flatnonzero(new)
+        came = np.empty(len(new), np.int32)
+        came[~new] = number[at[~new]]
+        came[fresh] = len(raw) + np.arange(len(fresh))
+        raw += [found.raw[i] for i in fresh.tolist()]
+        fresh = fresh[np.argsort(found.hash[fresh])]
+        distinct = np.insert(distinct, at[fresh], found.hash[fresh])
+        number = np.insert(number, at[fresh], came[fresh])
+        which.append(came[found.which])
         counts.append(np.diff(words.per_doc(part.num_rows)))
-    distinct, first, place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    place = np.empty(len(number), np.int32)
+    place[number] = np.arange(len(number), dtype=np.int32)
     bounds = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
-    return Kinds([raw[i] for i in first.tolist()], distinct, place[np.concatenate(which)]), bounds
+    return Kinds([raw[i] for i in number.tolist()], distinct, place[np.concatenate(which)]), bounds

@@ -1,9 +1,11 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from navloom.llm import labelled, quality, toxicity
+from navloom.llm import words as word_module
 from navloom.llm.words import character_ngrams, kinds, split
 from navloom.llm.shared import utf8
 from pyspark.sql import functions as F
@@ -164,3 +166,30 @@ def test_without_labels_or_rows(spark):
         assert module.accepted(docs, module.fit(docs, none)).columns == docs.columns
     one_class = spark.createDataFrame([(0, 1, 1), (1, 1, 1)], "doc_id long, toxic int, quality int")
     assert all(r.predicted == 1 for r in quality.judge(docs, quality.fit(docs, one_class)).collect())
+
+
+def test_words_of_a_sample_are_the_same_in_any_slices(monkeypatch):
+    texts = [*odd_texts(), words(400, 1), words(300, 1).title(), "McAb mCab", words(500, 2), "mCab McAb"]
+    texts = [t for t in texts if t is not None]
+    found, bounds = word_module.kinds_of_texts(texts)
+    data, offsets = utf8(pa.array(texts, pa.large_string()))
+    whole = split(data, offsets)
+    assert bounds.tolist() == whole.per_doc(len(texts)).tolist()
+    assert found.hash.tolist() == sorted(set(kinds(data, whole).hash.tolist()))
+    for limit in (1, 50, 700):
+        monkeypatch.setattr(word_module, "LEARNT_BYTES", limit)
+        again, same_bounds = word_module.kinds_of_texts(texts)
+        assert (again.raw, again.hash.tolist(), again.which.tolist()) == (found.raw, found.hash.tolist(), found.which.tolist())
+        assert same_bounds.tolist() == bounds.tolist()
+
+
+def test_learning_holds_few_bytes_a_word_on_the_driver():
+    rng = random.Random(3)
+    texts = [" ".join(f"{rng.getrandbits(32):08x}" for _ in range(500)) for _ in range(240)]
+    plan = toxicity.Plan(word_buckets=1 << 10, gram_buckets=1 << 10, rounds=2, least_steps=1)
+    word_module._powers.clear()
+    tracemalloc.start()
+    toxicity.train(texts, np.arange(240) % 2, plan)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 550 * 240 * 500  # bytes for each word, all different
