@@ -57,6 +57,8 @@ SHINGLES_MOST = 1 << 22
 LEAF = 16
 #: Coordinates of pairs compared at a time; bounds the work arrays.
 PAIR_CELLS = 1 << 20
+#: Text whose shingles are cut at a time; the arrays of a slice take some 60 times its bytes.
+SLICE_BYTES = 1 << 18
 
 _PLACES = np.array([0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 _SEEDS = mix64(np.arange(1, MINIMA + 3, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -119,7 +121,7 @@ def folded(points: np.ndarray, cells: int) -> np.ndarray:
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=SLICE_BYTES):
         values, bounds = shingle_sets(batch.column("text"))
         n, docs = np.diff(bounds), len(bounds) - 1
         node, check = signatures(values, bounds)
@@ -147,7 +149,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (a, b, text_a, text_b), the pairs whose sets really link; rows of another text with the same id fall out."""
-    for batch in sliced(batches, "text_a"):
+    for batch in sliced(batches, "text_a", limit=SLICE_BYTES):
         sides = [shingle_sets(batch.column(c)) for c in ("text_a", "text_b")]
         fits = np.ones(batch.num_rows, bool)
         for name, (values, bounds) in zip("ab", sides, strict=True):
@@ -194,7 +196,7 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
     """Shingles in at least FREQUENT_SHARE of the texts, by a fixed sample of them; ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=SLICE_BYTES):
             values, _ = shingle_sets(batch.column("text"))
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], names=["h"])
 
@@ -209,7 +211,7 @@ def _prefixes(frequent: np.ndarray):
     """For mapInArrow: the shingles of each text that could start a link, as (h, node, n, frequent)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=SLICE_BYTES):
             values, bounds = shingle_sets(batch.column("text"))
             node, _ = signatures(values, bounds)
             n = np.diff(bounds)
@@ -362,7 +364,7 @@ def _tree_survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, text) to (node, members), the sorted shingles; rows of another text with the same id fall out."""
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=SLICE_BYTES):
         values, bounds = shingle_sets(batch.column("text"))
         fits = np.flatnonzero(signatures(values, bounds)[0] == batch.column("node").to_numpy())
         members = [values[bounds[k] : bounds[k + 1]].tobytes() for k in fits.tolist()]
@@ -489,7 +491,7 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def _set_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=SLICE_BYTES):
         values, bounds = shingle_sets(text_of(batch, "text"))
         names = pa.array(signatures(values, bounds)[0], mask=bounds[1:] == bounds[:-1])
         yield pa.RecordBatch.from_arrays([batch.column("record"), names], names=["record", "set_id"])

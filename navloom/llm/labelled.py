@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 
 from navloom.llm.shared import sliced, text_of
 
+#: Text scored at a time; smaller than elsewhere, as scoring holds arrays of many times the text.
+SCORED_BYTES = 1 << 18
+
 
 def fold(key: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo the number of folds; 0 for a null id."""
@@ -54,14 +57,18 @@ def training_sample(
     texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     # At most `rows` ids: the bound that allows the broadcast and the reading on the driver.
     sizes = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "order", F.length("text").alias("n"))
+    held = sizes.limit(2 * rows).toArrow()
+    ordered = sorted(zip(*(held.column(c).to_pylist() for c in ("order", "doc_id", "n")), range(held.num_rows), strict=True))
     taken, total = [], 0
-    for row in sorted(sizes.limit(2 * rows).collect(), key=lambda r: (r.order, r.doc_id, r.n)):
-        if total + row.n <= chars:
-            taken.append((row.doc_id,))
-            total += row.n
+    for _, _, n, row in ordered:
+        if total + n <= chars:
+            taken.append(row)
+            total += n
     if not taken:
         return [], np.zeros(0, np.int64)
-    ids = docs.sparkSession.createDataFrame(sorted(set(taken)), docs.select("doc_id").schema)
+    # An Arrow table becomes a local relation; to copy Python rows, each executor would start more Python processes.
+    wanted_ids = pa.table({"doc_id": held.column("doc_id").take(taken).unique()})
+    ids = docs.sparkSession.createDataFrame(wanted_ids, docs.select("doc_id").schema)
     found = texts.join(F.broadcast(ids.join(chosen, "doc_id")), "doc_id")
     sample = sorted(found.limit(2 * rows).collect(), key=lambda r: (r.order, r.doc_id, r.text))
     return [r.text for r in sample], np.array([r.label for r in sample], np.int64)
@@ -72,7 +79,7 @@ def scored(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], text: str =
     schema = T.StructType().add("record", docs.schema).add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text):
+        for batch in sliced(batches, text, SCORED_BYTES):
             values = pa.array(np.asarray(score(text_of(batch, text)), np.float64))
             yield pa.RecordBatch.from_arrays([batch.column("record"), values], names=["record", "score"])
 

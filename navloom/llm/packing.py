@@ -31,7 +31,7 @@ LENGTH = 2048
 #: Word parts a task remembers the ids of; more are tokenized again.
 REMEMBERED = 1_000_000
 #: Text handled at a time; smaller than elsewhere, as a worker also holds the vocabulary and what it remembers.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: Partitions whose totals may be broadcast (16 bytes each).
 BROADCAST_PARTITIONS = 1_000_000
 

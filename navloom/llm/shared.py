@@ -20,6 +20,9 @@ __all__ = ["count_by", "discard", "give_back", "keep", "mix64", "new_folder", "n
 #: Text handled at a time inside a task; bounds the numpy work arrays, never the result.
 SLICE_BYTES = 1 << 21
 
+#: The powers that hash words (see `words`), kept from batch to batch until a task ends.
+POWERS: dict[str, np.ndarray] = {}
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -107,7 +110,7 @@ def sliced(
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        _, offsets = utf8(text_of(batch, column))
+        offsets = utf8(text_of(batch, column))[1]
         start = 0
         while start < batch.num_rows:
             end = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1
@@ -119,6 +122,7 @@ def sliced(
 
 def give_back() -> None:
     """Return freed memory to the system: a worker that waits for its next task should not hold the last one's."""
+    POWERS.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from navloom.llm.shared import POWERS as _powers
 from navloom.llm.shared import mix64, sliced, utf8
 
 SPACE = np.zeros(256, bool)
@@ -19,7 +20,6 @@ SAME = np.arange(256, dtype=np.uint8)
 #: value x multiplier^place modulo 2^64, mixed afterwards.
 BYTE_VALUE = np.random.default_rng(20240229).integers(1, 2**64, 256, dtype=np.uint64)
 STEP = 0x9E3779B97F4A7C15 | 1
-_powers: dict[str, np.ndarray] = {}
 
 
 def _power_table(length: int) -> tuple[np.ndarray, np.ndarray]:

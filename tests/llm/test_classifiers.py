@@ -7,7 +7,7 @@ import pytest
 from navloom.llm import labelled, quality, toxicity
 from navloom.llm import words as word_module
 from navloom.llm.words import character_ngrams, kinds, split
-from navloom.llm.shared import utf8
+from navloom.llm.shared import give_back, utf8
 from pyspark.sql import functions as F
 
 from .data import documents, odd_texts, words
@@ -193,3 +193,37 @@ def test_learning_holds_few_bytes_a_word_on_the_driver():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 550 * 240 * 500  # bytes for each word, all different
+
+
+def test_the_sample_is_found_without_python_processes_of_its_own(spark, monkeypatch):
+    docs = documents(spark, [f"text {i}" for i in range(60)])
+    text_ids = docs.withColumn("doc_id", F.concat(F.lit("é"), F.col("doc_id").cast("string")))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int").cache()
+    labels.count()
+    named = labels.withColumn("doc_id", F.concat(F.lit("é"), F.col("doc_id").cast("string")))
+
+    def parallelize(*_):
+        raise AssertionError("rows go through Python on the executors")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", parallelize)
+    for given, marks in ((docs, labels), (text_ids, named)):
+        texts, wanted = labelled.training_sample(given, marks, "toxic", F.lit(True), 1000, 10**6, 1)
+        assert dict(zip(texts, wanted.tolist(), strict=True)) == {f"text {i}": i % 2 for i in range(50)}
+
+
+def test_scoring_reads_small_slices(spark):
+    docs = documents(spark, [words(8000, i) for i in range(60)]).coalesce(1)
+
+    def bytes_together(texts):
+        return np.full(len(texts), len(utf8(texts)[0]))
+
+    rows = labelled.scored(docs, bytes_together).select("record.doc_id", "score").collect()
+    assert sorted(r.doc_id for r in rows) == list(range(60))
+    assert max(r.score for r in rows) <= 1 << 18
+
+
+def test_a_task_leaves_no_tables_behind():
+    split(*utf8(pa.array([words(1000, 1)])))
+    assert word_module._powers
+    give_back()
+    assert not word_module._powers

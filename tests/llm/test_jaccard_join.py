@@ -1,11 +1,14 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from navloom.llm import jaccard_join
 from navloom.llm.components import components
 from navloom.llm.jaccard_join import linked
+from navloom.llm.shared import give_back
 from pyspark.sql import functions as F
 
 from .data import documents, odd_texts, words
@@ -137,3 +140,16 @@ def test_links_found_unite_what_all_links_unite():
         links = [(a, b) for (a, b), n in shared.items() if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n)]
         assert united(found) == united(links)
         assert len(found) < len(set(known.tolist())) and all((max(p), min(p)) in links for p in found)
+
+
+@pytest.mark.parametrize("cut", [jaccard_join._described, jaccard_join._prefixes(np.zeros(0, np.uint64))])
+def test_work_arrays_do_not_grow_with_the_batch(cut):
+    texts = [words(800, i, 5000) for i in range(700)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(700)), pa.array(texts)], names=["doc_id", "text"])
+    give_back()
+    tracemalloc.start()
+    for _ in cut(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30_000_000 < 10 * sum(map(len, texts))
